@@ -17,7 +17,7 @@ from ..functions.values import clean_name, relabel, strip_parens
 from .totals import sums
 
 SAME_WORDS_SCORE = 95.0
-MAX_DELETIONS = 2  # beyond this a name is scored against the whole list instead
+MAX_EDITS = 2  # a name that allows more is scored against the whole list instead
 LIST_CHUNK = 1_000
 
 
@@ -97,80 +97,109 @@ def _better(score: Column, match: Column) -> Column:
     return F.when(match.isNotNull(), F.struct((-score).alias("cost"), match.alias("match")))
 
 
-def _deletions(key: Column, depth: Column) -> Column:
-    """The key with up to ``depth`` letters taken out, as hashes."""
+def _without_letters(key: Column, taken: Column) -> Column:
+    """Every text that is left when ``taken`` letters are removed from the key."""
 
     def one_less(text: Column) -> Column:
-        places = F.sequence(F.lit(1), F.length(text))
-        shorter = F.transform(
-            places, lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text)))
+        return F.transform(
+            F.sequence(F.lit(1), F.length(text)),
+            lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))),
         )
-        return F.when(F.length(text) > 0, shorter).otherwise(F.array().cast("array<string>"))
 
-    grown = F.aggregate(
-        F.array_repeat(F.lit(0), depth),
+    return F.aggregate(
+        F.array_repeat(F.lit(0), taken),
         F.array(key),
-        lambda found, _: F.array_union(found, F.flatten(F.transform(found, one_less))),
+        lambda found, _: F.array_distinct(F.flatten(F.transform(found, one_less))),
     )
-    return F.transform(grown, lambda text: F.xxhash64(text))
 
 
-def _edits_allowed(key: Column, threshold: float) -> Column:
-    """The most edits any partner of this key may have at the threshold, whatever its length."""
-    share = (100.0 - threshold) / threshold
-    return F.floor(F.length(key) * F.lit(share) + F.lit(1e-9)).cast("int")
+def _edits(length: Column, threshold: float) -> Column:
+    """The most edits that still reach the threshold, by the length of the longer name."""
+    return F.floor(length * F.lit((100.0 - threshold) / 100.0) + F.lit(1e-9)).cast("int")
 
 
-def _near(names: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
-    """Best partner at or above the threshold of names that allow few edits.
+def _most_edits(key: Column, threshold: float) -> Column:
+    """The most edits to any partner of this key, however long: it may be longer by as many."""
+    return F.floor(F.length(key) * F.lit((100.0 - threshold) / threshold) + F.lit(1e-9)).cast("int")
+
+
+def _parts(key: Column, threshold: float) -> Column:
+    """Hashes that two keys within the threshold have in common.
 
-    Two names within d edits become equal when at most d letters are taken out of each, so an
-    equi-join on such shortened names finds every pair. Only near-identical names share one.
+    Two names within d edits become equal when d letters are taken from the longer one and as
+    many as bring the other to that length. A hash covers the rest of the name and both lengths,
+    so only near-identical names share one, and a common word does not bring names together.
     """
-    def shortened(df: DataFrame) -> DataFrame:
-        depth = F.least(_edits_allowed(F.col("key"), threshold), F.lit(MAX_DELETIONS))
-        return df.withColumn("part", F.explode(_deletions(F.col("key"), depth)))
+    own, reach = F.length(key), _most_edits(key, threshold)
+
+    def for_partner(other: Column) -> Column:
+        edits = _edits(F.greatest(own, other), threshold)
+        taken = edits - F.greatest(other - own, F.lit(0))
+        lengths = (F.least(own, other), F.greatest(own, other))
+        rest = _without_letters(key, F.least(taken, own))
+        hashes = F.transform(rest, lambda text: F.xxhash64(text, *lengths))
+        possible = (F.abs(other - own) <= edits) & (edits <= MAX_EDITS)
+        return F.when(possible, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    partners = F.sequence(F.greatest(own - reach, F.lit(1)), own + reach)
+    return F.flatten(F.transform(partners, for_partner))
+
+
+def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per name again, with the better of what it had and what was found."""
+    return df.groupBy("raw").agg(
+        *[F.max(c).alias(c) for c in columns if c not in ("raw", "best")],
+        F.min(F.least("best", "found")).alias("best"),
+    )
 
-    right = shortened(listed.select("match", "key")).withColumnsRenamed({"key": "other"})
-    edits = F.levenshtein("key", "other")
-    return (
-        shortened(names.select("raw", "key"))
-        .join(right, "part")
-        .withColumn("score", similarity(edits, F.col("key"), F.col("other")))
-        .filter(F.col("score") >= threshold - 1e-9)
-        .groupBy("raw")
-        .agg(F.min(_better(F.col("score"), F.col("match"))).alias("best"))
+
+def _near(names: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
+    """Improves ``best`` of names that allow few edits, by an equi-join on what is left of names
+    with that many letters taken out.
+    """
+    reach = _most_edits(F.col("key"), threshold)
+    searched = F.col("best.cost").isNull() | (F.col("best.cost") > -100.0)
+    # names that are not searched get a part of their own, which spreads them over the tasks
+    own_part = F.array(F.xxhash64("raw"))
+    parts = F.when(searched & reach.between(1, MAX_EDITS), _parts(F.col("key"), threshold)).otherwise(own_part)
+    offered = listed.select(
+        "match", F.col("key").alias("other"), F.explode(_parts(F.col("key"), threshold)).alias("part")
     )
+    score = similarity(F.levenshtein("key", "other"), F.col("key"), F.col("other"))
+    found = _better(score, F.when(score >= threshold - 1e-9, F.col("match")))
+    exploded = names.withColumn("part", F.explode(parts))
+    return _best_per_name(exploded.join(offered, "part", "left").withColumn("found", found), names.columns)
 
 
-def _closest(names: DataFrame, listed: DataFrame) -> DataFrame:
-    """Best partner of each name in the whole list, whatever its score.
+def _closest(names: DataFrame, listed: DataFrame, wanted: Column) -> DataFrame:
+    """Improves ``best`` of the wanted names by scoring them against the whole list.
 
     The list is cut into chunks of bounded size; a name meets each chunk as one array and keeps
     only the best of it, so no pairs are written out.
     """
-    chunks = listed.agg(F.greatest(F.ceil(F.count("*") / LIST_CHUNK), F.lit(1)).alias("chunks"))
+    chunks = listed.agg(F.greatest(F.ceil(F.count("*") / LIST_CHUNK), F.lit(1)).alias("chunks")).scalar()
     pieces = (
-        listed.withColumn("chunk", F.pmod(F.xxhash64("match"), chunks.scalar()))
+        listed.withColumn("chunk", F.pmod(F.xxhash64("match"), chunks))
         .groupBy("chunk")
-        .agg(F.collect_list(F.struct("match", "key")).alias("choices"))
+        .agg(F.collect_list(F.struct("match", "key", "words")).alias("choices"))
     )
 
     def cost(choice: Column) -> Column:
         own, other = F.col("key"), choice["key"]
-        edit_score = similarity(F.levenshtein(own, other), own, other)
-        words = F.when(word_key(own) == word_key(other), SAME_WORDS_SCORE).otherwise(0.0)
-        return _better(F.greatest(edit_score, words), choice["match"])
-
-    return (
-        names.select("raw", "key")
-        .withColumn("chunks", chunks.scalar())
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-        .join(pieces, "chunk")
-        .withColumn("best", F.array_min(F.transform("choices", cost)))
-        .groupBy("raw")
-        .agg(F.min("best").alias("best"))
+        score = similarity(F.levenshtein(own, other), own, other)
+        same_words = F.when(F.col("words") == choice["words"], SAME_WORDS_SCORE).otherwise(0.0)
+        return _better(F.greatest(score, same_words), choice["match"])
+
+    # unwanted names get a number that no chunk has, which spreads them over the tasks
+    every_chunk = F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)
+    no_chunk = F.array(-1 - F.pmod(F.xxhash64("raw"), F.lit(LIST_CHUNK)))
+    exploded = (
+        names.withColumn("chunks", chunks)
+        .withColumn("chunk", F.explode(F.when(wanted, every_chunk).otherwise(no_chunk)))
+        .join(pieces, "chunk", "left")
+        .withColumn("found", F.array_min(F.transform("choices", cost)))
     )
+    return _best_per_name(exploded, names.columns)
 
 
 def _keyed(df: DataFrame, text: Column) -> DataFrame:
@@ -188,48 +217,47 @@ def fuzzy_match(
     """The best valid name of each distinct raw name: (raw, clean, match, score).
 
     ``match`` and ``score`` are null where no valid name reaches the threshold. Equal names and
-    equal words are found by equi-joins; only what is left is compared letter by letter.
+    equal words are found by equi-joins; only what is left is compared letter by letter. Names so
+    long that they allow more than MAX_EDITS edits are scored against the whole list. The steps
+    follow each other, so the input is read once.
     """
     spelled = names.select(F.col(name).alias("raw")).na.drop().distinct()
     spelled = _keyed(spelled.withColumn("clean", clean_name("raw")), F.col("clean"))
     listed = _listed(valid, valid_name)
     same_key = listed.groupBy("key").agg(F.min("match").alias("key_match"))
     same_words = listed.groupBy("words").agg(F.min("match").alias("words_match"))
-    step = spelled.join(same_key, "key", "left").join(same_words, "words", "left")
-
-    rest = step.filter(F.col("key_match").isNull())
-    allowed = _edits_allowed(F.col("key"), threshold)
-    near = _near(rest.filter(allowed.between(1, MAX_DELETIONS)), listed, threshold)
-    far = _closest(rest.filter(allowed > MAX_DELETIONS), listed)
-    found = near.unionByName(far)
-
-    best = F.least(
-        _better(F.lit(100.0), F.col("key_match")),
-        _better(F.lit(SAME_WORDS_SCORE), F.col("words_match")),
-        F.col("best"),
-    )
-    reached = -F.col("top.cost") >= threshold - 1e-9
-    return (
-        step.join(found, "raw", "left")
-        .withColumn("top", best)
-        .select(
-            "raw",
-            "clean",
-            F.when(reached, F.col("top.match")).alias("match"),
-            F.when(reached, -F.col("top.cost")).alias("score"),
+    equal = (
+        spelled.join(same_key, "key", "left")
+        .join(same_words, "words", "left")
+        .withColumn(
+            "best",
+            F.least(
+                _better(F.lit(100.0), F.col("key_match")),
+                _better(F.lit(SAME_WORDS_SCORE), F.col("words_match")),
+            ),
         )
+        .select("raw", "clean", "key", "words", "best")
+    )
+    near = _near(equal, listed, threshold)
+    long_name = _most_edits(F.col("key"), threshold) > MAX_EDITS
+    best = _closest(near, listed, long_name)
+    reached = -F.col("best.cost") >= threshold - 1e-9
+    return best.select(
+        "raw",
+        "clean",
+        F.when(reached, F.col("best.match")).alias("match"),
+        F.when(reached, -F.col("best.cost")).alias("score"),
     )
 
 
 def unmatched_report(matches: DataFrame, valid: DataFrame, valid_name: str = "name") -> DataFrame:
     """The names a ``fuzzy_match`` left unmatched, each with its closest valid name and score."""
     left = matches.filter(F.col("match").isNull()).select("raw", "clean")
-    closest = _closest(_keyed(left, F.col("clean")), _listed(valid, valid_name))
-    return left.join(closest, "raw", "left").select(
-        "raw",
-        "clean",
-        F.col("best.match").alias("closest"),
-        (-F.col("best.cost")).alias("score"),
+    listed = _listed(valid, valid_name)
+    unknown = F.lit(None).cast("struct<cost:double,match:string>")
+    closest = _closest(_keyed(left, F.col("clean")).withColumn("best", unknown), listed, F.lit(True))
+    return closest.select(
+        "raw", "clean", F.col("best.match").alias("closest"), (-F.col("best.cost")).alias("score")
     )
 
 

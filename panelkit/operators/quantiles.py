@@ -1,31 +1,38 @@
 """Exact interpolated quantiles per group, without holding a group in one task.
 
 ``percentile`` keeps a map of all distinct values of a group in one buffer, which fails when one
-group holds much of the data. Here each group is cut into ranges of about equal numbers of
-distinct values, the ranges are counted, and only the few ranges that contain a wanted position
-are ordered, each on its own. The cut points come from a sketch, but they only decide where the
-ranges lie; the counts are exact, so the result is too.
+group holds much of the data. Here the values are counted first, and a group with many distinct
+values is cut into ranges of about equal numbers of them. Only the few ranges that contain a
+wanted position are ordered, each on its own. The cut points come from a sketch, but they only
+decide where the ranges lie; all counts are exact, so the result is too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
-SKETCH_ACCURACY = 2_000
+ROWS = "rows"
+SMALL_GROUP = 100_000  # distinct values that one task orders in one piece
+RANGES = 256
+SKETCH_ACCURACY = 10_000
 
 
-def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """How often each value of each column occurs per group: (by, measure, value, n). Nulls are left out."""
-    measures = F.array(
-        *[
-            F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
-            for c in dict.fromkeys(columns)
-        ]
-    )
+def value_counts(
+    df: DataFrame, by: Sequence[str], columns: Sequence[str], with_rows: bool = False
+) -> DataFrame:
+    """How often each value of each column occurs per group: (by, measure, value, n).
+
+    Nulls are left out; ``with_rows`` adds a measure ROWS that counts all rows. Every statistic of a group can be
+    derived from this table. The condition on ``n`` keeps all its columns in every use, so that
+    all uses share one scan and one shuffle.
+    """
+    measured = [(c, F.col(c).cast("double")) for c in dict.fromkeys(columns)]
+    if with_rows:
+        measured.append((ROWS, F.lit(0.0)))
+    measures = F.array(*[F.struct(F.lit(c).alias("measure"), v.alias("value")) for c, v in measured])
     return (
         df.na.drop(subset=list(by))
         .select(*by, F.explode(measures).alias("m"))
@@ -33,33 +40,49 @@ def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
         .filter(F.col("value").isNotNull())
         .groupBy(*by, "measure", "value")
         .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > 0)
     )
 
 
-def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Per group and measure the array ``q`` of the quantiles at ``probs``, linearly interpolated."""
+def moments(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per group and measure: number ``n``, ``mean`` and sample deviation ``std`` of the values."""
     keys = [*by, "measure"]
-    inner_cuts = [i / RANGES for i in range(1, RANGES)]
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("value", inner_cuts, SKETCH_ACCURACY).alias("cuts")
+    means = counts.groupBy(*keys).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+    spread = F.sum((F.col("value") - F.col("mean")) ** 2 * F.col("n"))
+    return (
+        counts.join(means, keys)
+        .groupBy(*keys, "mean")
+        .agg(F.sum("n").alias("n"), spread.alias("spread"))
+        .withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.col("spread") / (F.col("n") - 1))))
+        .drop("spread")
     )
-    placed = counts.join(cuts, keys).select(
-        *counts.columns,
-        F.size(F.filter("cuts", lambda cut: cut < F.col("value"))).alias("range"),
+
+
+def _cuts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cut points of the groups that have more than SMALL_GROUP distinct values."""
+    large = (
+        counts.groupBy(*keys).agg(F.count("*").alias("values"))
+        .filter(F.col("values") > SMALL_GROUP).select(*keys)
+    )
+    shares = [i / RANGES for i in range(1, RANGES)]
+    return counts.join(large, list(keys), "left_semi").groupBy(*keys).agg(
+        F.percentile_approx("value", shares, SKETCH_ACCURACY).alias("cuts")
     )
 
-    along = Window.partitionBy(*keys).orderBy("range")
+
+def _wanted_ranges(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The ranges that hold a wanted position: their ends ``low`` and ``high``, how many rows lie
+    ``before`` them, and the positions wanted of their group.
+    """
+    number = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col("value"))), F.lit(0))
+    along = Window.partitionBy(*keys).orderBy("low")
     position = F.array(*[F.lit(float(x)) for x in probs])
-    ranges = (
-        placed.groupBy(*keys, "range")
-        .agg(F.sum("n").alias("size"))
-        .select(
-            *keys,
-            "range",
-            "size",
-            (F.sum("size").over(along) - F.col("size")).alias("before"),
-            F.sum("size").over(Window.partitionBy(*keys)).alias("rows"),
-        )
+    return (
+        counts.join(_cuts(counts, keys), list(keys), "left")
+        .groupBy(*keys, F.when(F.col("cuts").isNull(), 0).otherwise(number).alias("range"))
+        .agg(F.sum("n").alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .withColumn("before", F.sum("size").over(along) - F.col("size"))
+        .withColumn("rows", F.sum("size").over(Window.partitionBy(*keys)))
         .withColumn("at", F.transform(position, lambda x: x * (F.col("rows") - 1)))
         .withColumn("below", F.transform("at", lambda x: F.floor(x)))
         .withColumn("above", F.transform("at", lambda x: F.ceil(x)))
@@ -69,12 +92,18 @@ def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> D
                 lambda x: (x >= F.col("before")) & (x < F.col("before") + F.col("size")),
             )
         )
-        .drop("size")
+        .select(*keys, "low", "high", "before", "at", "below", "above")
     )
 
-    inside = Window.partitionBy(*keys, "range").orderBy("value")
-    ordered = placed.join(ranges, [*keys, "range"]).withColumn(
-        "end", F.col("before") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+
+def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Per group and measure the array ``q`` of the quantiles at ``probs``, linearly interpolated."""
+    keys = [*by, "measure"]
+    inside = Window.partitionBy(*keys, "low").orderBy("value")
+    ordered = (
+        counts.join(_wanted_ranges(counts, keys, probs), keys)
+        .filter(F.col("value").between(F.col("low"), F.col("high")))
+        .withColumn("end", F.col("before") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     )
 
     def value_at(place):
@@ -92,24 +121,3 @@ def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> D
         return low + (high - low) * (at - F.floor(at))
 
     return picked.select(*keys, F.array(*[between(i) for i in range(len(probs))]).alias("q"))
-
-
-def named_quantiles(
-    df: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[str, float]], approx: bool = False
-) -> DataFrame:
-    """One row per group with a column for each ``name: (column, probability)``.
-
-    ``approx`` takes the values from a sketch instead, in one aggregation.
-    """
-    if approx:
-        return df.na.drop(subset=list(by)).groupBy(*by).agg(
-            *[F.percentile_approx(c, x).cast("double").alias(name) for name, (c, x) in wanted.items()]
-        )
-    probs = sorted({x for _, x in wanted.values()})
-    found = quantiles(value_counts(df, by, [c for c, _ in wanted.values()]), by, probs)
-    return found.groupBy(*by).agg(
-        *[
-            F.max(F.when(F.col("measure") == c, F.col("q")[probs.index(x)])).alias(name)
-            for name, (c, x) in wanted.items()
-        ]
-    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..binding import Panel
 from ..constants import SUBAREA_PARENT
-from ..functions.values import to_number
+from ..functions.values import number_in
 
 ALL = "All"
 
@@ -82,7 +82,7 @@ def row_count(p: Panel) -> DataFrame:
 
 def drop_unparsable(p: Panel, c: str, dtype: str = "double") -> Panel:
     """Convert a dirty column and keep the rows where that worked."""
-    return p.using(p.df.withColumn(c, to_number(c, dtype))).where(F.col(c).isNotNull())
+    return p.using(p.df.withColumn(c, number_in(p.df, c, dtype))).where(F.col(c).isNotNull())
 
 
 def require_cols(p: Panel, cols: list[str]) -> Panel:
@@ -99,13 +99,18 @@ def strict_rows(p: Panel) -> Panel:
     return p.using(p.df.na.drop(subset=[p.date, *p.measures]))
 
 
-def min_threshold(df: DataFrame, c: str, minimum: float) -> DataFrame:
-    """Rows with ``c >= minimum``; all rows if none qualifies.
-
-    The test "does any row qualify" is a scalar subquery, so it stays in the plan and an
-    aggregated input is computed once (its exchange is reused).
+def one_value(df: DataFrame, value: Column) -> Column:
+    """An aggregate over all rows as a scalar subquery, in a form that needs every column of
+    ``df``. So where ``df`` is an aggregation, the query and its subquery share one scan and one
+    shuffle instead of pruning the subquery's to a different one.
     """
-    any_qualifies = df.agg(F.coalesce(F.max(F.col(c) >= minimum), F.lit(False))).scalar()
+    whole_row = F.max(F.struct(*df.columns)).alias("whole_row")
+    return df.agg(F.struct(value.alias("value"), whole_row).alias("s")).select("s").scalar()["value"]
+
+
+def min_threshold(df: DataFrame, c: str, minimum: float) -> DataFrame:
+    """Rows with ``c >= minimum``; all rows if none qualifies. Nothing is run to find out which."""
+    any_qualifies = F.coalesce(one_value(df, F.max(F.col(c) >= minimum)), F.lit(False))
     return df.filter((F.col(c) >= minimum) | ~any_qualifies)
 
 

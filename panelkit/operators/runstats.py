@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtext import lower_label, normalize_variant, variant_of, variant_of_log
-from .quantiles import named_quantiles, quantiles, value_counts
+from .quantiles import ROWS, moments, quantiles, value_counts
 
 TIME, MEMORY = "wall_time_sec", "max_rss_kb"
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def with_variant(res: DataFrame) -> DataFrame:
@@ -34,32 +35,60 @@ def suspect_runs(res: DataFrame, limit: float = 0.5) -> DataFrame:
     return res.filter(F.col(TIME) <= limit).select("framework", "workload", "runid", TIME, "logfile")
 
 
-def _grouped(
-    res: DataFrame, by: Sequence[str], plain: list, wanted: dict[str, tuple[str, float]], approx: bool
-) -> DataFrame:
-    """Plain aggregates and quantiles of the same groups. Groups with a null key are left out."""
-    base = res.na.drop(subset=list(by)).groupBy(*by).agg(*plain)
-    return base.join(named_quantiles(res, by, wanted, approx), list(by), "left")
+def _of(measure: str, value) -> Column:
+    """The value in the row of one measure."""
+    return F.max(F.when(F.col("measure") == measure, value))
+
+
+def _quartiles(res: DataFrame, by: list[str], columns: list[str], approx: bool) -> DataFrame:
+    """Per group and measure the array ``q`` of the three quartiles, and the number ``n``."""
+    if approx:
+        sketched = [
+            F.struct(
+                F.lit(c).alias("measure"),
+                F.percentile_approx(c, QUARTILES).cast("array<double>").alias("q"),
+                F.count(c).alias("n"),
+            )
+            for c in columns
+        ]
+        rows = F.struct(F.lit(ROWS), F.array().cast("array<double>"), F.count("*"))
+        groups = res.na.drop(subset=by).groupBy(*by).agg(F.array(*sketched, rows).alias("m"))
+        return groups.select(*by, F.inline("m"))
+    counts = value_counts(res, by, columns, with_rows=True)
+    number = counts.groupBy(*by, "measure").agg(F.sum("n").alias("n"))
+    return number.join(quantiles(counts, by, QUARTILES), [*by, "measure"])
 
 
 def run_summary(
     res: DataFrame, by: Sequence[str] = ("framework", "workload", "variant"), approx: bool = False
 ) -> DataFrame:
-    """Count, median, mean, deviation and quartiles of the time, median and mean memory."""
-    wanted = {
-        "median_time": (TIME, 0.5),
-        "q1_time": (TIME, 0.25),
-        "q3_time": (TIME, 0.75),
-        "median_rss_kb": (MEMORY, 0.5),
-    }
-    plain = [
-        F.count(TIME).alias("n"),
-        F.avg(TIME).alias("mean_time"),
-        F.stddev_samp(TIME).alias("std_time"),
-        F.avg(MEMORY).alias("mean_rss_kb"),
-    ]
-    summary = _grouped(res, by, plain, wanted, approx)
-    return summary.withColumn("iqr_time", F.col("q3_time") - F.col("q1_time"))
+    """Count, median, mean, deviation and quartiles of the time, median and mean memory.
+
+    Groups with a null key are left out. ``approx`` takes the quartiles from a sketch.
+    """
+    by = list(by)
+    if approx:
+        found = _quartiles(res, by, [TIME, MEMORY], True).join(
+            moments(value_counts(res, by, [TIME, MEMORY]), by).drop("n"), [*by, "measure"], "left"
+        )
+    else:
+        counts = value_counts(res, by, [TIME, MEMORY], with_rows=True)
+        found = moments(counts, by).join(quantiles(counts, by, QUARTILES), [*by, "measure"])
+    q1, median, q3 = (F.col("q")[i] for i in range(3))
+    return (
+        found.groupBy(*by)
+        .agg(
+            F.coalesce(_of(TIME, F.col("n")), F.lit(0)).alias("n"),
+            _of(TIME, median).alias("median_time"),
+            _of(TIME, F.col("mean")).alias("mean_time"),
+            _of(TIME, F.col("std")).alias("std_time"),
+            _of(TIME, q1).alias("q1_time"),
+            _of(TIME, q3).alias("q3_time"),
+            _of(MEMORY, median).alias("median_rss_kb"),
+            _of(MEMORY, F.col("mean")).alias("mean_rss_kb"),
+        )
+        .withColumn("iqr_time", F.col("q3_time") - F.col("q1_time"))
+    )
 
 
 def workload_summary(res: DataFrame, approx: bool = False) -> DataFrame:
@@ -78,18 +107,25 @@ def workload_summary(res: DataFrame, approx: bool = False) -> DataFrame:
 
 def variant_medians(res: DataFrame, approx: bool = False) -> DataFrame:
     """Median time, median MB and number of runs per framework and log variant."""
-    wanted = {"median_time": (TIME, 0.5), "median_rss_mb": ("max_rss_mb", 0.5)}
-    by = ("framework", "variant")
-    return _grouped(with_log_variant(res), by, [F.count("*").alias("n")], wanted, approx)
+    by, memory = ["framework", "variant"], "max_rss_mb"
+    found = _quartiles(with_log_variant(res), by, [TIME, memory], approx)
+    median = F.col("q")[1]
+    return found.groupBy(*by).agg(
+        _of(TIME, median).alias("median_time"),
+        _of(memory, median).alias("median_rss_mb"),
+        _of(ROWS, F.col("n")).alias("n"),
+    )
 
 
 def workload_medians(res: DataFrame, approx: bool = False) -> DataFrame:
     """Median time and memory per framework, workload and normalised variant."""
-    wanted = {"median_time": (TIME, 0.5), "median_rss_kb": (MEMORY, 0.5)}
-    by = ("framework", "workload", "variant")
+    by = ["framework", "workload", "variant"]
     named = with_variant(res).withColumn("variant", normalize_variant("variant"))
-    groups = named.na.drop(subset=list(by)).select(*by).distinct()
-    return groups.join(named_quantiles(named, by, wanted, approx), list(by), "left")
+    found = _quartiles(named, by, [TIME, MEMORY], approx)
+    median = F.col("q")[1]
+    return found.groupBy(*by).agg(
+        _of(TIME, median).alias("median_time"), _of(MEMORY, median).alias("median_rss_kb")
+    )
 
 
 def box_stats(res: DataFrame, by: Sequence[str], c: str) -> DataFrame:
@@ -98,8 +134,9 @@ def box_stats(res: DataFrame, by: Sequence[str], c: str) -> DataFrame:
     A whisker never ends inside the box, also where no value lies between fence and quartile.
     """
     counts = value_counts(res, by, [c])
-    boxes = quantiles(counts, by, [0.25, 0.5, 0.75]).select(
+    boxes = quantiles(counts, by, QUARTILES).select(
         *by,
+        "measure",
         F.col("q")[0].alias("q1"),
         F.col("q")[1].alias("median"),
         F.col("q")[2].alias("q3"),
@@ -107,7 +144,7 @@ def box_stats(res: DataFrame, by: Sequence[str], c: str) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.join(boxes, list(by))
+        counts.join(boxes, [*by, "measure"])
         .filter(inside)
         .groupBy(*by, "q1", "median", "q3")
         .agg(F.min("value").alias("low"), F.max("value").alias("high"))

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from ..binding import Panel
 from ..functions.calendar import month_label
-from ..functions.values import clean_name, guarded, scale, to_number, zero_if_null
+from ..functions.values import clean_name, guarded, number_in, scale, zero_if_null
 from .rows import require_cols, strict_rows
 
 
 def sums(p: Panel, measures: Sequence[str] | None = None) -> list:
     return [
-        zero_if_null(F.sum(to_number(m))).alias(f"total_{m}") for m in (measures or p.measures)
+        zero_if_null(F.sum(number_in(p.df, m))).alias(f"total_{m}") for m in (measures or p.measures)
     ]
 
 
@@ -64,7 +64,7 @@ def rate_per(
     measures = list(measures or p.measures)
     if require_pop:
         p = require_cols(p, [*measures, p.pop])
-    pop = to_number(p.pop)
+    pop = number_in(p.df, p.pop)
     if split_by_pop:
         grouped = p.df.groupBy(p.entity, pop.alias("population")).agg(*sums(p, measures))
     else:
@@ -80,7 +80,7 @@ def rate_per(
 
 def rate_stats(p: Panel, rate: str | None = None) -> DataFrame:
     """Mean, largest and smallest value of a dirty numeric column per entity, highest mean first."""
-    value = to_number(rate or p.rate, "double")
+    value = number_in(p.df, rate or p.rate, "double")
     return (
         p.df.select(p.entity, value.alias("rate_value"))
         .filter(F.col("rate_value").isNotNull())
@@ -108,13 +108,14 @@ def members(p: Panel, c: str, subareas: DataFrame | None = None) -> DataFrame:
     base = p.df.select(F.col(c).alias("member")).na.drop().distinct()
     if subareas is None:
         return base.orderBy("member")
-    nested = (
-        subareas.select("area", "sub_area").distinct()
-        .join(base.withColumnRenamed("member", "area"), "area", "left_semi")
-        .select(F.col("sub_area").alias("member"), F.col("area").alias("under"), F.lit(1).alias("depth"))
+    nested = subareas.groupBy(F.col("area").alias("member")).agg(F.collect_set("sub_area").alias("parts"))
+    listed = F.concat(F.array("member"), F.coalesce(F.sort_array("parts"), F.array().cast("array<string>")))
+    return (
+        base.join(nested, "member", "left")
+        .select(F.col("member").alias("under"), F.posexplode(listed).alias("place", "member"))
+        .orderBy("under", "place")
+        .select("member")
     )
-    listed = base.select("member", F.col("member").alias("under"), F.lit(0).alias("depth"))
-    return listed.unionByName(nested).orderBy("under", "depth", "member").select("member")
 
 
 def months(p: Panel) -> DataFrame:

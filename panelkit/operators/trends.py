@@ -16,6 +16,7 @@ from ..functions.calendar import (
     year_of,
 )
 from ..functions.values import clean_name
+from .rows import filter_month, one_value
 from .totals import sums
 
 
@@ -79,18 +80,18 @@ def monthly_by_entity(p: Panel) -> DataFrame:
 
 
 def month_snapshot(p: Panel, month: str | None = None) -> DataFrame:
-    """Cases per cleaned entity in one month; the latest month present when none is named.
+    """Cases per cleaned entity name in one month; the latest month present when none is named.
 
-    The latest month is found by a scalar subquery over the date column alone.
+    The latest month is taken from the monthly totals, and the comparison includes the total to
+    stay behind them, so the panel is read once. A named month is filtered by date before
+    anything is summed.
     """
-    latest = p.df.agg(F.max(p.date)).scalar() if month is None else F.lit(f"{month}-01").cast("date")
-    start = F.trunc(latest.cast("date"), "month")
-    return (
-        p.df.filter((F.col(p.date) >= start) & (F.col(p.date) < F.add_months(start, 1)))
-        .select(month_label(p.date).alias("month"), clean_name(p.entity).alias("label"), p.cases)
-        .groupBy("month", "label")
-        .agg(*sums(p, [p.cases]))
-    )
+    if month is not None:
+        return monthly_by_entity(filter_month(p, month))
+    monthly = monthly_by_entity(p)
+    latest = one_value(monthly, F.max("month"))
+    lowest = F.lit(-(2**63)).cast("bigint")
+    return monthly.filter(F.struct("month", f"total_{p.cases}") >= F.struct(latest, lowest))
 
 
 def daily_series(p: Panel) -> DataFrame:

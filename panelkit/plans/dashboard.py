@@ -14,6 +14,7 @@ from ..operators.names import iso3
 from ..operators.ranking import top_n
 from ..operators.rows import ALL, apply_filters, drop_unmapped
 from ..operators.totals import labelled_totals, totals
+from ..session import settled
 from ..operators.trends import daily_series, daily_totals, month_snapshot, monthly_by_entity
 
 
@@ -30,12 +31,12 @@ def dashboard(
     """All tables of the dashboard for one choice of filters.
 
     Everything is derived from the filtered panel summed per entity and day, which has at most
-    one row per entity and day. ``series`` is present only while no month is chosen.
+    one row per entity and day and is written once. ``series`` is present only while no month is chosen.
     """
     chosen = apply_filters(p, area, month, entity, subareas)
     keys = [p.entity, p.date]
     daily = totals(chosen, keys).withColumnsRenamed({f"total_{m}": m for m in p.measures})
-    base = p.using(daily)
+    base = p.using(settled(daily, "dashboard"))
 
     total = f"total_{p.cases}"
     labelled = labelled_totals(base).select(p.entity, "label", total)

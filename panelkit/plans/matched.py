@@ -17,10 +17,13 @@ from ..operators.names import (
     unmatched_report,
 )
 from ..operators.rows import filter_area
+from ..session import settled
 
 
 def with_matches(p: Panel, daily: DataFrame, valid: DataFrame, threshold: float) -> DataFrame:
-    """Adds ``match`` to daily sums: the sums are joined, not the panel rows."""
+    """Adds ``match`` to daily sums. The sums are joined, not the panel rows, and the names are
+    taken from them; they should be settled.
+    """
     matches = fuzzy_match(daily, p.entity, valid, threshold).select("raw", "match")
     return daily.join(matches, daily[p.entity] == matches["raw"], "left").drop("raw")
 
@@ -38,7 +41,7 @@ def matched_map(
     For the whole world the corrections are made before matching, and unmatched names are left
     out. For one area they are made after it, and unmatched names are kept under their raw name.
     """
-    daily = daily_names(filter_area(p, area))
+    daily = settled(daily_names(filter_area(p, area)), "daily")
     if area is None:
         daily = apply_fixes(daily, p.entity, fixes)
     joined = with_matches(p, daily, valid, threshold)

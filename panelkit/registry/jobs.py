@@ -31,8 +31,8 @@ CSV_ENTITY = "countriesAndTerritories"
 @query(
     "c1_run_log_job",
     LOG_FILES + """
-    SELECT framework, workload, CAST(day AS VARCHAR) AS runid, CAST(events AS DOUBLE) / 100 AS wall_time_sec,
-           rss AS max_rss_kb, framework || '_' || workload || '_run' || day || '_data.time.txt' AS logfile
+    SELECT framework, workload, CAST(week AS VARCHAR) AS runid, CAST(events AS DOUBLE) / 100 AS wall_time_sec,
+           rss AS max_rss_kb, framework || '_' || workload || '_run' || week || '_data.time.txt' AS logfile
     FROM logs""",
 )
 def c1(spark, folder):

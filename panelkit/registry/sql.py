@@ -99,7 +99,7 @@ WITH runs AS (
 
 LOG_FILES = """
 WITH logs AS (
-  SELECT event_type AS framework, CAST(user_id % 3 AS VARCHAR) AS workload, day(ts) AS day,
+  SELECT event_type AS framework, CAST(user_id % 3 AS VARCHAR) AS workload, week(ts) AS week,
          count(*) AS events, CAST(sum(user_id) AS BIGINT) AS rss
   FROM events GROUP BY ALL
 )

@@ -79,7 +79,7 @@ def s5(spark, folder):
 @query(
     "s6_run_log_scan",
     LOG_FILES + """
-    SELECT framework || '_' || workload || '_run' || day || '_data.time.txt' AS logfile, rss AS max_rss_kb, true AS complete
+    SELECT framework || '_' || workload || '_run' || week || '_data.time.txt' AS logfile, rss AS max_rss_kb, true AS complete
     FROM logs""",
 )
 def s6(spark, folder):

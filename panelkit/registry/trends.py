@@ -15,6 +15,7 @@ from ..operators.trends import (
     trend,
 )
 from ..plans.matched import with_matches
+from ..session import settled
 from ..sources.warehouse import messy_observations, observations, territory_dimension
 from . import query
 from .sql import CASES, PANEL, SUMS, clean, matches
@@ -118,7 +119,7 @@ MATCHED = PANEL + "," + matches("SELECT DISTINCT spelled AS raw FROM panel", THR
 def _matched_daily(spark, folder):
     p = messy_observations(spark, folder)
     valid = territory_dimension(spark, folder).select("name")
-    return p, with_matches(p, daily_names(p), valid, THRESHOLD)
+    return p, with_matches(p, settled(daily_names(p), "daily"), valid, THRESHOLD)
 
 
 @query(

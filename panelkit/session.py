@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
@@ -48,3 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/panelkit/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from there.
+
+    For tables that several results are derived from: each is computed once, and a lost executor
+    costs no recomputation of what lies before.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

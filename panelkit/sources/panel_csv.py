@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..binding import RATE_COLUMN, Panel
 from ..functions.calendar import DAY_FIRST, month_label, to_day
-from ..functions.values import to_number
+from ..functions.values import number_in
 
 # The columns of the daily CSV, by position.
 CSV_COLUMNS = [
@@ -20,9 +20,9 @@ CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS
 
 def typed_panel(p: Panel, date_format: str = DAY_FIRST) -> Panel:
     """Dates, counts, population and rate of a text panel as numbers; null where they do not parse."""
-    columns = {c: to_number(c) for c in (p.cases, p.deaths, p.pop) if c in p.df.columns}
+    columns = {c: number_in(p.df, c) for c in (p.cases, p.deaths, p.pop) if c in p.df.columns}
     if p.rate in p.df.columns:
-        columns[p.rate] = to_number(p.rate, "double")
+        columns[p.rate] = number_in(p.df, p.rate, "double")
     if dict(p.df.dtypes)[p.date] == "string":
         columns[p.date] = to_day(p.date, date_format)
     else:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.rows import one_value
+
 
 def load_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Replace the named table by the rows of ``df``, in ``path`` if given."""
@@ -49,4 +51,4 @@ def show_rows(df: DataFrame, n: int = 20) -> DataFrame:
 
 def summarize_result(df: DataFrame, n: int = 5) -> DataFrame:
     """The first n rows of a result, each with the number of all its rows as ``groups``."""
-    return df.limit(n).withColumn("groups", df.agg(F.count("*")).scalar())
+    return df.limit(n).withColumn("groups", one_value(df, F.count("*")))

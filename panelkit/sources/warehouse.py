@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +20,31 @@ ROLES = {
 MESSY = "spelled"
 
 
+# The columns that are read of each table. With a schema given, no job is run to find one.
+SCHEMAS = {
+    "lineitem": "l_suppkey bigint, l_linenumber int, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+NATION_BOUND = 10_000  # rows of the nation table up to which it is broadcast
+
+
+_done: dict[tuple[str, str, str], Any] = {}
+
+
+def _once(spark: SparkSession, folder: str, kind: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once per application and table folder."""
+    key = (spark.sparkContext.applicationId, folder, kind)
+    if key not in _done:
+        _done[key] = make()
+    return _done[key]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def messy_name(name, key):
@@ -39,48 +65,50 @@ def messy_name(name, key):
     )
 
 
-def territories(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per supplier: its nation as entity, region as area, the nation's population.
+def nations(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per nation: its name, region and population.
 
     The population is 1000 per supplier of the nation in debt. A nation without any has
-    population 0 if its key is odd, an unknown one if it is even.
+    population 0 if its key is odd, an unknown one if it is even. The result has the rows of the
+    nation table, so it is broadcast if that table is small; otherwise Spark chooses the join.
     """
     supplier, nation, region = (table(spark, folder, t) for t in ("supplier", "nation", "region"))
     debtors = F.count(F.when(F.col("s_acctbal") < 0, 1))
     people = supplier.groupBy(F.col("s_nationkey").alias("pop_nation")).agg(
         F.when((debtors > 0) | (F.col("s_nationkey") % 2 == 1), debtors * 1000).alias("pop")
     )
-    return (
-        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(people, F.col("s_nationkey") == F.col("pop_nation"), "left")
-        .select(
-            "s_suppkey",
-            F.col("n_name").alias("entity"),
-            F.col("r_name").alias("area"),
-            "pop",
-            messy_name(F.col("n_name"), F.col("s_suppkey")).alias(MESSY),
-        )
+    joined = (
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(people, F.col("n_nationkey") == F.col("pop_nation"), "left")
+        .select("n_nationkey", "n_name", "r_name", "pop")
     )
+    small = _once(spark, folder, "nations", lambda: nation.limit(NATION_BOUND + 1).count() <= NATION_BOUND)
+    return F.broadcast(joined) if small else joined
 
 
 def observations(spark: SparkSession, folder: str) -> Panel:
     """Line items as the daily panel, typed, with the rate left as dirty text.
 
-    One large join, with the suppliers; the date is a cast of the stored column, so date filters
-    and unused columns are pruned in the line item scan.
+    One large join, with the suppliers; the nations are looked up after it. The date is a cast of
+    the stored column, so date filters and unused columns are pruned in the line item scan.
     """
-    item = table(spark, folder, "lineitem").select(
-        F.col("l_suppkey"),
+    item = table(spark, folder, "lineitem")
+    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    joined = item.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    quantity = F.col("l_quantity").cast("bigint")
+    df = joined.select(
         F.col("l_shipdate").cast("date").alias("date"),
-        F.col("l_quantity").cast("bigint").alias("cases"),
+        F.col("n_name").alias("entity"),
+        F.col("r_name").alias("area"),
+        quantity.alias("cases"),
         F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")).otherwise(0).cast("bigint").alias("deaths"),
-        F.when(F.col("l_returnflag") == "A", "")
-        .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
-        .alias("rate"),
+        "pop",
+        F.when(F.col("l_returnflag") == "A", "").otherwise(quantity.cast("string")).alias("rate"),
+        messy_name(F.col("n_name"), F.col("s_suppkey")).alias(MESSY),
     )
-    joined = item.join(territories(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
-    return Panel(joined.select("date", "entity", "area", "cases", "deaths", "pop", "rate", MESSY), **ROLES)
+    return Panel(df, **ROLES)
 
 
 def messy_observations(spark: SparkSession, folder: str) -> Panel:
@@ -94,25 +122,14 @@ def observation_text(spark: SparkSession, folder: str) -> DataFrame:
     return csv_text(observations(spark, folder))
 
 
-_written: dict[tuple[str, str, str], str] = {}
-
-
-def _write_once(spark: SparkSession, folder: str, kind: str, write) -> str:
-    """Write a derived input to the shared folder, once per application and table folder."""
-    key = (spark.sparkContext.applicationId, folder, kind)
-    if key not in _written:
-        path = fresh_path(spark, kind)
-        write(path)
-        _written[key] = path
-    return _written[key]
-
-
 def observation_csv(spark: SparkSession, folder: str) -> str:
     """Path of the whole panel written as CSV."""
-    def write(path):
+    def write():
+        path = fresh_path(spark, "observations")
         observation_text(spark, folder).write.option("header", True).option("escape", '"').csv(path)
+        return path
 
-    return _write_once(spark, folder, "observations", write)
+    return _once(spark, folder, "observations", write)
 
 
 def territory_dimension(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,32 +207,35 @@ def run_log_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_log_files(spark: SparkSession, folder: str) -> str:
-    """Glob of run logs on disk: one per event type, workload and day, over all events.
+    """Glob of run logs on disk: one per event type, workload and week, over all events.
 
     The time of a log is the number of its events in hundredths of a second, its memory the sum
     of the users' keys.
     """
-    def write(path):
-        user = F.col("user_id")
+    def write():
+        path = fresh_path(spark, "runlogs")
         logs = (
             table(spark, folder, "events")
             .groupBy(
                 F.col("event_type").alias("framework"),
-                (user % 3).cast("string").alias("workload"),
-                F.dayofmonth("ts").alias("day"),
+                (F.col("user_id") % 3).cast("string").alias("workload"),
+                F.weekofyear("ts").cast("string").alias("week"),
             )
             .agg(F.count("*").alias("events"), F.sum("user_id").alias("rss"))
         )
-        name = F.concat("framework", F.lit("_"), "workload", F.lit("_run"), "day", F.lit("_data.time.txt"))
+        name = F.concat("framework", F.lit("_"), "workload", F.lit("_run"), "week", F.lit("_data.time.txt"))
         text = run_log_text(F.col("events"), F.col("rss"))
         logs.select(name.alias("log"), text.alias("value")).write.partitionBy("log").text(path)
+        return path + "/*.time.txt"
 
-    return _write_once(spark, folder, "runlogs", write) + "/*.time.txt"
+    return _once(spark, folder, "runlogs", write)
 
 
 def run_result_csv(spark: SparkSession, folder: str) -> str:
     """Path of the run results written as CSV."""
-    def write(path):
+    def write():
+        path = fresh_path(spark, "runresults")
         run_results(spark, folder).write.option("header", True).csv(path)
+        return path
 
-    return _write_once(spark, folder, "runresults", write)
+    return _once(spark, folder, "runresults", write)
