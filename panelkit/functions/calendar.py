@@ -46,9 +46,8 @@ def bucket_label(c: str | Column, level: str, week_year: str = "iso") -> Column:
     if level == "day":
         return F.date_format(as_column(c), "yyyy-MM-dd")
     if level == "week":
-        # format_string would print a null day as text
-        label = F.format_string("%04d-W%02d", week_year_of(c, week_year), iso_week(c))
-        return F.when(as_column(c).isNotNull(), label)
+        year = F.lpad(week_year_of(c, week_year).cast("string"), 4, "0")
+        return F.concat(year, F.lit("-W"), F.lpad(iso_week(c).cast("string"), 2, "0"))
     if level == "month":
         return month_label(c)
     raise ValueError(f"unknown calendar level: {level}")

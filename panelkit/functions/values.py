@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,11 @@ def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with a costly ``value`` evaluated once, however often it is referred to."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def to_number(c: str | Column, dtype: str = "bigint") -> Column:
     """Text to number; null where the text is not one.
 

@@ -77,7 +77,7 @@ def a23(spark, folder):
     "a24_workload_medians",
     RUNS + f"""
     SELECT framework, workload,
-           CASE lower(variant) WHEN 'small' THEN 'small' WHEN 'large' THEN 'big' WHEN 'data' THEN 'normal' ELSE lower(variant) END AS variant,
+           CASE lower(variant) WHEN 'small' THEN 'small' WHEN 'large' THEN 'big' ELSE 'normal' END AS variant,
            round({_q('wall_time_sec', 0.5)}, 6) AS median_time, round({_q('max_rss_kb', 0.5)}, 6) AS median_rss_kb
     FROM named GROUP BY 1, 2, 3""",
 )

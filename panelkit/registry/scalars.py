@@ -56,11 +56,13 @@ def x1(spark, folder):
 
 @query(
     "x2_parse_date",
-    _count_sql(PANEL, "panel", day="CAST(date AS VARCHAR)", wrong="CAST(NULL AS VARCHAR)"),
+    _count_sql(PANEL, "panel", day="CAST(date AS VARCHAR)", partly="CASE WHEN area <> 'ASIA' THEN CAST(date AS VARCHAR) END"),
 )
 def x2(spark, folder):
     df = observation_text(spark, folder)
-    return _counted(df, day=to_day("dateRep"), wrong=to_day("dateRep", "yyyy-MM-dd"))
+    other_order = F.concat_ws("-", "year", "month", "day")
+    mixed = F.when(F.col("continentExp") == "ASIA", other_order).otherwise(F.col("dateRep"))
+    return _counted(df, day=to_day("dateRep"), partly=to_day(mixed))
 
 
 @query(
@@ -211,7 +213,7 @@ def x18(spark, folder):
     "x19_normalize_variant",
     _count_sql(
         RUNS, "named",
-        label="CASE lower(variant) WHEN 'small' THEN 'small' WHEN 'large' THEN 'big' WHEN 'data' THEN 'normal' ELSE lower(variant) END",
+        label="CASE lower(variant) WHEN 'small' THEN 'small' WHEN 'large' THEN 'big' ELSE 'normal' END",
     ),
 )
 def x19(spark, folder):

@@ -86,9 +86,9 @@ WITH runs AS (
          CASE WHEN user_id % 5 = 0 THEN event_id || '_Small' ELSE CAST(event_id AS VARCHAR) END AS runid,
          value AS wall_time_sec, 20000 + user_id * 128 AS max_rss_kb,
          event_type || '_' || (user_id % 3) || '_run' || event_id
-           || CASE user_id % 4 WHEN 0 THEN '_data' WHEN 1 THEN '_data_small' WHEN 2 THEN '_data_large' ELSE '' END
+           || CASE user_id % 4 WHEN 0 THEN '_data' WHEN 1 THEN '_data_small' WHEN 2 THEN '_data_large' ELSE '_baseline' END
            || '.time.txt' AS logfile,
-         CASE user_id % 4 WHEN 0 THEN 'data' WHEN 1 THEN 'small' WHEN 2 THEN 'large' ELSE 'run' || event_id END AS token,
+         CASE user_id % 4 WHEN 0 THEN 'data' WHEN 1 THEN 'small' WHEN 2 THEN 'large' ELSE 'baseline' END AS token,
          CASE user_id % 4 WHEN 1 THEN 'small' WHEN 2 THEN 'large' ELSE 'data' END AS log_variant,
          user_id
   FROM events

@@ -168,7 +168,7 @@ def run_results(spark: SparkSession, folder: str) -> DataFrame:
         F.when(user % 4 == 0, "_data")
         .when(user % 4 == 1, "_data_small")
         .when(user % 4 == 2, "_data_large")
-        .otherwise("")
+        .otherwise("_baseline")
     )
     event = F.col("event_id").cast("string")
     return table(spark, folder, "events").select(
