@@ -40,20 +40,8 @@ def _of(measure: str, value) -> Column:
     return F.max(F.when(F.col("measure") == measure, value))
 
 
-def _quartiles(res: DataFrame, by: list[str], columns: list[str], approx: bool) -> DataFrame:
+def _quartiles(res: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Per group and measure the array ``q`` of the three quartiles, and the number ``n``."""
-    if approx:
-        sketched = [
-            F.struct(
-                F.lit(c).alias("measure"),
-                F.percentile_approx(c, QUARTILES).cast("array<double>").alias("q"),
-                F.count(c).alias("n"),
-            )
-            for c in columns
-        ]
-        rows = F.struct(F.lit(ROWS), F.array().cast("array<double>"), F.count("*"))
-        groups = res.na.drop(subset=by).groupBy(*by).agg(F.array(*sketched, rows).alias("m"))
-        return groups.select(*by, F.inline("m"))
     counts = value_counts(res, by, columns, with_rows=True)
     number = counts.groupBy(*by, "measure").agg(F.sum("n").alias("n"))
     return number.join(quantiles(counts, by, QUARTILES), [*by, "measure"])
@@ -64,20 +52,28 @@ def run_summary(
 ) -> DataFrame:
     """Count, median, mean, deviation and quartiles of the time, median and mean memory.
 
-    Groups with a null key are left out. ``approx`` takes the quartiles from a sketch.
+    Groups with a null key are left out. ``approx`` takes the quartiles from sketches, in one
+    aggregation.
     """
     by = list(by)
     if approx:
-        found = _quartiles(res, by, [TIME, MEMORY], True).join(
-            moments(value_counts(res, by, [TIME, MEMORY]), by).drop("n"), [*by, "measure"], "left"
+        times = F.percentile_approx(TIME, QUARTILES).cast("array<double>")
+        grouped = res.na.drop(subset=by).groupBy(*by)
+        summary = grouped.agg(
+            F.count(TIME).alias("n"),
+            times[1].alias("median_time"),
+            F.avg(TIME).alias("mean_time"),
+            F.stddev_samp(TIME).alias("std_time"),
+            times[0].alias("q1_time"),
+            times[2].alias("q3_time"),
+            F.percentile_approx(MEMORY, 0.5).cast("double").alias("median_rss_kb"),
+            F.avg(MEMORY).alias("mean_rss_kb"),
         )
     else:
         counts = value_counts(res, by, [TIME, MEMORY], with_rows=True)
+        q1, median, q3 = (F.col("q")[i] for i in range(3))
         found = moments(counts, by).join(quantiles(counts, by, QUARTILES), [*by, "measure"])
-    q1, median, q3 = (F.col("q")[i] for i in range(3))
-    return (
-        found.groupBy(*by)
-        .agg(
+        summary = found.groupBy(*by).agg(
             F.coalesce(_of(TIME, F.col("n")), F.lit(0)).alias("n"),
             _of(TIME, median).alias("median_time"),
             _of(TIME, F.col("mean")).alias("mean_time"),
@@ -87,8 +83,7 @@ def run_summary(
             _of(MEMORY, median).alias("median_rss_kb"),
             _of(MEMORY, F.col("mean")).alias("mean_rss_kb"),
         )
-        .withColumn("iqr_time", F.col("q3_time") - F.col("q1_time"))
-    )
+    return summary.withColumn("iqr_time", F.col("q3_time") - F.col("q1_time"))
 
 
 def workload_summary(res: DataFrame, approx: bool = False) -> DataFrame:
@@ -105,10 +100,10 @@ def workload_summary(res: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def variant_medians(res: DataFrame, approx: bool = False) -> DataFrame:
+def variant_medians(res: DataFrame) -> DataFrame:
     """Median time, median MB and number of runs per framework and log variant."""
     by, memory = ["framework", "variant"], "max_rss_mb"
-    found = _quartiles(with_log_variant(res), by, [TIME, memory], approx)
+    found = _quartiles(with_log_variant(res), by, [TIME, memory])
     median = F.col("q")[1]
     return found.groupBy(*by).agg(
         _of(TIME, median).alias("median_time"),
@@ -117,11 +112,11 @@ def variant_medians(res: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def workload_medians(res: DataFrame, approx: bool = False) -> DataFrame:
+def workload_medians(res: DataFrame) -> DataFrame:
     """Median time and memory per framework, workload and normalised variant."""
     by = ["framework", "workload", "variant"]
     named = with_variant(res).withColumn("variant", normalize_variant("variant"))
-    found = _quartiles(named, by, [TIME, MEMORY], approx)
+    found = _quartiles(named, by, [TIME, MEMORY])
     median = F.col("q")[1]
     return found.groupBy(*by).agg(
         _of(TIME, median).alias("median_time"), _of(MEMORY, median).alias("median_rss_kb")
