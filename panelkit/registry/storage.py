@@ -153,7 +153,7 @@ def k4(spark, folder):
     FROM panel GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 20""",
 )
 def k5(spark, folder):
-    return show_rows(trend(observations(spark, folder), "month"), 20)
+    return show_rows(trend(observations(spark, folder), "month"), 20, quiet=True)
 
 
 @query(

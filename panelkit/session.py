@@ -8,11 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
+PARTITION_BYTES = 128 * 1024**2  # what a shuffle partition should hold before AQE merges small ones
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Enough partitions for the largest shuffle; AQE merges them where there is less."""
+    return min(max(200, -(-shuffle_bytes // PARTITION_BYTES)), 200_000)
+
+
+def build_session(
+    app: str, master: str | None = None, shuffle_bytes: int | None = None, **extra: str
+) -> SparkSession:
     """A session with the settings the operators are tuned for.
 
-    AQE picks the number of shuffle partitions and splits skewed ones. No operator gives a
-    broadcast hint: Catalyst and AQE broadcast a side only when its size is under the threshold.
+    AQE merges small shuffle partitions and splits skewed ones, but it cannot split a partition
+    that is merely too large, so give the size of the largest shuffle as ``shuffle_bytes``: about
+    the columns of the panel that are read. No operator gives a broadcast hint: Catalyst and AQE
+    broadcast a side only when its size is under the threshold.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -23,8 +35,10 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        **extra,
     }
+    if shuffle_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
+    settings.update(extra)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

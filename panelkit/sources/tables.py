@@ -42,10 +42,11 @@ def write_json(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).json(path)
 
 
-def show_rows(df: DataFrame, n: int = 20) -> DataFrame:
-    """Print the first n rows and return them as a DataFrame."""
+def show_rows(df: DataFrame, n: int = 20, quiet: bool = False) -> DataFrame:
+    """The first n rows as a DataFrame, printed unless ``quiet``."""
     first = df.limit(n)
-    first.show(n, truncate=False)
+    if not quiet:
+        first.show(n, truncate=False)
     return first
 
 

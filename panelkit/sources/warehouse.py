@@ -29,7 +29,8 @@ SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
-NATION_BOUND = 10_000  # rows of the nation table up to which it is broadcast
+NATION_BOUND = 10_000  # rows up to which the nations are broadcast
+SUPPLIER_BOUND = 1_000_000  # rows up to which the territories are broadcast
 
 
 _done: dict[tuple[str, str, str], Any] = {}
@@ -65,48 +66,61 @@ def messy_name(name, key):
     )
 
 
-def nations(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per nation: its name, region and population.
+def _if_small(df: DataFrame, rows: DataFrame, bound: int, key: tuple[SparkSession, str, str]) -> DataFrame:
+    """A broadcast hint if ``rows``, which has as many rows as ``df``, is counted to be within the
+    bound. Without it Spark chooses the join: it shuffles both sides, and AQE splits skewed keys.
+    """
+    small = _once(*key, lambda: rows.limit(bound + 1).count() <= bound)
+    return F.broadcast(df) if small else df
+
+
+def territories(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per supplier: its nation as entity, region as area, the nation's population, and
+    the nation's name as this supplier spells it.
 
     The population is 1000 per supplier of the nation in debt. A nation without any has
-    population 0 if its key is odd, an unknown one if it is even. The result has the rows of the
-    nation table, so it is broadcast if that table is small; otherwise Spark chooses the join.
+    population 0 if its key is odd, an unknown one if it is even.
     """
     supplier, nation, region = (table(spark, folder, t) for t in ("supplier", "nation", "region"))
     debtors = F.count(F.when(F.col("s_acctbal") < 0, 1))
     people = supplier.groupBy(F.col("s_nationkey").alias("pop_nation")).agg(
         F.when((debtors > 0) | (F.col("s_nationkey") % 2 == 1), debtors * 1000).alias("pop")
     )
-    joined = (
+    nations = (
         nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .join(people, F.col("n_nationkey") == F.col("pop_nation"), "left")
         .select("n_nationkey", "n_name", "r_name", "pop")
     )
-    small = _once(spark, folder, "nations", lambda: nation.limit(NATION_BOUND + 1).count() <= NATION_BOUND)
-    return F.broadcast(joined) if small else joined
+    nations = _if_small(nations, nation, NATION_BOUND, (spark, folder, "few nations"))
+    joined = supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey",
+        F.col("n_name").alias("entity"),
+        F.col("r_name").alias("area"),
+        "pop",
+        messy_name(F.col("n_name"), F.col("s_suppkey")).alias(MESSY),
+    )
+    return _if_small(joined, supplier, SUPPLIER_BOUND, (spark, folder, "few suppliers"))
 
 
 def observations(spark: SparkSession, folder: str) -> Panel:
     """Line items as the daily panel, typed, with the rate left as dirty text.
 
-    One large join, with the suppliers; the nations are looked up after it. The date is a cast of
-    the stored column, so date filters and unused columns are pruned in the line item scan.
+    One large join, with the territories; a filter on area or entity is applied to them before it.
+    The date is a cast of the stored column, so date filters and unused columns are pruned in the
+    line item scan.
     """
     item = table(spark, folder, "lineitem")
-    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    joined = item.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
-        nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    joined = item.join(territories(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
     quantity = F.col("l_quantity").cast("bigint")
     df = joined.select(
         F.col("l_shipdate").cast("date").alias("date"),
-        F.col("n_name").alias("entity"),
-        F.col("r_name").alias("area"),
+        "entity",
+        "area",
         quantity.alias("cases"),
         F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")).otherwise(0).cast("bigint").alias("deaths"),
         "pop",
         F.when(F.col("l_returnflag") == "A", "").otherwise(quantity.cast("string")).alias("rate"),
-        messy_name(F.col("n_name"), F.col("s_suppkey")).alias(MESSY),
+        MESSY,
     )
     return Panel(df, **ROLES)
 
