@@ -11,13 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import computed_once
+
 ROWS = "rows"
 SMALL_GROUP = 100_000  # distinct values that one task orders in one piece
-RANGES = 256
-SKETCH_ACCURACY = 10_000
+SALTS = 16
+STEP = 16
+RANGES = STEP * STEP
+SKETCH_ACCURACY = 2_000
 
 
 def value_counts(
@@ -33,9 +37,10 @@ def value_counts(
     if with_rows:
         measured.append((ROWS, F.lit(0.0)))
     measures = F.array(*[F.struct(F.lit(c).alias("measure"), v.alias("value")) for c, v in measured])
+    for c in by:
+        df = df.filter(F.col(c).isNotNull())
     return (
-        df.na.drop(subset=list(by))
-        .select(*by, F.explode(measures).alias("m"))
+        df.select(*by, F.explode(measures).alias("m"))
         .select(*by, "m.measure", "m.value")
         .filter(F.col("value").isNotNull())
         .groupBy(*by, "measure", "value")
@@ -44,13 +49,24 @@ def value_counts(
     )
 
 
+def with_groups(counts: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join the counts with one or a few rows per group.
+
+    The values of a group are salted and its rows repeated for each salt, so the largest group is
+    shared by SALTS tasks, and all such joins use the same shuffle of the counts.
+    """
+    salted = counts.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
+    repeated = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*keys, "salt"], how).drop("salt")
+
+
 def moments(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per group and measure: number ``n``, ``mean`` and sample deviation ``std`` of the values."""
     keys = [*by, "measure"]
     means = counts.groupBy(*keys).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
     spread = F.sum((F.col("value") - F.col("mean")) ** 2 * F.col("n"))
     return (
-        counts.join(means, keys)
+        with_groups(counts, means, keys)
         .groupBy(*keys, "mean")
         .agg(F.sum("n").alias("n"), spread.alias("spread"))
         .withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.col("spread") / (F.col("n") - 1))))
@@ -59,27 +75,38 @@ def moments(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _cuts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cut points of the groups that have more than SMALL_GROUP distinct values."""
-    large = (
-        counts.groupBy(*keys).agg(F.count("*").alias("values"))
-        .filter(F.col("values") > SMALL_GROUP).select(*keys)
-    )
+    """Cut points of the groups that have more than SMALL_GROUP distinct values, and every STEP-th of them."""
     shares = [i / RANGES for i in range(1, RANGES)]
-    return counts.join(large, list(keys), "left_semi").groupBy(*keys).agg(
-        F.percentile_approx("value", shares, SKETCH_ACCURACY).alias("cuts")
+    return (
+        counts.groupBy(*keys)
+        .agg(
+            F.sum(F.when(F.col("n") > 0, 1)).alias("values"),
+            F.percentile_approx("value", shares, SKETCH_ACCURACY).alias("cuts"),
+        )
+        .filter(F.col("values") > SMALL_GROUP)
+        .select(*keys, "cuts", F.filter("cuts", lambda _, i: (i + 1) % STEP == 0).alias("coarse"))
     )
 
 
+def _range_number() -> Column:
+    """How many cut points lie below the value: first every STEP-th is compared, then those between."""
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut < F.col("value")))
+
+    start = below(F.col("coarse")) * STEP
+    return computed_once(start, lambda at: at + below(F.slice("cuts", at + 1, F.lit(STEP - 1))))
+
+
 def _wanted_ranges(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """The ranges that hold a wanted position: their ends ``low`` and ``high``, how many rows lie
     ``before`` them, and the positions wanted of their group.
     """
-    number = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col("value"))), F.lit(0))
     along = Window.partitionBy(*keys).orderBy("low")
     position = F.array(*[F.lit(float(x)) for x in probs])
     return (
-        counts.join(_cuts(counts, keys), list(keys), "left")
-        .groupBy(*keys, F.when(F.col("cuts").isNull(), 0).otherwise(number).alias("range"))
+        with_groups(counts, _cuts(counts, keys), keys, "left")
+        .groupBy(*keys, F.when(F.col("cuts").isNull(), 0).otherwise(_range_number()).alias("range"))
         .agg(F.sum("n").alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
         .withColumn("before", F.sum("size").over(along) - F.col("size"))
         .withColumn("rows", F.sum("size").over(Window.partitionBy(*keys)))
@@ -101,7 +128,7 @@ def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> D
     keys = [*by, "measure"]
     inside = Window.partitionBy(*keys, "low").orderBy("value")
     ordered = (
-        counts.join(_wanted_ranges(counts, keys, probs), keys)
+        with_groups(counts, _wanted_ranges(counts, keys, probs), keys)
         .filter(F.col("value").between(F.col("low"), F.col("high")))
         .withColumn("end", F.col("before") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtext import lower_label, normalize_variant, variant_of, variant_of_log
-from .quantiles import ROWS, moments, quantiles, value_counts
+from .quantiles import ROWS, moments, quantiles, value_counts, with_groups
 
 TIME, MEMORY = "wall_time_sec", "max_rss_kb"
 QUARTILES = [0.25, 0.5, 0.75]
@@ -139,7 +139,7 @@ def box_stats(res: DataFrame, by: Sequence[str], c: str) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.join(boxes, [*by, "measure"])
+        with_groups(counts, boxes, [*by, "measure"])
         .filter(inside)
         .groupBy(*by, "q1", "median", "q3")
         .agg(F.min("value").alias("low"), F.max("value").alias("high"))

@@ -120,7 +120,8 @@ def members(p: Panel, c: str, subareas: DataFrame | None = None) -> DataFrame:
 
 def months(p: Panel) -> DataFrame:
     """The months that occur, in order."""
-    return p.df.select(month_label(p.date).alias("member")).na.drop().distinct().orderBy("member")
+    starts = p.df.select(F.trunc(p.date, "month").alias("start")).na.drop().distinct()
+    return starts.select(month_label("start").alias("member")).orderBy("member")
 
 
 def labelled_totals(p: Panel, measure: str | None = None) -> DataFrame:

@@ -70,13 +70,20 @@ def tagged_key(df: DataFrame, entity: str) -> DataFrame:
 
 
 def monthly_by_entity(p: Panel) -> DataFrame:
-    """Cases per month label and cleaned entity name."""
-    return (
-        p.df.select(month_label(p.date).alias("month"), clean_name(p.entity).alias("label"), p.cases)
-        .na.drop(subset=["month", "label"])
-        .groupBy("month", "label")
+    """Cases per month label and cleaned entity name.
+
+    Labels and names are made from the sums per month and raw name, not from the rows.
+    """
+    total = f"total_{p.cases}"
+    raw = (
+        p.df.na.drop(subset=[p.date, p.entity])
+        .groupBy(F.trunc(p.date, "month").alias("start"), p.entity)
         .agg(*sums(p, [p.cases]))
     )
+    return (
+        raw.groupBy(month_label("start").alias("month"), clean_name(p.entity).alias("label"))
+        .agg(F.sum(total).alias(total))
+    )
 
 
 def month_snapshot(p: Panel, month: str | None = None) -> DataFrame:
