@@ -18,7 +18,7 @@ from ..functions.values import computed_once
 
 ROWS = "rows"
 SMALL_GROUP = 100_000  # distinct values that one task orders in one piece
-SALTS = 16
+SALTS = 16  # a power of two
 STEP = 16
 RANGES = STEP * STEP
 SKETCH_ACCURACY = 2_000
@@ -55,8 +55,10 @@ def with_groups(counts: DataFrame, groups: DataFrame, keys: Sequence[str], how:
     The values of a group are salted and its rows repeated for each salt, so the largest group is
     shared by SALTS tasks, and all such joins use the same shuffle of the counts.
     """
-    salted = counts.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
-    repeated = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # a salt that cannot be null adds no condition, which would give each use its own scan
+    salted = counts.withColumn("salt", F.xxhash64("value").bitwiseAND(F.lit(SALTS - 1).cast("bigint")))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    repeated = groups.withColumn("salt", F.explode(salts))
     return salted.join(repeated, [*keys, "salt"], how).drop("salt")
 
 

@@ -49,6 +49,12 @@ def test_subqueries_share_the_scan(spark, name):
     assert "ReusedExchange" in final
 
 
+@pytest.mark.parametrize("name", ["a21_run_summary", "a24_workload_medians", "a25_time_boxes"])
+def test_run_statistics_read_the_runs_once(spark, name):
+    final = executed(spark, name).split("\n+- == Initial Plan")[0]
+    assert final.count("FileScan") == 1
+
+
 @pytest.mark.parametrize("name", [n for n in QUERIES if n[0] in "ajtwf"])
 def test_no_cross_products(spark, name):
     plan = planned(spark, name)
