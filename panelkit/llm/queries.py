@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence_rules, language_profiles, quality_model
-from .common import in_fold, ship, table
+from panelkit.session import fresh_path
+
+from . import decontaminate, divergence_rules, id_files, language_profiles, packing, quality_model, warc
+from .common import in_fold, ship, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +55,97 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_id_files")
+def token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "id-files")
+    id_files.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return id_files.read(spark, path)
+
+
 @query("op5_quality_rules")
 def rules(spark: SparkSession, folder: str) -> DataFrame:
     return divergence_rules.judge(table(spark, folder, "documents"), ["doc_id"])
+
+
+@query("op7_packing")
+def packed(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@query(
+    "op9_decontamination",
+    f"""
+    WITH cut AS (
+        SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words
+        FROM documents
+        UNION ALL
+        SELECT 'b', item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}')
+        FROM benchmark
+    ),
+    grams AS (
+        SELECT id AS item_id, least(10, len(words)) AS length, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS pos, words
+        FROM cut WHERE kind = 'b' AND len(words) > 0
+    ),
+    windows AS (SELECT DISTINCT item_id, length, list_slice(words, pos, pos + length - 1) AS gram FROM grams),
+    lengths AS (SELECT DISTINCT length FROM windows),
+    places AS (
+        SELECT id AS doc_id, length, words, unnest(range(1, len(words) - length + 2)) AS pos
+        FROM cut, lengths WHERE kind = 'd' AND len(words) >= length
+    ),
+    hits AS (
+        SELECT p.doc_id, p.pos, p.length, w.item_id FROM places p
+        JOIN windows w ON w.length = p.length AND w.gram = list_slice(p.words, p.pos, p.pos + p.length - 1)
+    ),
+    covered AS (
+        SELECT doc_id, count(*) AS n_hit FROM (
+            SELECT DISTINCT doc_id, unnest(range(pos, pos + length)) AS word FROM (SELECT DISTINCT doc_id, pos, length FROM hits)
+        ) GROUP BY doc_id
+    ),
+    items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id
+    )
+    SELECT c.id AS doc_id, CAST(len(c.words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM cut c LEFT JOIN covered ON covered.doc_id = c.id LEFT JOIN items ON items.doc_id = c.id
+    WHERE c.kind = 'd'
+    """,
+)
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
+
+
+@query(
+    "op10_warc",
+    """
+    WITH digests AS (
+        SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM firsts
+    """,
+)
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write(table(spark, folder, "pages"), path)
+    captures = written(warc.assemble(warc.read(spark, path)), "captures")
+    page = F.col("metadata.fields")["page-id"].cast("long")
+    response = captures.select(
+        F.col("response.record_id").alias("original"), page.alias("refers_to"), F.col("response.payload_bytes").alias("original_bytes")
+    ).where(F.col("response.type") == "response")
+    rows = captures.join(response, F.col("response.refers_to") == F.col("original"), "left")
+    return rows.select(
+        page.alias("page_id"),
+        F.coalesce("response.payload_bytes", "original_bytes").alias("payload_bytes"),
+        F.coalesce("response.payload_digest", F.regexp_replace("response.declared_digest", "^sha256:", "")).alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        "refers_to",
+    )
