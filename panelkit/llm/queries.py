@@ -12,6 +12,7 @@ from panelkit.session import fresh_path
 
 from . import decontaminate, divergence_rules, id_files, language_profiles, packing, quality_model, warc
 from .common import in_fold, ship, table, written
+from .near_dups import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,3 +150,8 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
         F.col("response.type").alias("record_type"),
         "refers_to",
     )
+
+
+@query("op8_near_dups")
+def near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
