@@ -6,10 +6,13 @@ if ``100 * intersection >= PERCENT * union`` of their sets.
 1. Documents of the same set are one class, and its smallest id stands for it; classes are summed before the shuffle.
 2. Signatures of ``BANDS`` x ``ROWS`` values put the classes into buckets. Two of similarity 0.85 miss all with a chance of
    4e-6.
-3. In each bucket the members are compared with its smallest member; links make components. Members that are then
-   in another component than the smallest are compared with all members of yet another component. What lies in one component
-   needs no comparison, so a large group of near copies costs a comparison per member, not per pair.
-4. A pair is compared by its signatures first, ``BATCH`` values at a time: it is dropped as soon as the
+3. Of the texts that share a bucket, each counts its shingles that none of the others has. These bound its similarity to
+   any of them, without any pair: a text that is too much its own is out, and so are pairs of such texts.
+4. In each bucket the members are compared with the one that has the least of its own; links make components. Members that
+   are then in another component than that one are compared with all members of yet another component, unless what both
+   lack of that one's set rules it out (as bits of the lacking shingles, which can only count too few). What lies in one
+   component needs no comparison, so a large group of near copies costs a comparison per member, not per pair.
+5. A pair is compared by its signatures first, ``BATCH`` values at a time: it is dropped as soon as the
    posterior chance of the similarity being high enough, with a flat prior, is under ``MISS``. Survivors are verified on
    their full sets, from the texts.
 
@@ -26,7 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, utf8, written
@@ -70,17 +73,23 @@ def _signatures(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nda
     return row[first], out
 
 
+def _distinct(row: np.ndarray, hashes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Row and hash of each distinct shingle, size of each set, and two marks of it: sums that no order changes."""
+    _, one = np.unique(keyed(row, hashes), return_index=True)
+    row, hashes = row[one], hashes[one]
+    marks = [np.zeros(rows, np.uint64) for _ in range(2)]
+    for mark, salt in zip(marks, (0x51, 0xA7), strict=True):
+        np.add.at(mark, row, mix(hashes ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)))
+    return row, hashes, np.bincount(row, minlength=rows), marks
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         for low, high in chunks(offsets, 1 << 19):
             words = runs(data, offsets[low : high + 1], folded=True)
             row, hashes = _shingles(words)
-            _, one = np.unique(keyed(row, hashes), return_index=True)
-            size = np.bincount(row[one], minlength=high - low)
-            marks = [np.zeros(high - low, np.uint64) for _ in range(2)]  # sums over the set, the same in any order
-            for mark, salt in zip(marks, (0x51, 0xA7), strict=True):
-                np.add.at(mark, row[one], mix(hashes[one] ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)))
+            _, _, size, marks = _distinct(row, hashes, high - low)
             bands: list = [None] * (high - low)
             kept: list = [None] * (high - low)
             if len(row):
@@ -102,6 +111,17 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per distinct shingle of each text."""
+    for batch in batches:
+        data, offsets = utf8(batch.column("text"))
+        ids = batch.column("doc_id").to_numpy()
+        for low, high in chunks(offsets):
+            row, hashes = _shingles(runs(data, offsets[low : high + 1], folded=True))
+            row, hashes, _, marks = _distinct(row, hashes, high - low)
+            yield pa.RecordBatch.from_pydict({"node": ids[low + row], "mark_a": marks[0].view(np.int64)[row], "shingle": hashes.view(np.int64)})
+
+
 def _least_matches() -> list[int]:
     """For each batch: the fewest matches so far that leave a chance of MISS for a similarity of PERCENT or more.
 
@@ -138,6 +158,16 @@ def _similar(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("x", "y", "kept_x", "kept_y").mapInArrow(_prune, "x long, y long").distinct()
 
 
+def _compare(a: np.ndarray, b: np.ndarray) -> tuple[bool, int, int, int]:
+    """Whether two sets are linked, how many shingles they share, and what of the first the second lacks, as 128 bits."""
+    lack = a[~np.isin(a, b, assume_unique=True)]
+    shared = len(a) - len(lack)
+    bits = np.zeros(128, np.uint8)
+    bits[(lack % np.uint64(128)).astype(np.int64)] = 1
+    one, two = np.packbits(bits).view(np.int64).tolist()
+    return 100 * shared >= PERCENT * (len(a) + len(b) - shared), shared, one, two
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     recent: OrderedDict[tuple[int, int], np.ndarray] = OrderedDict()  # sets of the last texts, which often come again
 
@@ -157,70 +187,91 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, 64):
             part = batch.slice(low, 64)
-            texts = part.column("text_x").to_pylist() + part.column("text_y").to_pylist()
-            found = sets(texts)
             n = part.num_rows
-            keep = np.zeros(n, bool)
-            for i in range(n):
-                a, b = found[i], found[n + i]
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep[i] = 100 * shared >= PERCENT * (len(a) + len(b) - shared)
-            yield part.select(["x", "y"]).filter(pa.array(keep))
-
-
-def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar enough, as links (a, b)."""
-    pairs = written(pairs, "similar-pairs")
-    wanted = pairs.select("x").union(pairs.select("y")).distinct().toDF("doc_id")
-    texts = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "pair-texts")
+            found = sets(part.column("text_x").to_pylist() + part.column("text_y").to_pylist())
+            rows = [_compare(found[i], found[n + i]) for i in range(n)]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([part.column("x"), part.column("y"), *columns], ["a", "b", "linked", "common", "lack_1", "lack_2"])
+
+
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (x, y) as a and b, with what ``_compare`` says of their full sets. ``texts`` has doc_id and text."""
     both = pairs.join(texts.toDF("y", "text_y"), "y").join(texts.toDF("x", "text_x"), "x")
-    return both.select("x", "y", "text_x", "text_y").mapInArrow(_verify, "a long, b long").distinct()
+    return both.select("x", "y", "text_x", "text_y").mapInArrow(_verify, "a long, b long, linked boolean, common long, lack_1 long, lack_2 long")
 
 
-def _close(n: str, m: str):
-    """Sizes of two sets that may be similar enough."""
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def _close(n: str, own_n: str, m: str, own_m: str) -> Column:
+    """Whether two sets of n and m may be similar enough, if own_n and own_m of them are in no other set."""
+    n, own_n, m, own_m = (F.col(x) for x in (n, own_n, m, own_m))
+    return 100 * F.least(n - own_n, m - own_m) >= PERCENT * (F.greatest(n - own_n, m - own_m) + own_n + own_m)
+
+
+def _close_by_leader() -> Column:
+    """Whether two sets may be similar enough, by how each compares with their leader's; true where that is not known.
+
+    They share at most what neither lacks of the leader's, and what both have besides that is not their own.
+    """
+    lacked = F.bit_count(F.col("lack_1_x").bitwiseOR(F.col("lack_1_y"))) + F.bit_count(F.col("lack_2_x").bitwiseOR(F.col("lack_2_y")))
+    besides = F.least(*[F.greatest(F.lit(0), F.col(f"n_{s}") - F.col(f"common_{s}") - F.col(f"own_{s}")) for s in "xy"])
+    most = F.col("leader_n") - lacked + besides
+    return F.coalesce(100 * most >= PERCENT * (F.col("n_x") + F.col("n_y") - most), F.lit(True))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_shingles, component_id (smallest id reachable by links) and kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(docs.mapInArrow(_set_rows, "doc_id long, n long, mark_a long, mark_b long, bands array<long>, kept binary"), "shingle-sets")
-    known = sets.where("n > 0 and doc_id is not null")
-    classes = written(
-        known.groupBy("mark_a", "mark_b", "n").agg(F.min(F.struct("doc_id", "bands", "kept")).alias("first")).select(
-            "mark_a", "mark_b", "n", F.col("first.doc_id").alias("node"), F.col("first.bands").alias("bands"), F.col("first.kept").alias("kept")
-        ),
-        "classes",
+    first = F.min(F.struct("doc_id", "bands", "kept")).alias("first")
+    classes = sets.where("n > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n").agg(first)
+    classes = written(classes.select("mark_a", "mark_b", "n", F.col("first.doc_id").alias("node"), "first.bands", "first.kept"), "classes")
+
+    # what shares a bucket, and how much of it is in no other text that does
+    cast = classes.select("node", "mark_a", F.explode("bands").alias("bucket"))
+    shared = cast.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    candidates = written(cast.join(shared, "bucket").select("node", "mark_a").distinct(), "candidates")
+    texts = docs.join(candidates.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = written(texts.distinct(), "candidate-texts")
+    shingles = texts.mapInArrow(_shingle_rows, "node long, mark_a long, shingle long")
+    lone = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("mark_a").alias("mark_a")).where("n = 1")
+    lone = lone.groupBy("node", "mark_a").agg(F.count("*").alias("own"))
+    live = classes.join(candidates, ["node", "mark_a"], "left_semi").join(lone, ["node", "mark_a"], "left").na.fill(0, ["own"])
+    live = written(live.where(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")), "live-classes")
+
+    members = live.select("node", "n", "own", F.explode("bands").alias("bucket"))
+    leader = F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "node", "n", "own")).alias("leader")
+    buckets = members.groupBy("bucket").agg(leader, F.count("*").alias("size")).where("size > 1")
+    members = members.join(buckets, "bucket").select(
+        "bucket", "node", "n", "own", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"), F.col("leader.own").alias("leader_own")
     )
-    members = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("leader"), F.count("*").alias("size")).where("size > 1")
-    members = written(members.join(buckets, "bucket").select("bucket", "node", "n", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n")), "buckets")
+    members = written(members, "buckets")
 
-    stars = members.where((F.col("node") != F.col("leader")) & _close("n", "leader_n")).select(F.col("leader").alias("x"), F.col("node").alias("y")).distinct()
-    links = written(_linked(_similar(stars, classes), docs), "star-links")
+    stars = members.where((F.col("node") != F.col("leader")) & _close("n", "own", "leader_n", "leader_own"))
+    stars = stars.select(F.col("leader").alias("x"), F.col("node").alias("y")).distinct()
+    stars = written(_compared(_similar(stars, live), texts), "star-pairs")
+    links = stars.where("linked").select("a", "b")
     found = written(components(links), "components")
 
-    # members whose component is not that of their bucket's smallest member, against all others of yet another
-    at = found.select(F.col("node"), "component")
-    led = members.join(at, "node", "left").withColumn("own", F.coalesce("component", "node")).drop("component")
-    led = led.join(at.toDF("leader", "leader_component"), "leader", "left").withColumn("lead", F.coalesce("leader_component", "leader"))
-    strays = led.where("own != lead").select("bucket", F.col("node").alias("x"), F.col("own").alias("own_x"), F.col("n").alias("n_x"))
-    mixed = strays.select("bucket").distinct()
-    others = led.join(mixed, "bucket", "left_semi").select("bucket", "leader", "lead", F.col("node").alias("y"), F.col("own").alias("own_y"), F.col("n").alias("n_y"))
+    # members whose component is not that of their bucket's leader, against all others of yet another
+    led = members.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    led = led.join(found.toDF("leader", "component"), "leader", "left").withColumn("lead", F.coalesce("component", "leader"))
+    to_leader = stars.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("common", "lack_1", "lack_2")])
+    led = led.join(to_leader.withColumnsRenamed({"a": "leader", "b": "node"}), ["leader", "node"], "left").where("node != leader")
+    apart = ["node", "part", "n", "own", "common", "lack_1", "lack_2"]
+    strays = led.where("part != lead").select("bucket", *[F.col(c).alias(f"{c}_x") for c in apart])
+    others = led.select("bucket", "lead", "leader_n", *[F.col(c).alias(f"{c}_y") for c in apart])
     across = strays.join(others, "bucket").where(
-        (F.col("own_x") != F.col("own_y"))
-        & (F.col("y") != F.col("leader"))  # compared before
-        & ((F.col("own_y") == F.col("lead")) | (F.col("x") < F.col("y")))  # both strays: once
-        & _close("n_x", "n_y")
+        (F.col("part_x") != F.col("part_y"))
+        & ((F.col("part_y") == F.col("lead")) | (F.col("node_x") < F.col("node_y")))  # both strays: once
+        & _close("n_x", "own_x", "n_y", "own_y")
+        & _close_by_leader()
     )
-    across = across.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    more = written(_linked(_similar(across, classes), docs), "cross-links")
+    across = across.select(F.least("node_x", "node_y").alias("x"), F.greatest("node_x", "node_y").alias("y")).distinct()
+    more = written(_compared(_similar(across, live), texts), "cross-pairs").where("linked").select("a", "b")
     if more.take(1):
         found = written(components(links.union(more)), "components")
 
     nodes = classes.select("mark_a", "mark_b", "n", "node")
-    rows = sets.join(nodes, ["mark_a", "mark_b", "n"], "left").join(found, "node", "left")
+    rows = sets.drop("bands", "kept").join(nodes, ["mark_a", "mark_b", "n"], "left").join(found, "node", "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
     return rows.select(
