@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit.session import fresh_path
 
-from . import decontaminate, divergence_rules, id_files, language_profiles, packing, quality_model, warc
+from . import decontaminate, divergence_rules, id_files, language_profiles, packing, quality_model, style_tree, warc
 from .common import in_fold, ship, table, written
 from .near_dups import near_duplicates
 
@@ -155,3 +155,11 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_near_dups")
 def near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op4_html_extraction")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.col("main_text")
+    return style_tree.extract(table(spark, folder, "pages"), ["page_id", "url"]).select(
+        "page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars")
+    )
