@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit.session import fresh_path
 
-from . import decontaminate, divergence_rules, id_files, language_profiles, packing, quality_model, style_tree, warc
+from . import decontaminate, divergence_rules, id_files, language_profiles, maxent, packing, quality_model, style_tree, warc
 from .common import in_fold, ship, table, written
 from .near_dups import near_duplicates
 
@@ -163,3 +163,9 @@ def main_text(spark: SparkSession, folder: str) -> DataFrame:
     return style_tree.extract(table(spark, folder, "pages"), ["page_id", "url"]).select(
         "page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars")
     )
+
+
+@query("op6_lm_scores")
+def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = in_fold(F.col("doc_id"), 5, 1)
+    return maxent.score(table(spark, folder, "documents"), ~held_out).withColumn("held_out", held_out)
