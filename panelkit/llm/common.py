@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelkit.session import fresh_path
 
@@ -45,6 +46,16 @@ def in_fold(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(fold(doc_id, parts) == part, F.lit(False))
 
 
+def added(df: DataFrame, keep: list[str], fields: str) -> StructType:
+    """The schema of the columns ``keep`` of ``df`` and further fields."""
+    return StructType(df.select(*keep).schema.fields + StructType.fromDDL(fields).fields)
+
+
+def whole_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """Each row as one column ``row``, which no column of an operator clashes with, and the columns that it works on."""
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *columns)
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write to the shared folder and read again: computed once, and nothing to recompute after a loss."""
     path = fresh_path(df.sparkSession, name)

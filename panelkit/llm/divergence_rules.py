@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, utf8
+from .common import added, chunks, utf8
 from .wordscan import keyed, row_sums, runs, windows
 
 WORD_BINS = 1 << 14
@@ -202,7 +202,6 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(references(docs))
     text = docs.select(*keep, F.col("text").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +209,7 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
                 own = {name: batch.column(name) for name in keep}
                 yield pa.RecordBatch.from_pydict(own | _measure(batch.column("__text"), shared.value))
 
-    measured = text.mapInArrow(run, f"{schema}, {MEASURES}")
+    measured = text.mapInArrow(run, added(docs, keep, MEASURES))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     strange = ((F.col("n_words") >= MIN_CLASS_WORDS) & (F.col("class_distance") > CLASS_LIMIT)) | (
         (F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("word_distance") > COMMON_LIMIT)

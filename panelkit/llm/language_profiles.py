@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import added
+
 TOP = 300
 SAMPLE = 2_000
 UNKNOWN = "und"
@@ -154,7 +156,6 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], keep: list[str]) -
     """The columns ``keep`` of each row of ``docs`` (text), ``lang_pred`` and ``lang_score``."""
     shared = docs.sparkSession.sparkContext.broadcast((list(profiles), _places(profiles) if profiles else None))
     columns = docs.select(*keep, F.col("text").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, tables = shared.value
@@ -170,4 +171,4 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], keep: list[str]) -
                 }
             )
 
-    return columns.mapInArrow(run, f"{schema}, lang_pred string, lang_score double")
+    return columns.mapInArrow(run, added(docs, keep, "lang_pred string, lang_score double"))

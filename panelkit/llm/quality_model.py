@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, utf8, written
+from .common import added, chunks, utf8, written
 from .wordscan import Runs, mix, runs
 
 BUCKETS = 1 << 18
@@ -181,7 +181,6 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each row of ``docs`` (text) and its ``quality_score``, from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     columns = docs.select(*keep, F.col("text").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,4 +188,4 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
                 own = {name: batch.column(name) for name in keep}
                 yield pa.RecordBatch.from_pydict(own | {"quality_score": _scores(batch.column("__text"), shared.value)})
 
-    return columns.mapInArrow(run, f"{schema}, quality_score double")
+    return columns.mapInArrow(run, added(docs, keep, "quality_score double"))

@@ -35,6 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import added
+
 LEAST = 0.3
 MIN_PAGES = 5
 DEEPEST = 40  # elements deeper than this count as part of the one at this depth
@@ -279,7 +281,6 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     low = importance(pages).where(~F.col("declared") & (F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST))
     low = low.groupBy("host").agg(F.collect_list("path").alias("__removed")).withColumnRenamed("host", "__host")
     rows = pages.select(*keep, F.col("html").alias("__html"), _host("url").alias("__of")).join(low, F.col("__of") == F.col("__host"), "left")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,4 +294,4 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
                 out.append(_main_text(source.as_py(), removed[host]))
             yield pa.RecordBatch.from_pydict({name: batch.column(name) for name in keep} | {"main_text": pa.array(out, pa.string())})
 
-    return rows.select(*keep, "__html", "__of", "__removed").mapInArrow(run, f"{schema}, main_text string")
+    return rows.select(*keep, "__html", "__of", "__removed").mapInArrow(run, added(pages, keep, "main_text string"))
