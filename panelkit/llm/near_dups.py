@@ -42,6 +42,7 @@ BANDS, ROWS = 32, 7
 KEPT = 128  # signature values kept for the pruning, 16 bits of each
 BATCH = 32
 MISS = 1e-7
+BITS = 1 << 24
 
 _MULTIPLIERS = (np.random.Generator(np.random.PCG64(85)).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) << 1) | 1
 _SCRAMBLE = np.random.Generator(np.random.PCG64(86)).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -217,6 +218,20 @@ def _close_by_leader() -> Column:
     return F.coalesce(100 * most >= PERCENT * (F.col("n_x") + F.col("n_y") - most), F.lit(True))
 
 
+def _likely(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose column may be an id of ``ids``, before an exact join: few others pass while the ids are few.
+
+    The ids are marked in ``BITS`` bits by hash, 64 to a row: a broadcast of fixed size, however many there are.
+    """
+    place = f"pmod(xxhash64({{}}), {BITS}L)"
+    marked = ids.selectExpr(f"{place.format('id')} AS place").groupBy(F.expr("place div 64 AS word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(place % 64 AS int)))").alias("bits")
+    )
+    placed = df.withColumn("place", F.expr(place.format(column)))
+    joined = placed.join(F.broadcast(marked), F.expr("place div 64") == F.col("word"))
+    return joined.where("bits & shiftleft(1L, cast(place % 64 AS int)) != 0").select(df.columns)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_shingles, component_id (smallest id reachable by links) and kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -229,12 +244,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     cast = classes.select("node", "mark_a", F.explode("bands").alias("bucket"))
     shared = cast.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     candidates = written(cast.join(shared, "bucket").select("node", "mark_a").distinct(), "candidates")
-    texts = docs.join(candidates.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    ids = candidates.select(F.col("node").alias("id")).distinct()
+    texts = _likely(docs, "doc_id", ids).join(ids.toDF("doc_id"), "doc_id", "left_semi")
     texts = written(texts.distinct(), "candidate-texts")
     shingles = texts.mapInArrow(_shingle_rows, "node long, mark_a long, shingle long")
     lone = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("mark_a").alias("mark_a")).where("n = 1")
     lone = lone.groupBy("node", "mark_a").agg(F.count("*").alias("own"))
-    live = classes.join(candidates, ["node", "mark_a"], "left_semi").join(lone, ["node", "mark_a"], "left").na.fill(0, ["own"])
+    live = _likely(classes, "node", ids).join(candidates, ["node", "mark_a"], "left_semi").join(lone, ["node", "mark_a"], "left").na.fill(0, ["own"])
     live = written(live.where(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")), "live-classes")
 
     members = live.select("node", "n", "own", F.explode("bands").alias("bucket"))
