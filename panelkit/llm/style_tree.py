@@ -35,10 +35,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import added
+from .common import added, written
 
 LEAST = 0.3
 MIN_PAGES = 5
+BROADCAST_BYTES = 16 * 1024**2  # of hosts and paths to be removed
+SALTS = 64
 DEEPEST = 40  # elements deeper than this count as part of the one at this depth
 
 # fixed values: elements of the markup language by how they are read
@@ -279,8 +281,15 @@ def _main_text(source: str | None, removed: frozenset[str]) -> str:
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each row of ``pages`` (url, html) and its ``main_text``."""
     low = importance(pages).where(~F.col("declared") & (F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST))
-    low = low.groupBy("host").agg(F.collect_list("path").alias("__removed")).withColumnRenamed("host", "__host")
-    rows = pages.select(*keep, F.col("html").alias("__html"), _host("url").alias("__of")).join(low, F.col("__of") == F.col("__host"), "left")
+    low = written(low.groupBy("host").agg(F.collect_list("path").alias("__removed")).withColumnRenamed("host", "__host"), "low-branches")
+    rows = pages.select(*keep, F.col("html").alias("__html"), _host("url").alias("__of"))
+    size = low.agg(F.sum(F.length("__host") + F.length(F.concat_ws("", "__removed")) + 16 * F.size("__removed"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        rows = rows.join(F.broadcast(low), F.col("__of") == F.col("__host"), "left")
+    else:  # a host may have most pages, so each is dealt over SALTS places
+        rows = rows.withColumn("__salt", F.pmod(F.xxhash64("__html"), F.lit(SALTS)))
+        low = low.withColumn("__place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.join(low, (F.col("__of") == F.col("__host")) & (F.col("__salt") == F.col("__place")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

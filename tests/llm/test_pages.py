@@ -51,7 +51,9 @@ def test_one_page(llm, html, text):
     assert style_tree.extract(pages, ["page_id"]).first().main_text == text
 
 
-def test_branches_that_all_pages_share_are_removed(llm):
+@pytest.mark.parametrize("limit", [style_tree.BROADCAST_BYTES, -1])
+def test_branches_that_all_pages_share_are_removed(llm, monkeypatch, limit):
+    monkeypatch.setattr(style_tree, "BROADCAST_BYTES", limit)
     note = '<div class="box7"><p>Read more of our <a href="/">pages</a> here.</p></div>'
     page = "<body><div class='text'><p>{0} own words {0}</p></div>" + note + "</body>"
     rows = [(i, "http://h.example/%d" % i, page.format(f"text{i}")) for i in range(8)]
