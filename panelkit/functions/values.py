@@ -58,9 +58,9 @@ def guarded(condition: Column, value: Column, other) -> Column:
 
 
 def scale(numerator: str | Column, denominator: str | Column | float, factor: float = 1.0) -> Column:
-    """``numerator / denominator * factor`` as double."""
+    """``numerator / denominator * factor`` as double; null if the denominator is 0."""
     below = F.lit(denominator) if isinstance(denominator, (int, float)) else as_column(denominator)
-    quotient = as_column(numerator).cast("double") / below.cast("double")
+    quotient = F.try_divide(as_column(numerator).cast("double"), below.cast("double"))
     return quotient if factor == 1.0 else quotient * F.lit(float(factor))
 
 

@@ -1,7 +1,7 @@
 """Name matching: codes, corrections, fuzzy matches against a list of valid names.
 
 Scores run from 0 to 100. Names with the same letters and digits score 100, names with the same
-words in another order 95, others ``100 * (1 - edits / length of the longer name)``.
+words in another order or number 95, others ``100 * (1 - edits / length of the longer name)``.
 """
 
 from __future__ import annotations
@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from ..binding import Panel
 from ..constants import CODE_ALIASES
-from ..functions.values import clean_name, relabel, strip_parens
+from ..functions.values import clean_name, computed_once, relabel, strip_parens
 from .totals import sums
 
 SAME_WORDS_SCORE = 95.0
-MAX_EDITS = 2  # a name that allows more is scored against the whole list instead
 LIST_CHUNK = 1_000
 
 
@@ -27,10 +26,11 @@ def attach_values(dim: DataFrame, values: DataFrame, dim_name: str, value_name:
 
 
 def iso3(
-    df: DataFrame, name: str, dim: DataFrame, aliases: Mapping[str, str] = CODE_ALIASES
+    df: DataFrame, name: str, dim: DataFrame, aliases: Mapping[str, str] | DataFrame = CODE_ALIASES
 ) -> DataFrame:
     """Adds ``iso_a3``: the code of a name after alias lookup, else of the name without its
     parenthesised part, else null. Every column of ``dim`` is a name form, ``alpha_3`` included.
+    Aliases are a mapping, or a table (raw, fixed) like corrections.
     """
     forms = (
         dim.select("alpha_3", F.explode(F.array(*[F.lower(c) for c in dim.columns])).alias("form"))
@@ -38,8 +38,8 @@ def iso3(
         .groupBy("form")
         .agg(F.min("alpha_3").alias("code"))
     )
-    tried = relabel(clean_name(name), aliases)
-    keyed = df.withColumns({"_full": F.lower(tried), "_short": F.lower(strip_parens(tried))})
+    tried = apply_fixes(df.withColumn("_tried", clean_name(name)), "_tried", aliases)
+    keyed = tried.withColumns({"_full": F.lower("_tried"), "_short": F.lower(strip_parens("_tried"))})
     full = forms.select(F.col("form").alias("_full"), F.col("code").alias("_full_code"))
     short = forms.select(F.col("form").alias("_short"), F.col("code").alias("_short_code"))
     return (
@@ -60,10 +60,13 @@ def valid_names(dim: DataFrame, extra: Iterable[str] | DataFrame, name: str = "n
 
 
 def apply_fixes(df: DataFrame, name: str, fixes: Mapping[str, str] | DataFrame) -> DataFrame:
-    """Replace the raw names that have a correction. A long list comes as a table (raw, fixed)."""
+    """Replace the raw names that have a correction. A long list comes as a table (raw, fixed).
+
+    Of several corrections of one name in a table the first by the alphabet counts, so no row is doubled.
+    """
     if not isinstance(fixes, DataFrame):
         return df.withColumn(name, relabel(name, fixes))
-    table = fixes.select(F.col("raw").alias(name), F.col("fixed").alias("_fixed"))
+    table = fixes.groupBy(F.col("raw").alias(name)).agg(F.min("fixed").alias("_fixed"))
     joined = df.join(table, name, "left").withColumn(name, F.coalesce("_fixed", name))
     return joined.select(*df.columns)
 
@@ -82,8 +85,8 @@ def match_key(c: Column) -> Column:
 
 
 def word_key(c: Column) -> Column:
-    """The words of a match key in order."""
-    words = F.filter(F.split(c, " +"), lambda w: w != "")
+    """The words of a match key in order, each once."""
+    words = F.array_distinct(F.filter(F.split(c, " +"), lambda w: w != ""))
     return F.array_join(F.array_sort(words), " ")
 
 
@@ -97,22 +100,6 @@ def _better(score: Column, match: Column) -> Column:
     return F.when(match.isNotNull(), F.struct((-score).alias("cost"), match.alias("match")))
 
 
-def _without_letters(key: Column, taken: Column) -> Column:
-    """Every text that is left when ``taken`` letters are removed from the key."""
-
-    def one_less(text: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.length(text)),
-            lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))),
-        )
-
-    return F.aggregate(
-        F.array_repeat(F.lit(0), taken),
-        F.array(key),
-        lambda found, _: F.array_distinct(F.flatten(F.transform(found, one_less))),
-    )
-
-
 def _edits(length: Column, threshold: float) -> Column:
     """The most edits that still reach the threshold, by the length of the longer name."""
     return F.floor(length * F.lit((100.0 - threshold) / 100.0) + F.lit(1e-9)).cast("int")
@@ -123,26 +110,41 @@ def _most_edits(key: Column, threshold: float) -> Column:
     return F.floor(F.length(key) * F.lit((100.0 - threshold) / threshold) + F.lit(1e-9)).cast("int")
 
 
-def _parts(key: Column, threshold: float) -> Column:
-    """Hashes that two keys within the threshold have in common.
+def _grams(key: Column) -> Column:
+    """All pairs of neighbouring letters, numbered where one repeats."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length(key) - 1), lambda i: F.substring(key, i, F.lit(2)))
+
+    def numbered(all_pairs: Column) -> Column:
+        def number(pair: Column, i: Column) -> Column:
+            return F.concat(pair, F.size(F.filter(F.slice(all_pairs, 1, i), lambda x: x == pair)).cast("string"))
 
-    Two names within d edits become equal when d letters are taken from the longer one and as
-    many as bring the other to that length. A hash covers the rest of the name and both lengths,
-    so only near-identical names share one, and a common word does not bring names together.
+        return F.transform(all_pairs, number)
+
+    return F.when(F.length(key) > 1, computed_once(pairs, numbered)).otherwise(F.array().cast("array<string>"))
+
+
+def _open(key: Column, threshold: float) -> Column:
+    """Whether a partner within the threshold may exist that shares no pair of letters.
+
+    With d edits a name of L letters keeps at least L - 1 - 2d pairs of its partner's, and d grows
+    with L, so only short names are open, or all at a low threshold.
     """
-    own, reach = F.length(key), _most_edits(key, threshold)
+    reach = _most_edits(key, threshold)
+    lengths = F.sequence(F.length(key), F.length(key) + reach)
+    return F.exists(lengths, lambda n: (_edits(n, threshold) > 0) & (n - 1 - 2 * _edits(n, threshold) <= 0))
 
-    def for_partner(other: Column) -> Column:
-        edits = _edits(F.greatest(own, other), threshold)
-        taken = edits - F.greatest(other - own, F.lit(0))
-        lengths = (F.least(own, other), F.greatest(own, other))
-        rest = _without_letters(key, F.least(taken, own))
-        hashes = F.transform(rest, lambda text: F.xxhash64(text, *lengths))
-        possible = (F.abs(other - own) <= edits) & (edits <= MAX_EDITS)
-        return F.when(possible, hashes).otherwise(F.array().cast("array<bigint>"))
 
-    partners = F.sequence(F.greatest(own - reach, F.lit(1)), own + reach)
-    return F.flatten(F.transform(partners, for_partner))
+def _rarest(df: DataFrame, kept: list[str], grams: Column, frequency: DataFrame, most: Column) -> DataFrame:
+    """Adds ``part``, a row for each of the rarest ``most`` grams; null for names without any.
+
+    Two names within d edits share one of their 2d + 1 rarest grams, in whatever order all grams
+    are put, and rare ones bring few names together.
+    """
+    exploded = df.select(*kept, most.alias("most"), F.explode_outer(grams).alias("gram")).join(frequency, "gram", "left")
+    ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")))
+    first = [F.first(c).alias(c) for c in [*kept[1:], "most"]]
+    grouped = exploded.groupBy(kept[0]).agg(*first, ranked.alias("ranked"))
+    return grouped.select(*kept, F.explode_outer(F.slice("ranked", F.lit(1), F.col("most"))["gram"]).alias("part"))
 
 
 def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -154,34 +156,45 @@ def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _near(names: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
-    """Improves ``best`` of names that allow few edits, by an equi-join on what is left of names
-    with that many letters taken out.
+    """Improves ``best`` of names that are not open, by an equi-join on their rarest pairs of letters.
+
+    Rarity is that of the list, so the names are read once.
     """
-    reach = _most_edits(F.col("key"), threshold)
-    searched = F.col("best.cost").isNull() | (F.col("best.cost") > -100.0)
+    key = F.col("key")
+    most = 2 * _most_edits(key, threshold) + 1
+    frequency = listed.select(F.explode(_grams(key)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    offered = _rarest(listed.select("match", key.alias("other")), ["match", "other"], _grams(F.col("other")), frequency, 2 * _most_edits(F.col("other"), threshold) + 1)
+    offered = offered.filter(F.col("part").isNotNull())
+    searched = (F.col("best.cost").isNull() | (F.col("best.cost") > -100.0)) & (_most_edits(key, threshold) > 0)
+    grams = F.when(searched & ~_open(key, threshold), _grams(key)).otherwise(F.array().cast("array<string>"))
+    spread = _rarest(names, names.columns, grams, frequency, most)
     # names that are not searched get a part of their own, which spreads them over the tasks
-    own_part = F.array(F.xxhash64("raw"))
-    parts = F.when(searched & reach.between(1, MAX_EDITS), _parts(F.col("key"), threshold)).otherwise(own_part)
-    offered = listed.select(
-        "match", F.col("key").alias("other"), F.explode(_parts(F.col("key"), threshold)).alias("part")
-    )
-    score = similarity(F.levenshtein("key", "other"), F.col("key"), F.col("other"))
-    found = _better(score, F.when(score >= threshold - 1e-9, F.col("match")))
-    exploded = names.withColumn("part", F.explode(parts))
-    return _best_per_name(exploded.join(offered, "part", "left").withColumn("found", found), names.columns)
+    spread = spread.withColumn("part", F.coalesce("part", F.concat(F.lit("-"), F.xxhash64("raw").cast("string"))))
+    longer = F.greatest(F.length(key), F.length("other"))
+    edits = _edits(longer, threshold)
+    possible = F.abs(F.length(key) - F.length("other")) <= edits
+    score = similarity(F.levenshtein("key", "other"), key, F.col("other"))
+    found = _better(score, F.when(possible & (score >= threshold - 1e-9), F.col("match")))
+    return _best_per_name(spread.join(offered, "part", "left").withColumn("found", found), names.columns)
 
 
 def _closest(names: DataFrame, listed: DataFrame, wanted: Column) -> DataFrame:
     """Improves ``best`` of the wanted names by scoring them against the whole list.
 
     The list is cut into chunks of bounded size; a name meets each chunk as one array and keeps
-    only the best of it, so no pairs are written out.
+    only the best of it, so no pairs are written out. Names and chunks are dealt over all shuffle
+    partitions by number, which AQE leaves as they are: it would merge them, as their bytes are
+    few while their work is not.
     """
-    chunks = listed.agg(F.greatest(F.ceil(F.count("*") / LIST_CHUNK), F.lit(1)).alias("chunks")).scalar()
+    spark = names.sparkSession
+    places = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(1, -(-listed.count() // LIST_CHUNK))  # the list is a dimension, small beside the names' panel
+    salts = max(1, -(-4 * places // chunks))
     pieces = (
-        listed.withColumn("chunk", F.pmod(F.xxhash64("match"), chunks))
+        listed.withColumn("chunk", F.pmod(F.xxhash64("match"), F.lit(chunks)))
         .groupBy("chunk")
         .agg(F.collect_list(F.struct("match", "key", "words")).alias("choices"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
 
     def cost(choice: Column) -> Column:
@@ -191,12 +204,13 @@ def _closest(names: DataFrame, listed: DataFrame, wanted: Column) -> DataFrame:
         return _better(F.greatest(score, same_words), choice["match"])
 
     # unwanted names get a number that no chunk has, which spreads them over the tasks
-    every_chunk = F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)
+    every_chunk = F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")
     no_chunk = F.array(-1 - F.pmod(F.xxhash64("raw"), F.lit(LIST_CHUNK)))
     exploded = (
-        names.withColumn("chunks", chunks)
-        .withColumn("chunk", F.explode(F.when(wanted, every_chunk).otherwise(no_chunk)))
-        .join(pieces, "chunk", "left")
+        names.withColumn("chunk", F.explode(F.when(wanted, every_chunk).otherwise(no_chunk)))
+        .withColumn("salt", F.pmod(F.xxhash64("raw", "key"), F.lit(salts)).cast("int"))
+        .repartition(places, "chunk", "salt")
+        .join(pieces, ["chunk", "salt"], "left")
         .withColumn("found", F.array_min(F.transform("choices", cost)))
     )
     return _best_per_name(exploded, names.columns)
@@ -217,9 +231,10 @@ def fuzzy_match(
     """The best valid name of each distinct raw name: (raw, clean, match, score).
 
     ``match`` and ``score`` are null where no valid name reaches the threshold. Equal names and
-    equal words are found by equi-joins; only what is left is compared letter by letter. Names so
-    long that they allow more than MAX_EDITS edits are scored against the whole list. The steps
-    follow each other, so the input is read once.
+    equal words are found by equi-joins; only what is left is compared letter by letter, with the
+    names that share a rare pair of letters. Only names so short, or a threshold so low, that near
+    names need not share any are scored against the whole list. The steps follow each other, so
+    the input is read once.
     """
     spelled = names.select(F.col(name).alias("raw")).na.drop().distinct()
     spelled = _keyed(spelled.withColumn("clean", clean_name("raw")), F.col("clean"))
@@ -239,8 +254,7 @@ def fuzzy_match(
         .select("raw", "clean", "key", "words", "best")
     )
     near = _near(equal, listed, threshold)
-    long_name = _most_edits(F.col("key"), threshold) > MAX_EDITS
-    best = _closest(near, listed, long_name)
+    best = _closest(near, listed, _open(F.col("key"), threshold) & (F.col("best.cost").isNull() | (F.col("best.cost") > -100.0)))
     reached = -F.col("best.cost") >= threshold - 1e-9
     return best.select(
         "raw",

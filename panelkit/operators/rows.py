@@ -36,14 +36,19 @@ def filter_area(
     """Rows of one area, or of one sub-area of ``parent``; None keeps all rows.
 
     Sub-areas are a mapping from name to entities, or a table (sub_area, area, entity) for lists
-    too long to write out. With a table, ``area`` names a sub-area of it.
+    too long to write out. A choice that is no sub-area is an area. With a table this is settled
+    while the query runs, by a filter on the area that is pushed down like any other, and a join
+    with the members, if there are any.
     """
     if not area:
         return p
     if isinstance(subareas, DataFrame):
         chosen = subareas.filter(F.col("sub_area") == area)
-        members = chosen.select(F.col("area").alias(p.area), F.col("entity").alias(p.entity))
-        return p.using(p.df.join(members, [p.area, p.entity], "left_semi"))
+        members = chosen.select(F.col("area").alias("_area"), F.col("entity").alias("_entity")).distinct()
+        areas = one_value(members, F.collect_set("_area"))
+        inside = p.df.where(F.array_contains(F.when(F.size(areas) > 0, areas).otherwise(F.array(F.lit(area))), p.df[p.area]))
+        joined = inside.join(members, (inside[p.area] == F.col("_area")) & (inside[p.entity] == F.col("_entity")), "left")
+        return p.using(joined.where(F.col("_area").isNotNull() | (F.size(areas) == 0)).select(*p.df.columns))
     if subareas and area in subareas:
         return p.where((F.col(p.area) == parent) & F.col(p.entity).isin(list(subareas[area])))
     return p.where(F.col(p.area) == area)

@@ -89,16 +89,13 @@ def monthly_by_entity(p: Panel) -> DataFrame:
 def month_snapshot(p: Panel, month: str | None = None) -> DataFrame:
     """Cases per cleaned entity name in one month; the latest month present when none is named.
 
-    The latest month is taken from the monthly totals, and the comparison includes the total to
-    stay behind them, so the panel is read once. A named month is filtered by date before
-    anything is summed.
+    Either way the month is a filter on the date before anything is summed. The latest is that of
+    the whole panel: its dates are read once more, but no other column of any other month.
     """
     if month is not None:
         return monthly_by_entity(filter_month(p, month))
-    monthly = monthly_by_entity(p)
-    latest = one_value(monthly, F.max("month"))
-    lowest = F.lit(-(2**63)).cast("bigint")
-    return monthly.filter(F.struct("month", f"total_{p.cases}") >= F.struct(latest, lowest))
+    latest = one_value(p.df, F.trunc(F.max(p.date), "month"))
+    return monthly_by_entity(p.where(F.col(p.date) >= latest))
 
 
 def daily_series(p: Panel) -> DataFrame:

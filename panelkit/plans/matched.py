@@ -20,12 +20,17 @@ from ..operators.rows import filter_area
 from ..session import settled
 
 
-def with_matches(p: Panel, daily: DataFrame, valid: DataFrame, threshold: float) -> DataFrame:
-    """Adds ``match`` to daily sums. The sums are joined, not the panel rows, and the names are
-    taken from them; they should be settled.
+def with_matches(p: Panel, daily: DataFrame, matches: DataFrame) -> DataFrame:
+    """Adds ``match`` to daily sums, from the matches of their names. The sums are joined, not the
+    panel rows, and both should be settled.
     """
-    matches = fuzzy_match(daily, p.entity, valid, threshold).select("raw", "match")
-    return daily.join(matches, daily[p.entity] == matches["raw"], "left").drop("raw")
+    found = matches.select("raw", "match")
+    return daily.join(found, daily[p.entity] == found["raw"], "left").drop("raw")
+
+
+def match_names(p: Panel, daily: DataFrame, valid: DataFrame, threshold: float) -> DataFrame:
+    """The matches of the distinct names, one row each, made once and written."""
+    return settled(fuzzy_match(daily, p.entity, valid, threshold), "matches")
 
 
 def matched_map(
@@ -44,8 +49,8 @@ def matched_map(
     daily = settled(daily_names(filter_area(p, area)), "daily")
     if area is None:
         daily = apply_fixes(daily, p.entity, fixes)
-    joined = with_matches(p, daily, valid, threshold)
-    matches = fuzzy_match(daily, p.entity, valid, threshold)
+    matches = match_names(p, daily, valid, threshold)
+    joined = with_matches(p, daily, matches)
     shown = joined if area is None else fill_unmatched(joined, "match", p.entity, fixes)
     return {
         "map": daily_by_matched(p, shown),

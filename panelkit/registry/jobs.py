@@ -80,10 +80,9 @@ def _long(tables, keys):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@query(
-    "c5_dashboard",
-    PANEL + f""", {NATION_CODES}, chosen AS (
-      SELECT * FROM panel WHERE area = 'AMERICA' AND entity IN (SELECT n_name FROM nation WHERE n_nationkey % 2 = 1)
+def _dashboard_sql(condition: str) -> str:
+    return PANEL + f""", {NATION_CODES}, chosen AS (
+      SELECT * FROM panel WHERE {condition}
     ), cases AS (SELECT entity, {clean('entity')} AS label, {CASES} FROM chosen GROUP BY entity
     ), monthly AS (
       SELECT strftime(date, '%Y-%m') AS month, {clean('entity')} AS label, {CASES} FROM chosen GROUP BY 1, 2
@@ -95,14 +94,12 @@ def _long(tables, keys):
     UNION ALL SELECT 'map', alpha_3, total_cases FROM cases JOIN forms ON form = lower(label)
     UNION ALL SELECT 'map_by_month', alpha_3, total_cases FROM monthly JOIN forms ON form = lower(label)
     UNION ALL SELECT 'map_snapshot', alpha_3, total_cases FROM snapshot JOIN forms ON form = lower(label)
-    UNION ALL SELECT 'series', CAST(date AS VARCHAR), {CASES.split(' AS total')[0]} FROM chosen GROUP BY date""",
-)
-def c5(spark, folder):
+    UNION ALL SELECT 'series', CAST(date AS VARCHAR), {CASES.split(' AS total')[0]} FROM chosen GROUP BY date"""
+
+
+def _dashboard(spark, folder, area):
     tables = dashboard(
-        observations(spark, folder),
-        territory_dimension(spark, folder),
-        area="AMERICA ODD",
-        subareas=subarea_table(spark, folder),
+        observations(spark, folder), territory_dimension(spark, folder), area=area, subareas=subarea_table(spark, folder)
     )
     total = "total_cases"
     return _long(
@@ -120,17 +117,51 @@ def c5(spark, folder):
     )
 
 
+@query(
+    "c5_dashboard",
+    _dashboard_sql("area = 'AMERICA' AND entity IN (SELECT n_name FROM nation WHERE n_nationkey % 2 = 1)"),
+)
+def c5(spark, folder):
+    return _dashboard(spark, folder, "AMERICA ODD")
+
+
+@query("c5_dashboard_of_area", _dashboard_sql("area = 'EUROPE'"))
+def c5_area(spark, folder):
+    return _dashboard(spark, folder, "EUROPE")
+
+
+IN_WORLD = PANEL + f""", {FIXES}, fixed_panel AS (
+  SELECT panel.date, coalesce(fixed, spelled) AS name, cases FROM panel LEFT JOIN fixes ON spelled = raw
+), {matches("SELECT DISTINCT name AS raw FROM fixed_panel", THRESHOLD)}
+"""
+
+
+def _world_map(spark, folder):
+    valid = territory_dimension(spark, folder).select("name")
+    return matched_map(messy_observations(spark, folder), valid, spelling_fixes(spark, folder), threshold=THRESHOLD)
+
+
 @query(
     "c6_matched_map_world",
-    PANEL + f""", {FIXES}, fixed_panel AS (
-      SELECT panel.date, coalesce(fixed, spelled) AS name, cases FROM panel LEFT JOIN fixes ON spelled = raw
-    ), {matches("SELECT DISTINCT name AS raw FROM fixed_panel", THRESHOLD)}
+    IN_WORLD + f"""
     SELECT {DAY}, match, {CASES} FROM fixed_panel JOIN best ON name = raw
     WHERE match IS NOT NULL GROUP BY fixed_panel.date, match""",
 )
 def c6_world(spark, folder):
-    valid = territory_dimension(spark, folder).select("name")
-    return matched_map(messy_observations(spark, folder), valid, spelling_fixes(spark, folder), threshold=THRESHOLD)["map"]
+    return _world_map(spark, folder)["map"]
+
+
+@query(
+    "c6_coverage_world",
+    IN_WORLD + "SELECT count(match) * CAST(100 AS DOUBLE) / count(*) AS coverage FROM fixed_panel LEFT JOIN best ON name = raw",
+)
+def c6_coverage(spark, folder):
+    return _world_map(spark, folder)["coverage"]
+
+
+@query("c6_unmatched_world", IN_WORLD + "SELECT raw, clean, closest, score FROM best WHERE match IS NULL")
+def c6_unmatched_world(spark, folder):
+    return _world_map(spark, folder)["unmatched"]
 
 
 IN_EUROPE = PANEL + f""", {FIXES}, europe AS (SELECT * FROM panel WHERE area = 'EUROPE'),

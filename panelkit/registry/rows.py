@@ -1,5 +1,7 @@
 """Projections and filters."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions.calendar import iso_week, year_of
@@ -87,6 +89,38 @@ def f2(spark, folder):
     return totals(p, p.entity)
 
 
+@query("f2_filter_area_beside_subareas", PANEL + f"SELECT entity, {SUMS} FROM panel WHERE area = 'EUROPE' GROUP BY entity")
+def f2_area(spark, folder):
+    p = filter_area(observations(spark, folder), "EUROPE", subarea_table(spark, folder))
+    return totals(p, p.entity)
+
+
+@query(
+    "f2_choices",
+    PANEL + """
+    SELECT 'AMERICA' AS choice, count(*) AS rows FROM panel WHERE area = 'AMERICA'
+    UNION ALL SELECT 'ASIA', count(*) FROM panel WHERE area = 'ASIA'
+    UNION ALL SELECT 'AMERICA EVEN', count(*) FROM panel JOIN nation ON entity = n_name WHERE area = 'AMERICA' AND n_nationkey % 2 = 0
+    UNION ALL SELECT 'AMERICA ODD', count(*) FROM panel JOIN nation ON entity = n_name WHERE area = 'AMERICA' AND n_nationkey % 2 = 1""",
+)
+def f2_choices(spark, folder):
+    """Areas and sub-areas are offered side by side, and each choice gives its rows."""
+    p, subareas = observations(spark, folder), subarea_table(spark, folder)
+    chosen = ["AMERICA", "AMERICA EVEN", "AMERICA ODD", "ASIA"]
+    counts = [row_count(filter_area(p, c, subareas)).select(F.lit(c).alias("choice"), "rows") for c in chosen]
+    return reduce(lambda a, b: a.union(b), counts)
+
+
+@query(
+    "f5_filter_cascade_beside_subareas",
+    PANEL + """
+    SELECT count(*) AS rows FROM panel
+    WHERE area = 'EUROPE' AND date >= DATE '1997-05-01' AND date < DATE '1997-06-01'""",
+)
+def f5_area(spark, folder):
+    return row_count(apply_filters(observations(spark, folder), "EUROPE", "1997-05", None, subarea_table(spark, folder)))
+
+
 @query(
     "f3_filter_month",
     PANEL + f"SELECT entity, {SUMS} FROM panel WHERE strftime(date, '%Y-%m') = '1998-12' GROUP BY entity",

@@ -47,12 +47,12 @@ def key(c: str) -> str:
 
 
 def words(k: str) -> str:
-    return f"array_to_string(list_sort(list_filter(string_split({k}, ' '), lambda w: w <> '')), ' ')"
+    return f"array_to_string(list_sort(list_distinct(list_filter(string_split({k}, ' '), lambda w: w <> ''))), ' ')"
 
 
 NATION_CODES = f"""
 codes AS (
-  SELECT {clean('n_name')} AS name, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS alpha_3 FROM nation
+  SELECT {clean('n_name')} AS name, 'N' || lpad(CAST(n_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(n_nationkey AS VARCHAR)) AS INTEGER)), '0') AS alpha_3 FROM nation
 ), forms AS (
   SELECT lower(name) AS form, alpha_3 FROM codes UNION SELECT lower(alpha_3), alpha_3 FROM codes
 )

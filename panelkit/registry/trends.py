@@ -14,7 +14,7 @@ from ..operators.trends import (
     multi_trend,
     trend,
 )
-from ..plans.matched import with_matches
+from ..plans.matched import match_names, with_matches
 from ..session import settled
 from ..sources.warehouse import messy_observations, observations, territory_dimension
 from . import query
@@ -119,7 +119,8 @@ MATCHED = PANEL + "," + matches("SELECT DISTINCT spelled AS raw FROM panel", THR
 def _matched_daily(spark, folder):
     p = messy_observations(spark, folder)
     valid = territory_dimension(spark, folder).select("name")
-    return p, with_matches(p, settled(daily_names(p), "daily"), valid, THRESHOLD)
+    daily = settled(daily_names(p), "daily")
+    return p, with_matches(p, daily, match_names(p, daily, valid, THRESHOLD))
 
 
 @query(

@@ -13,7 +13,7 @@ PARTITION_BYTES = 128 * 1024**2  # what a shuffle partition should hold before A
 
 def shuffle_partitions(shuffle_bytes: int) -> int:
     """Enough partitions for the largest shuffle; AQE merges them where there is less."""
-    return min(max(200, -(-shuffle_bytes // PARTITION_BYTES)), 200_000)
+    return max(200, -(-shuffle_bytes // PARTITION_BYTES))
 
 
 def build_session(

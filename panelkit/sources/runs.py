@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.runtext import elapsed_seconds, log_name_parts, max_rss_kb
 
+# The columns of a table of run results, and those that it must have.
 RESULT_COLUMNS = ["framework", "workload", "runid", "wall_time_sec", "max_rss_kb", "logfile"]
 REQUIRED_COLUMNS = {"framework", "wall_time_sec", "max_rss_kb", "logfile"}
 

@@ -29,16 +29,16 @@ SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
-NATION_BOUND = 10_000  # rows up to which the nations are broadcast
-SUPPLIER_BOUND = 1_000_000  # rows up to which the territories are broadcast
 
 
-_done: dict[tuple[str, str, str], Any] = {}
+_done: dict[tuple[Any, ...], Any] = {}
 
 
 def _once(spark: SparkSession, folder: str, kind: str, make: Callable[[], Any]) -> Any:
-    """What ``make`` gives, made once per application and table folder."""
-    key = (spark.sparkContext.applicationId, folder, kind)
+    """What ``make`` gives, made once per application, table folder and state of its files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    state = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
+    key = (spark.sparkContext.applicationId, folder, tuple(state), kind)
     if key not in _done:
         _done[key] = make()
     return _done[key]
@@ -66,14 +66,6 @@ def messy_name(name, key):
     )
 
 
-def _if_small(df: DataFrame, rows: DataFrame, bound: int, key: tuple[SparkSession, str, str]) -> DataFrame:
-    """A broadcast hint if ``rows``, which has as many rows as ``df``, is counted to be within the
-    bound. Without it Spark chooses the join: it shuffles both sides, and AQE splits skewed keys.
-    """
-    small = _once(*key, lambda: rows.limit(bound + 1).count() <= bound)
-    return F.broadcast(df) if small else df
-
-
 def territories(spark: SparkSession, folder: str) -> DataFrame:
     """One row per supplier: its nation as entity, region as area, the nation's population, and
     the nation's name as this supplier spells it.
@@ -91,15 +83,13 @@ def territories(spark: SparkSession, folder: str) -> DataFrame:
         .join(people, F.col("n_nationkey") == F.col("pop_nation"), "left")
         .select("n_nationkey", "n_name", "r_name", "pop")
     )
-    nations = _if_small(nations, nation, NATION_BOUND, (spark, folder, "few nations"))
-    joined = supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+    return supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey",
         F.col("n_name").alias("entity"),
         F.col("r_name").alias("area"),
         "pop",
         messy_name(F.col("n_name"), F.col("s_suppkey")).alias(MESSY),
     )
-    return _if_small(joined, supplier, SUPPLIER_BOUND, (spark, folder, "few suppliers"))
 
 
 def observations(spark: SparkSession, folder: str) -> Panel:
@@ -149,7 +139,8 @@ def observation_csv(spark: SparkSession, folder: str) -> str:
 def territory_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """(name, alpha_3) of the nations."""
     nation = table(spark, folder, "nation")
-    code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    key = F.col("n_nationkey").cast("string")
+    code = F.concat(F.lit("N"), F.when(F.length(key) < 2, F.lpad(key, 2, "0")).otherwise(key))
     return nation.select(clean_name("n_name").alias("name"), code.alias("alpha_3"))
 
 

@@ -26,7 +26,7 @@ def key(name):
 
 def score(a, b):
     a, b = key(a), key(b)
-    same_words = 95.0 if sorted(a.split()) == sorted(b.split()) else 0.0
+    same_words = 95.0 if set(a.split()) == set(b.split()) else 0.0
     return max(same_words, 100.0 * (1 - edits(a, b) / max(len(a), len(b))))
 
 
@@ -50,6 +50,26 @@ def spoil(rng, name):
     return "".join(letters)
 
 
+def test_word_sets_count_each_word_once(spark):
+    valid = "Congo, The Democratic Republic of the"
+    got = N.fuzzy_match(table(spark, ["Democratic_Republic_of_the_Congo"]), "name", table(spark, [valid]), 95.0)
+    assert rows(got, "match", "score") == [(valid, 95.0)]
+
+
+def test_a_correction_that_repeats_doubles_nothing(spark):
+    df = table(spark, ["a", "b"], "raw")
+    fixes = spark.createDataFrame([("a", "y"), ("a", "x")], "raw string, fixed string")
+    assert sorted(rows(N.apply_fixes(df, "raw", fixes))) == [("b",), ("x",)]
+
+
+def test_scoring_against_the_whole_list_is_spread(spark):
+    names, valid = table(spark, [f"ab{i}" for i in range(200)]), table(spark, ["xyz", "xab"])
+    report = N.unmatched_report(N.fuzzy_match(names, "name", valid, 95.0), valid)
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "REPARTITION_BY_NUM" in plan
+
+
 @pytest.mark.parametrize("threshold", [95.0, 90.0, 80.0, 60.0])
 def test_fuzzy_match_equals_brute_force(spark, threshold):
     rng = random.Random(threshold)

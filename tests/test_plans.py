@@ -4,9 +4,8 @@ import re
 
 import pytest
 
-from __spark_entry__ import SMOKE_TABLES, queries
-
-QUERIES = queries()
+from __spark_entry__ import SMOKE_TABLES
+from panelkit.registry import QUERIES
 
 
 def executed(spark, name):
