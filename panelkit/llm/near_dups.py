@@ -245,12 +245,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = cast.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     candidates = written(cast.join(shared, "bucket").select("node", "mark_a").distinct(), "candidates")
     ids = candidates.select(F.col("node").alias("id")).distinct()
-    texts = _likely(docs, "doc_id", ids).join(ids.toDF("doc_id"), "doc_id", "left_semi")
+    # ids are distinct; a semi join would be pushed below the filter by bits
+    texts = _likely(docs, "doc_id", ids).join(ids.toDF("doc_id"), "doc_id")
     texts = written(texts.distinct(), "candidate-texts")
     shingles = texts.mapInArrow(_shingle_rows, "node long, mark_a long, shingle long")
     lone = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("mark_a").alias("mark_a")).where("n = 1")
     lone = lone.groupBy("node", "mark_a").agg(F.count("*").alias("own"))
-    live = _likely(classes, "node", ids).join(candidates, ["node", "mark_a"], "left_semi").join(lone, ["node", "mark_a"], "left").na.fill(0, ["own"])
+    live = _likely(classes, "node", ids).join(candidates, ["node", "mark_a"]).join(lone, ["node", "mark_a"], "left").na.fill(0, ["own"])
     live = written(live.where(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")), "live-classes")
 
     members = live.select("node", "n", "own", F.explode("bands").alias("bucket"))

@@ -235,3 +235,12 @@ def test_pipeline_stages_take_odd_rows(llm, odd, empty):
                 assert got.where("start = 0").count() == docs.count()
             else:
                 assert got.columns == docs.columns and got.count() <= docs.count()
+
+
+def test_queries_against_their_sql(llm):
+    from oracle import compare, connect
+    from panelkit.llm.queries import ORACLE
+
+    con = connect(SF)
+    for name, sql in ORACLE.items():
+        assert compare(llm, con, SF, QUERIES[name], sql) is None, name
