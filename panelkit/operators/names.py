@@ -110,34 +110,39 @@ def _most_edits(key: Column, threshold: float) -> Column:
     return F.floor(F.length(key) * F.lit((100.0 - threshold) / threshold) + F.lit(1e-9)).cast("int")
 
 
-def _grams(key: Column) -> Column:
-    """All pairs of neighbouring letters, numbered where one repeats."""
-    pairs = F.transform(F.sequence(F.lit(1), F.length(key) - 1), lambda i: F.substring(key, i, F.lit(2)))
+def _gram_length(threshold: float) -> int:
+    """Threes are far more selective, but an edit may spoil three of them."""
+    return 3 if threshold >= 80 else 2
 
-    def numbered(all_pairs: Column) -> Column:
-        def number(pair: Column, i: Column) -> Column:
-            return F.concat(pair, F.size(F.filter(F.slice(all_pairs, 1, i), lambda x: x == pair)).cast("string"))
 
-        return F.transform(all_pairs, number)
+def _grams(key: Column, q: int) -> Column:
+    """All runs of q letters, numbered where one repeats."""
+    runs = F.transform(F.sequence(F.lit(1), F.length(key) - q + 1), lambda i: F.substring(key, i, F.lit(q)))
 
-    return F.when(F.length(key) > 1, computed_once(pairs, numbered)).otherwise(F.array().cast("array<string>"))
+    def numbered(all_runs: Column) -> Column:
+        def number(run: Column, i: Column) -> Column:
+            return F.concat(run, F.size(F.filter(F.slice(all_runs, 1, i), lambda x: x == run)).cast("string"))
+
+        return F.transform(all_runs, number)
+
+    return F.when(F.length(key) >= q, computed_once(runs, numbered)).otherwise(F.array().cast("array<string>"))
 
 
 def _open(key: Column, threshold: float) -> Column:
-    """Whether a partner within the threshold may exist that shares no pair of letters.
+    """Whether a partner within the threshold may exist that shares no run of q letters.
 
-    With d edits a name of L letters keeps at least L - 1 - 2d pairs of its partner's, and d grows
-    with L, so only short names are open, or all at a low threshold.
+    With d edits a name of L letters keeps at least L - q + 1 - q * d runs of its partner's, and d
+    grows with L, so only short names are open, or all at a low threshold.
     """
-    reach = _most_edits(key, threshold)
+    reach, q = _most_edits(key, threshold), _gram_length(threshold)
     lengths = F.sequence(F.length(key), F.length(key) + reach)
-    return F.exists(lengths, lambda n: (_edits(n, threshold) > 0) & (n - 1 - 2 * _edits(n, threshold) <= 0))
+    return F.exists(lengths, lambda n: (_edits(n, threshold) > 0) & (n - q + 1 - q * _edits(n, threshold) <= 0))
 
 
 def _rarest(df: DataFrame, kept: list[str], grams: Column, frequency: DataFrame, most: Column) -> DataFrame:
     """Adds ``part``, a row for each of the rarest ``most`` grams; null for names without any.
 
-    Two names within d edits share one of their 2d + 1 rarest grams, in whatever order all grams
+    Two names within d edits share one of their q * d + 1 rarest grams, in whatever order all grams
     are put, and rare ones bring few names together.
     """
     exploded = df.select(*kept, most.alias("most"), F.explode_outer(grams).alias("gram")).join(frequency, "gram", "left")
@@ -156,17 +161,19 @@ def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _near(names: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
-    """Improves ``best`` of names that are not open, by an equi-join on their rarest pairs of letters.
+    """Improves ``best`` of names that are not open, by an equi-join on their rarest runs of letters.
 
     Rarity is that of the list, so the names are read once.
     """
-    key = F.col("key")
-    most = 2 * _most_edits(key, threshold) + 1
-    frequency = listed.select(F.explode(_grams(key)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    offered = _rarest(listed.select("match", key.alias("other")), ["match", "other"], _grams(F.col("other")), frequency, 2 * _most_edits(F.col("other"), threshold) + 1)
+    key, q = F.col("key"), _gram_length(threshold)
+    most = q * _most_edits(key, threshold) + 1
+    frequency = listed.select(F.explode(_grams(key, q)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    offered = listed.select("match", key.alias("other"))
+    other = F.col("other")
+    offered = _rarest(offered, ["match", "other"], _grams(other, q), frequency, q * _most_edits(other, threshold) + 1)
     offered = offered.filter(F.col("part").isNotNull())
     searched = (F.col("best.cost").isNull() | (F.col("best.cost") > -100.0)) & (_most_edits(key, threshold) > 0)
-    grams = F.when(searched & ~_open(key, threshold), _grams(key)).otherwise(F.array().cast("array<string>"))
+    grams = F.when(searched & ~_open(key, threshold), _grams(key, q)).otherwise(F.array().cast("array<string>"))
     spread = _rarest(names, names.columns, grams, frequency, most)
     # names that are not searched get a part of their own, which spreads them over the tasks
     spread = spread.withColumn("part", F.coalesce("part", F.concat(F.lit("-"), F.xxhash64("raw").cast("string"))))
@@ -232,7 +239,7 @@ def fuzzy_match(
 
     ``match`` and ``score`` are null where no valid name reaches the threshold. Equal names and
     equal words are found by equi-joins; only what is left is compared letter by letter, with the
-    names that share a rare pair of letters. Only names so short, or a threshold so low, that near
+    names that share a rare run of letters. Only names so short, or a threshold so low, that near
     names need not share any are scored against the whole list. The steps follow each other, so
     the input is read once.
     """

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import fit_shuffles
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,7 +19,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            df = build(spark, str(folder).rstrip("/"))
+            folder = str(folder).rstrip("/")
+            fit_shuffles(spark, folder)
+            df = build(spark, folder)
             dates = [c for c, dtype in df.dtypes if dtype == "date"]
             return df.withColumns({c: df[c].cast("string") for c in dates}) if dates else df
 

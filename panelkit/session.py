@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 PARTITION_BYTES = 128 * 1024**2  # what a shuffle partition should hold before AQE merges small ones
@@ -44,6 +45,25 @@ def build_session(
     return builder.getOrCreate()
 
 
+_fitted: set[tuple[str, str]] = set()
+
+
+def fit_shuffles(spark: SparkSession, folder: str) -> None:
+    """Raise the number of shuffle partitions to what tables of this size need, once per folder.
+
+    The files' sizes are read, not their content. A larger setting is left as it is.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _fitted:
+        return
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    needed = -(-size // PARTITION_BYTES)
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    _fitted.add(key)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``, or a temporary one in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -58,3 +58,30 @@ def test_run_statistics_read_the_runs_once(spark, name):
 def test_no_cross_products(spark, name):
     plan = planned(spark, name)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_partitions_follow_the_size_of_the_tables(spark, monkeypatch):
+    from panelkit import session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        monkeypatch.setattr(session, "_fitted", set())
+        session.fit_shuffles(spark, SMOKE_TABLES)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        monkeypatch.setattr(session, "_fitted", set())
+        monkeypatch.setattr(session, "PARTITION_BYTES", 1_000)
+        session.fit_shuffles(spark, SMOKE_TABLES)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_latest_month_is_a_filter_of_the_scan(spark):
+    scans = [line for line in planned(spark, "a15_latest_month").split("\n") if "FileScan" in line and "l_shipdate" in line]
+    assert any(re.search(r"DataFilters: \[[^\]]*>= .*ubquery", line) for line in scans)
+
+
+def test_a_plain_area_beside_subareas_reaches_the_territories(spark):
+    plan = planned(spark, "f2_filter_area_beside_subareas")
+    filters = [line for line in plan.split("\n") if "Filter" in line and "array_contains" in line]
+    assert filters and any("r_name" in line for line in filters)
