@@ -139,17 +139,21 @@ def _open(key: Column, threshold: float) -> Column:
     return F.exists(lengths, lambda n: (_edits(n, threshold) > 0) & (n - q + 1 - q * _edits(n, threshold) <= 0))
 
 
-def _rarest(df: DataFrame, kept: list[str], grams: Column, frequency: DataFrame, most: Column) -> DataFrame:
+def _rarest(df: DataFrame, kept: list[str], grams: Column, frequency: DataFrame, most: Column, limit: int | None = None) -> DataFrame:
     """Adds ``part``, a row for each of the rarest ``most`` grams; null for names without any.
 
     Two names within d edits share one of their q * d + 1 rarest grams, in whatever order all grams
-    are put, and rare ones bring few names together.
+    are put, and rare ones bring few names together. Names whose grams would bring them together
+    with ``limit`` names or more get null too, and ``common`` says so.
     """
     exploded = df.select(*kept, most.alias("most"), F.explode_outer(grams).alias("gram")).join(frequency, "gram", "left")
     ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")))
     first = [F.first(c).alias(c) for c in [*kept[1:], "most"]]
-    grouped = exploded.groupBy(kept[0]).agg(*first, ranked.alias("ranked"))
-    return grouped.select(*kept, F.explode_outer(F.slice("ranked", F.lit(1), F.col("most"))["gram"]).alias("part"))
+    grouped = exploded.groupBy(kept[0]).agg(*first, ranked.alias("ranked")).withColumn("rare", F.slice("ranked", F.lit(1), F.col("most")))
+    met = F.aggregate("rare", F.lit(0).cast("bigint"), lambda total, x: total + x["n"])
+    grouped = grouped.withColumn("common", met >= limit if limit is not None else F.lit(False))
+    parts = F.when(F.col("common"), F.array().cast("array<string>")).otherwise(F.col("rare")["gram"])
+    return grouped.select(*kept, "common", F.explode_outer(parts).alias("part"))
 
 
 def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -160,32 +164,46 @@ def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _near(names: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
-    """Improves ``best`` of names that are not open, by an equi-join on their rarest runs of letters.
+def _reachable(key: Column, threshold: float, edits: int) -> Column:
+    """The highest score of a partner that is so many edits away."""
+    return F.lit(100.0) * (1 - F.lit(float(edits)) / (F.length(key) + _most_edits(key, threshold)))
 
-    Rarity is that of the list, so the names are read once.
+
+def _near(names: DataFrame, listed: DataFrame, threshold: float, size: int, edits: int | None = None) -> DataFrame:
+    """Improves ``best`` of names that are not ``done`` or open, by an equi-join on their rarest runs of letters.
+
+    With ``edits`` only partners so many edits away are looked for, which needs fewer runs; names are ``done`` then if no
+    other partner can be better. Names whose runs are so common that they meet as many names as the
+    list has are left, and not ``done``. Rarity is that of the list, so the names are read once.
     """
-    key, q = F.col("key"), _gram_length(threshold)
-    most = q * _most_edits(key, threshold) + 1
+    key, other, q = F.col("key"), F.col("other"), _gram_length(threshold)
+
+    def most(c: Column) -> Column:
+        reach = _most_edits(c, threshold)
+        return q * (F.least(reach, F.lit(edits)) if edits else reach) + 1
+
     frequency = listed.select(F.explode(_grams(key, q)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
     offered = listed.select("match", key.alias("other"))
-    other = F.col("other")
-    offered = _rarest(offered, ["match", "other"], _grams(other, q), frequency, q * _most_edits(other, threshold) + 1)
-    offered = offered.filter(F.col("part").isNotNull())
-    searched = (F.col("best.cost").isNull() | (F.col("best.cost") > -100.0)) & (_most_edits(key, threshold) > 0)
-    grams = F.when(searched & ~_open(key, threshold), _grams(key, q)).otherwise(F.array().cast("array<string>"))
-    spread = _rarest(names, names.columns, grams, frequency, most)
+    offered = _rarest(offered, ["match", "other"], _grams(other, q), frequency, most(other))
+    offered = offered.filter(F.col("part").isNotNull()).drop("common")
+    wanted = ~F.col("done") & ~_open(key, threshold)
+    grams = F.when(wanted, _grams(key, q)).otherwise(F.array().cast("array<string>"))
+    spread = _rarest(names, names.columns, grams, frequency, most(key), size)
     # names that are not searched get a part of their own, which spreads them over the tasks
     spread = spread.withColumn("part", F.coalesce("part", F.concat(F.lit("-"), F.xxhash64("raw").cast("string"))))
-    longer = F.greatest(F.length(key), F.length("other"))
-    edits = _edits(longer, threshold)
-    possible = F.abs(F.length(key) - F.length("other")) <= edits
-    score = similarity(F.levenshtein("key", "other"), key, F.col("other"))
-    found = _better(score, F.when(possible & (score >= threshold - 1e-9), F.col("match")))
-    return _best_per_name(spread.join(offered, "part", "left").withColumn("found", found), names.columns)
-
-
-def _closest(names: DataFrame, listed: DataFrame, wanted: Column) -> DataFrame:
+    allowed = _edits(F.greatest(F.length(key), F.length("other")), threshold)
+    allowed = F.least(allowed, F.lit(edits)) if edits else allowed
+    apart = F.levenshtein("key", "other")
+    near = (F.abs(F.length(key) - F.length("other")) <= allowed) & (apart <= allowed)
+    found = _better(similarity(apart, key, other), F.when(near, F.col("match")))
+    best = _best_per_name(spread.join(offered, "part", "left").withColumn("found", found), [*names.columns, "common"])
+    searched = wanted & ~F.col("common")
+    if edits:
+        searched = searched & (-F.col("best.cost") >= _reachable(key, threshold, edits + 1))
+    return best.withColumn("done", F.col("done") | F.coalesce(searched, F.lit(False))).drop("common")
+
+
+def _closest(names: DataFrame, listed: DataFrame, wanted: Column, size: int) -> DataFrame:
     """Improves ``best`` of the wanted names by scoring them against the whole list.
 
     The list is cut into chunks of bounded size; a name meets each chunk as one array and keeps
@@ -195,7 +213,7 @@ def _closest(names: DataFrame, listed: DataFrame, wanted: Column) -> DataFrame:
     """
     spark = names.sparkSession
     places = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(1, -(-listed.count() // LIST_CHUNK))  # the list is a dimension, small beside the names' panel
+    chunks = max(1, -(-size // LIST_CHUNK))
     salts = max(1, -(-4 * places // chunks))
     pieces = (
         listed.withColumn("chunk", F.pmod(F.xxhash64("match"), F.lit(chunks)))
@@ -239,8 +257,9 @@ def fuzzy_match(
 
     ``match`` and ``score`` are null where no valid name reaches the threshold. Equal names and
     equal words are found by equi-joins; only what is left is compared letter by letter, with the
-    names that share a rare run of letters. Only names so short, or a threshold so low, that near
-    names need not share any are scored against the whole list. The steps follow each other, so
+    names that share a rare run of letters: first partners one edit away, then, for names without one,
+    the others. Only names so short, or a threshold so low, that near names need not share any, and
+    names of runs so common that they meet a whole list, are scored against the whole list. The steps follow each other, so
     the input is read once.
     """
     spelled = names.select(F.col(name).alias("raw")).na.drop().distinct()
@@ -260,8 +279,12 @@ def fuzzy_match(
         )
         .select("raw", "clean", "key", "words", "best")
     )
-    near = _near(equal, listed, threshold)
-    best = _closest(near, listed, _open(F.col("key"), threshold) & (F.col("best.cost").isNull() | (F.col("best.cost") > -100.0)))
+    size = listed.count()  # a dimension, small beside the panel of the names
+    none_nearer = F.coalesce(-F.col("best.cost") >= _reachable(F.col("key"), threshold, 1), F.lit(False))
+    near = equal.withColumn("done", none_nearer | (_most_edits(F.col("key"), threshold) == 0))
+    near = _near(near, listed, threshold, size, edits=1)
+    near = _near(near, listed, threshold, size)
+    best = _closest(near, listed, ~F.col("done"), size)
     reached = -F.col("best.cost") >= threshold - 1e-9
     return best.select(
         "raw",
@@ -276,7 +299,7 @@ def unmatched_report(matches: DataFrame, valid: DataFrame, valid_name: str = "na
     left = matches.filter(F.col("match").isNull()).select("raw", "clean")
     listed = _listed(valid, valid_name)
     unknown = F.lit(None).cast("struct<cost:double,match:string>")
-    closest = _closest(_keyed(left, F.col("clean")).withColumn("best", unknown), listed, F.lit(True))
+    closest = _closest(_keyed(left, F.col("clean")).withColumn("best", unknown), listed, F.lit(True), listed.count())
     return closest.select(
         "raw", "clean", F.col("best.match").alias("closest"), (-F.col("best.cost")).alias("score")
     )

@@ -16,7 +16,7 @@ from ..functions.calendar import (
     year_of,
 )
 from ..functions.values import clean_name
-from .rows import filter_month, one_value
+from .rows import filter_month
 from .totals import sums
 
 
@@ -94,7 +94,7 @@ def month_snapshot(p: Panel, month: str | None = None) -> DataFrame:
     """
     if month is not None:
         return monthly_by_entity(filter_month(p, month))
-    latest = one_value(p.df, F.trunc(F.max(p.date), "month"))
+    latest = p.df.agg(F.trunc(F.max(p.date), "month").alias("latest")).scalar()
     return monthly_by_entity(p.where(F.col(p.date) >= latest))
 
 
