@@ -191,6 +191,43 @@ def test_scores_of_odd_rows_and_small_shards(odd, empty, llm, monkeypatch):
     assert maxent.score(empty, train).count() == 0
 
 
+def test_rare_words_tell_what_follows_them(llm, monkeypatch):
+    """Words that no common token is among: the next word by the last one, by the last two, and by one further back."""
+    monkeypatch.setattr(maxent, "SHARD_GRAMS", 5_000)
+    rng = np.random.default_rng(5)
+    rows = [f"a{i}z b{i}z x{rng.integers(300)}y c{i}z" for i in range(400) for _ in range(4)]
+    held = [f"a7z b{i}z" for i in (7, 8)] + [f"b7z q c{i}z" for i in (7, 8)]
+    docs = llm.createDataFrame(list(enumerate(held + rows)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in maxent.score(docs, docs.doc_id >= len(held)).collect()}
+    assert all(got[i].base_score == pytest.approx(got[i + 1].base_score, rel=0.01) for i in (0, 2))  # equally frequent words
+    assert got[0].score > got[1].score + 1 and got[2].score > got[3].score + 1
+
+
+def test_n_grams_are_those_of_a_plain_count(llm):
+    """And the share of all tokens after a history is one, whatever the family."""
+    texts = ["x y x y z", "y", "", "x y z z", "z x y"]
+    data = "".join(texts).encode()
+    import pyarrow as pa
+
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    train = np.array([True, True, True, True, False])
+    row = maxent._block(0, pa.array(range(5)), train, np.frombuffer(data, np.uint8), offsets)
+    sliced = next(maxent._gram_slices(3)(iter([pa.RecordBatch.from_pylist([row])])))
+    own = np.concatenate([maxent._from_planes(x.as_py()) for x in sliced.column("counts")])
+    words_n = np.frombuffer(row["counts"], "<u4").astype(np.int64)
+    found = maxent._occurrences(row, words_n, own, 3)
+    padded = [["^"] * 3 + words(t) + ["$"] * 3 for t in texts]
+    for (n, history), back in zip(found, maxent.FAMILIES, strict=True):
+        count, of = Counter(), Counter()
+        for p, yes in zip(padded, train, strict=True):
+            for i in range(3, len(p) - 3 + back[0]):
+                if yes:
+                    count[tuple(p[i - k] for k in back), p[i]] += 1
+                    of[tuple(p[i - k] for k in back)] += 1
+        at = [(tuple(p[i - k] for k in back), p[i]) for p in padded for i in range(3, len(p) - 2)]
+        assert n.tolist() == [count[x] for x in at] and history.tolist() == [of[h] for h, _ in at]
+
+
 def test_the_model_is_a_distribution(llm):
     """Over all classes and head tokens, and over the counts of a tail class with an unseen token."""
     rng = np.random.default_rng(1)
