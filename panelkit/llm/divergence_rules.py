@@ -7,8 +7,8 @@ nearest reference is farther than the limit. References come from all documents:
 of a language, so what is counted has a fixed size per language whatever the vocabulary.
 
 Guards: under ``MIN_CLASS_WORDS`` (``MIN_COMMON_WORDS``) words the first (second) distance rejects nothing, and a
-language with fewer than ``MIN_REFERENCE_WORDS`` words in all gives no reference. Without any reference, only the
-base rules reject.
+language with fewer than ``MIN_REFERENCE_WORDS`` words in all gives no reference. A document whose own language has no reference, or
+that has no language, is rejected by the base rules only: the other languages cannot tell whether it is clean.
 
 Defined cases: null and empty texts have no words and fail the base rules; repeated rows are judged each on
 its own; other columns are ignored; an empty table gives an empty result; a document exactly at a limit is kept.
@@ -201,17 +201,18 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     ``keep`` must not hold a name of a measure.
     """
     shared = docs.sparkSession.sparkContext.broadcast(references(docs))
-    text = docs.select(*keep, F.col("text").alias("__text"))
+    text = docs.select(*keep, F.col("text").alias("__text"), F.col("lang").alias("__lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 own = {name: batch.column(name) for name in keep}
-                yield pa.RecordBatch.from_pydict(own | _measure(batch.column("__text"), shared.value))
+                judged = pa.array([lang in shared.value for lang in batch.column("__lang").to_pylist()], pa.bool_())
+                yield pa.RecordBatch.from_pydict(own | _measure(batch.column("__text"), shared.value) | {"__judged": judged})
 
-    measured = text.mapInArrow(run, added(docs, keep, MEASURES))
+    measured = text.mapInArrow(run, added(docs, keep, f"{MEASURES}, __judged boolean"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     strange = ((F.col("n_words") >= MIN_CLASS_WORDS) & (F.col("class_distance") > CLASS_LIMIT)) | (
         (F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("word_distance") > COMMON_LIMIT)
     )
-    return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & ~strange)
+    return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & ~(F.col("__judged") & strange)).drop("__judged")

@@ -72,6 +72,17 @@ def test_rules_without_any_reference(llm):
     assert divergence_rules.judge(docs, ["doc_id"]).first().kept
 
 
+def test_rules_judge_by_distance_only_where_the_language_has_a_reference(llm):
+    """A clean text of a rare or no language stays beside a large one; a strange text of the large one goes."""
+    rng = np.random.default_rng(2)
+    large = [" ".join(f"the{i}" for i in rng.zipf(1.5, 200) % 3000) for _ in range(60)]
+    rare = " ".join(chr(0x0561 + i % 30) + chr(0x0561 + i // 30) + "ա" * (i % 5) for i in rng.integers(0, 900, 80))
+    rows = [(i, t, "en") for i, t in enumerate(large)] + [(100, rare, "hy"), (101, rare, None), (102, rare, "en"), (103, "a b", "hy")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in divergence_rules.judge(docs, ["doc_id"]).collect()}
+    assert {i: kept[i] for i in (100, 101, 102, 103)} == {100: True, 101: True, 102: False, 103: False}
+
+
 def test_classifier_on_held_out_labels(llm):
     folder = "/root/testdata/sf0.01"
     scored = QUERIES["op1_quality_classifier"](llm, folder)
