@@ -20,6 +20,8 @@ from panelkit.llm.near_dups import near_duplicates
 
 ORACLE_SQL = None  # a fitted classifier and a tokenizer have no SQL; tests hold the stages against brute force
 
+NEAR_PERCENT = 85  # least similarity of near duplicates in near_dedup
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not too far from every language."""
@@ -39,7 +41,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id."""
     ship(spark)
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(docs, NEAR_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
     first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return first.union(docs.where("doc_id is null"))
 

@@ -1,11 +1,11 @@
 """Near duplicates by MinHash: banded candidates, sequential Bayesian pruning, exact verification.
 
 A document's set is its distinct shingles of five words (A-Z folded; a shorter text is one shingle). Documents are linked
-if ``100 * intersection >= PERCENT * union`` of their sets.
+if ``100 * intersection >= percent * union`` of their sets.
 
 1. Documents of the same set are one class, and its smallest id stands for it; classes are summed before the shuffle.
-2. Signatures of ``BANDS`` x ``ROWS`` values put the classes into buckets. Two of similarity 0.85 miss all with a chance of
-   4e-6.
+2. Signatures put the classes into buckets: ``BANDS`` bands of as many values as let two of the least similarity miss all with a chance
+   of ``MISSED`` at most (7 at 85 percent: 4e-6; 5 at 80: 3e-6).
 3. Of the texts that share a bucket, each counts its shingles that none of the others has. These bound its similarity to
    any of them, without any pair: a text that is too much its own is out, and so are pairs of such texts.
 4. In each bucket the members are compared with the one that has the least of its own; links make components. Members that
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import partial
 from math import comb
 
 import numpy as np
@@ -38,7 +39,8 @@ from .wordscan import Runs, keyed, mix, runs, windows
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 32, 7
+BANDS, ROWS = 32, 7  # rows at most
+MISSED = 5e-6
 KEPT = 128  # signature values kept for the pruning, 16 bits of each
 BATCH = 32
 MISS = 1e-7
@@ -62,6 +64,11 @@ def _shingles(words: Runs) -> tuple[np.ndarray, np.ndarray]:
     return row[order], hashes[order]
 
 
+def _rows(percent: int) -> int:
+    """How many values a band has for a least similarity."""
+    return max(r for r in range(1, ROWS + 1) if r == 1 or (1 - (percent / 100) ** r) ** BANDS <= MISSED)
+
+
 def _signatures(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows that have shingles, and their signatures."""
     first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
@@ -84,7 +91,7 @@ def _distinct(row: np.ndarray, hashes: np.ndarray, rows: int) -> tuple[np.ndarra
     return row, hashes, np.bincount(row, minlength=rows), marks
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         for low, high in chunks(offsets, 1 << 19):
@@ -95,7 +102,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept: list = [None] * (high - low)
             if len(row):
                 own, signature = _signatures(row, hashes)
-                wide = (signature.astype(np.uint64) * _SCRAMBLE).reshape(len(own), BANDS, ROWS)
+                wide = (signature.astype(np.uint64) * _SCRAMBLE)[:, : BANDS * rows].reshape(len(own), BANDS, rows)
                 keys = mix(np.bitwise_xor.reduce(mix(wide), axis=2) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
                 short = signature[:, :KEPT].astype(np.uint16)
                 for i, r in enumerate(own):
@@ -123,12 +130,12 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_pydict({"node": ids[low + row], "mark_a": marks[0].view(np.int64)[row], "shingle": hashes.view(np.int64)})
 
 
-def _least_matches() -> list[int]:
-    """For each batch: the fewest matches so far that leave a chance of MISS for a similarity of PERCENT or more.
+def _least_matches(percent: int = PERCENT) -> list[int]:
+    """For each batch: the fewest matches so far that leave a chance of MISS for a similarity of ``percent`` or more.
 
     With a flat prior the posterior is a Beta distribution; its tail is a sum of binomial terms.
     """
-    t, out = PERCENT / 100, []
+    t, out = percent / 100, []
     for n in range(BATCH, KEPT + 1, BATCH):
         tail, m = 0.0, -1
         while tail < MISS:
@@ -138,8 +145,8 @@ def _least_matches() -> list[int]:
     return out
 
 
-def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    least = _least_matches()
+def _prune(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    least = _least_matches(percent)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -152,24 +159,24 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["x", "y"]).take(pa.array(alive))
 
 
-def _similar(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) that the signatures do not rule out."""
     kept = classes.select("node", "kept")
     both = pairs.join(kept.toDF("x", "kept_x"), "x").join(kept.toDF("y", "kept_y"), "y")
-    return both.select("x", "y", "kept_x", "kept_y").mapInArrow(_prune, "x long, y long").distinct()
+    return both.select("x", "y", "kept_x", "kept_y").mapInArrow(partial(_prune, percent=percent), "x long, y long").distinct()
 
 
-def _compare(a: np.ndarray, b: np.ndarray) -> tuple[bool, int, int, int]:
+def _compare(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[bool, int, int, int]:
     """Whether two sets are linked, how many shingles they share, and what of the first the second lacks, as 128 bits."""
     lack = a[~np.isin(a, b, assume_unique=True)]
     shared = len(a) - len(lack)
     bits = np.zeros(128, np.uint8)
     bits[(lack % np.uint64(128)).astype(np.int64)] = 1
     one, two = np.packbits(bits).view(np.int64).tolist()
-    return 100 * shared >= PERCENT * (len(a) + len(b) - shared), shared, one, two
+    return 100 * shared >= percent * (len(a) + len(b) - shared), shared, one, two
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     recent: OrderedDict[tuple[int, int], np.ndarray] = OrderedDict()  # sets of the last texts, which often come again
 
     def sets(texts: list[str]) -> list[np.ndarray]:
@@ -190,24 +197,24 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(low, 64)
             n = part.num_rows
             found = sets(part.column("text_x").to_pylist() + part.column("text_y").to_pylist())
-            rows = [_compare(found[i], found[n + i]) for i in range(n)]
+            rows = [_compare(found[i], found[n + i], percent) for i in range(n)]
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([part.column("x"), part.column("y"), *columns], ["a", "b", "linked", "common", "lack_1", "lack_2"])
 
 
-def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) as a and b, with what ``_compare`` says of their full sets. ``texts`` has doc_id and text."""
     both = pairs.join(texts.toDF("y", "text_y"), "y").join(texts.toDF("x", "text_x"), "x")
-    return both.select("x", "y", "text_x", "text_y").mapInArrow(_verify, "a long, b long, linked boolean, common long, lack_1 long, lack_2 long")
+    return both.select("x", "y", "text_x", "text_y").mapInArrow(partial(_verify, percent=percent), "a long, b long, linked boolean, common long, lack_1 long, lack_2 long")
 
 
-def _close(n: str, own_n: str, m: str, own_m: str) -> Column:
+def _close(percent: int, n: str, own_n: str, m: str, own_m: str) -> Column:
     """Whether two sets of n and m may be similar enough, if own_n and own_m of them are in no other set."""
     n, own_n, m, own_m = (F.col(x) for x in (n, own_n, m, own_m))
-    return 100 * F.least(n - own_n, m - own_m) >= PERCENT * (F.greatest(n - own_n, m - own_m) + own_n + own_m)
+    return 100 * F.least(n - own_n, m - own_m) >= percent * (F.greatest(n - own_n, m - own_m) + own_n + own_m)
 
 
-def _close_by_leader() -> Column:
+def _close_by_leader(percent: int) -> Column:
     """Whether two sets may be similar enough, by how each compares with their leader's; true where that is not known.
 
     They share at most what neither lacks of the leader's, and what both have besides that is not their own.
@@ -215,7 +222,7 @@ def _close_by_leader() -> Column:
     lacked = F.bit_count(F.col("lack_1_x").bitwiseOR(F.col("lack_1_y"))) + F.bit_count(F.col("lack_2_x").bitwiseOR(F.col("lack_2_y")))
     besides = F.least(*[F.greatest(F.lit(0), F.col(f"n_{s}") - F.col(f"common_{s}") - F.col(f"own_{s}")) for s in "xy"])
     most = F.col("leader_n") - lacked + besides
-    return F.coalesce(100 * most >= PERCENT * (F.col("n_x") + F.col("n_y") - most), F.lit(True))
+    return F.coalesce(100 * most >= percent * (F.col("n_x") + F.col("n_y") - most), F.lit(True))
 
 
 def _likely(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
@@ -232,10 +239,10 @@ def _likely(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return joined.where("bits & shiftleft(1L, cast(place % 64 AS int)) != 0").select(df.columns)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_shingles, component_id (smallest id reachable by links) and kept."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text), with links from a similarity of ``percent`` on: n_shingles, component_id (smallest id reachable by links) and kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(docs.mapInArrow(_set_rows, "doc_id long, n long, mark_a long, mark_b long, bands array<long>, kept binary"), "shingle-sets")
+    sets = written(docs.mapInArrow(partial(_set_rows, rows=_rows(percent)), "doc_id long, n long, mark_a long, mark_b long, bands array<long>, kept binary"), "shingle-sets")
     first = F.min(F.struct("doc_id", "bands", "kept")).alias("first")
     classes = sets.where("n > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n").agg(first)
     classes = written(classes.select("mark_a", "mark_b", "n", F.col("first.doc_id").alias("node"), "first.bands", "first.kept"), "classes")
@@ -252,7 +259,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lone = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("mark_a").alias("mark_a")).where("n = 1")
     lone = lone.groupBy("node", "mark_a").agg(F.count("*").alias("own"))
     live = _likely(classes, "node", ids).join(candidates, ["node", "mark_a"]).join(lone, ["node", "mark_a"], "left").na.fill(0, ["own"])
-    live = written(live.where(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")), "live-classes")
+    live = written(live.where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")), "live-classes")
 
     members = live.select("node", "n", "own", F.explode("bands").alias("bucket"))
     leader = F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "node", "n", "own")).alias("leader")
@@ -262,9 +269,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     members = written(members, "buckets")
 
-    stars = members.where((F.col("node") != F.col("leader")) & _close("n", "own", "leader_n", "leader_own"))
+    stars = members.where((F.col("node") != F.col("leader")) & _close(percent, "n", "own", "leader_n", "leader_own"))
     stars = stars.select(F.col("leader").alias("x"), F.col("node").alias("y")).distinct()
-    stars = written(_compared(_similar(stars, live), texts), "star-pairs")
+    stars = written(_compared(_similar(stars, live, percent), texts, percent), "star-pairs")
     links = stars.where("linked").select("a", "b")
     found = written(components(links), "components")
 
@@ -279,11 +286,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     across = strays.join(others, "bucket").where(
         (F.col("part_x") != F.col("part_y"))
         & ((F.col("part_y") == F.col("lead")) | (F.col("node_x") < F.col("node_y")))  # both strays: once
-        & _close("n_x", "own_x", "n_y", "own_y")
-        & _close_by_leader()
+        & _close(percent, "n_x", "own_x", "n_y", "own_y")
+        & _close_by_leader(percent)
     )
     across = across.select(F.least("node_x", "node_y").alias("x"), F.greatest("node_x", "node_y").alias("y")).distinct()
-    more = written(_compared(_similar(across, live), texts), "cross-pairs").where("linked").select("a", "b")
+    more = written(_compared(_similar(across, live, percent), texts, percent), "cross-pairs").where("linked").select("a", "b")
     if more.take(1):
         found = written(components(links.union(more)), "components")
 

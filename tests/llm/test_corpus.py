@@ -83,6 +83,18 @@ def test_near_duplicates_of_edited_copies(llm):
     check_near(llm, [texts[i] for i in rng.permutation(len(texts))])
 
 
+def test_near_duplicates_from_another_similarity_on(llm):
+    """Texts of similarity 0.80 to 0.85 (96 shingles each, 5 of them around each changed word)."""
+    base = [f"w{i}" for i in range(100)]
+    rows = [(0, " ".join(base)), (1, " ".join("x" if i in (20, 60) else w for i, w in enumerate(base)))]
+    rows += [(2, " ".join("y" if i in (10, 30, 50) else w for i, w in enumerate(base)))]  # 81 / 111
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    for percent, component in ((80, {0: 0, 1: 0, 2: 2}), (85, {0: 0, 1: 1, 2: 2}), (70, {0: 0, 1: 0, 2: 0})):
+        assert {r.doc_id: r.component_id for r in near_dups.near_duplicates(docs, percent).collect()} == component
+    for percent in range(50, 100, 5):
+        assert (1 - (percent / 100) ** near_dups._rows(percent)) ** near_dups.BANDS <= near_dups.MISSED or near_dups._rows(percent) == 1
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     got = near_dups.near_duplicates(odd).collect()
     assert len(got) == odd.count()
