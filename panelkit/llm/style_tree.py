@@ -41,7 +41,8 @@ LEAST = 0.3
 MIN_PAGES = 5
 BROADCAST_BYTES = 16 * 1024**2  # of hosts and paths to be removed
 SALTS = 64
-DEEPEST = 40  # elements deeper than this count as part of the one at this depth
+LONGEST = 240  # characters of a path; a longer one is told by its hash, and goes on from there, at any depth
+_MODULUS, _BASE = (1 << 61) - 1, 0x1F3D5B79A3C5E7F1 % ((1 << 61) - 1)
 
 # fixed values: elements of the markup language by how they are read
 BLOCKS = frozenset(
@@ -85,6 +86,8 @@ class Node:
     aside: bool
     article: bool
     declared: bool  # its tags decide, not what is counted
+    first: int = 0  # its blocks, and those of all below it: from the first to before the last
+    last: int = 0
     children: list[str] = field(default_factory=list)
 
 
@@ -106,7 +109,8 @@ def _signs(attributes: str) -> tuple[str, str, set[str]]:
 def read_page(text: str) -> Page:
     """The containers and blocks of a page."""
     page = Page()
-    stack: list[tuple[str, int]] = [("", 0)]  # open block elements, each with the container that it is or lies in
+    stack: list[tuple[str, int, bool]] = [("", 0, True)]  # open elements, each with the container that it is (true) or lies in
+    opened: dict[str, int] = defaultdict(int)  # how many of a tag are open
     pieces: list[str] = []
     in_link, link_chars, hidden, at = False, 0, 0, 0
 
@@ -122,7 +126,18 @@ def read_page(text: str) -> Page:
     def close(depth: int) -> None:
         nonlocal hidden
         while len(stack) > depth:
-            hidden -= stack.pop()[0] in UNSEEN
+            tag, node, own = stack.pop()
+            opened[tag] -= 1
+            hidden -= tag in UNSEEN
+            if own:
+                page.nodes[node].last = len(page.blocks)
+
+    def begin(tag: str, node: int) -> None:
+        own = node != stack[-1][1]
+        if own:
+            page.nodes[node].first = len(page.blocks)
+        stack.append((tag, node, own))
+        opened[tag] += 1
 
     def say(raw: str) -> None:
         nonlocal link_chars
@@ -144,7 +159,7 @@ def read_page(text: str) -> Page:
         if m[1] or m[4]:  # an end
             if tag == "a":
                 in_link = False
-            elif tag in BLOCKS or tag in UNSEEN:
+            elif opened[tag]:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth][0] == tag:
                         flush()
@@ -164,7 +179,7 @@ def read_page(text: str) -> Page:
         elif tag in BLOCKS:
             flush()
             for kind, (begun, between) in ENDS.items():
-                if tag in begun:
+                if tag in begun and opened[kind]:
                     for depth in range(len(stack) - 1, 0, -1):
                         if stack[depth][0] == kind:
                             close(depth)
@@ -172,14 +187,20 @@ def read_page(text: str) -> Page:
                         if stack[depth][0] in between:
                             break
             if tag not in VOID:
-                stack.append((tag, _open(page, stack[-1][1], tag, m[3] or m[6] or "")))
+                begin(tag, _open(page, stack[-1][1], tag, m[3] or m[6] or ""))
         elif tag in UNSEEN:
             hidden += 1
-            stack.append((tag, stack[-1][1]))
+            begin(tag, stack[-1][1])
     flush()
+    close(0)
     return page
 
 
+def _step(path: str, tag: str, sign: str) -> str:
+    path = f"{path}>{tag}{sign}"
+    return path if len(path) <= LONGEST else "#" + xxhash.xxh3_128_hexdigest(path)
+
+
 def _open(page: Page, parent: int, tag: str, attributes: str) -> int:
     """The container that an element is, or the one it lies in."""
     page.nodes[parent].children.append(tag)
@@ -190,11 +211,9 @@ def _open(page: Page, parent: int, tag: str, attributes: str) -> int:
     aside = tag in ASIDE_TAGS or role in ASIDE_ROLES or bool(words & ASIDE_WORDS) or (tag == "header" and not above.article)
     if tag not in CONTAINERS and not aside:
         return parent
-    if above.path.count(">") >= DEEPEST:
-        return parent
     begins = tag in ("article", "main") or role in ("article", "main")
     declared = above.aside or aside or begins or (above.article and not sign)
-    page.nodes.append(Node(f"{above.path}>{tag}{sign}", parent, above.aside or aside, above.article or begins, declared))
+    page.nodes.append(Node(_step(above.path, tag, sign), parent, above.aside or aside, above.article or begins, declared))
     return len(page.nodes) - 1
 
 
@@ -207,16 +226,22 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = read_page(source or "")
             whole = xxhash.xxh64_intdigest("\n".join(b for _, b, _ in page.blocks)) >> 1
-            texts: dict[str, list[str]] = defaultdict(list)
+            # sums over the blocks so far, so that what lies below an element is a difference, however deep it is
+            sums, powers, chars_to, links_to = [0], [1], [0], [0]
+            for _, block, linked in page.blocks:
+                sums.append((sums[-1] * _BASE + xxhash.xxh64_intdigest(block)) % _MODULUS)
+                powers.append(powers[-1] * _BASE % _MODULUS)
+                chars_to.append(chars_to[-1] + len(block))
+                links_to.append(links_to[-1] + linked)
+            texts: dict[str, int] = defaultdict(int)
             chars: dict[str, int] = defaultdict(int)
             links: dict[str, int] = defaultdict(int)
-            for node, block, linked in page.blocks:
-                while node > 0:
-                    path = page.nodes[node].path
-                    texts[path].append(block)
-                    chars[path] += len(block)
-                    links[path] += linked
-                    node = page.nodes[node].parent
+            for node in page.nodes[1:]:
+                first, last, path = node.first, node.last, node.path
+                if last > first:
+                    texts[path] = (texts[path] * powers[last - first] + sums[last] - sums[first] * powers[last - first]) % _MODULUS
+                    chars[path] += chars_to[last] - chars_to[first]
+                    links[path] += links_to[last] - links_to[first]
             seen = set()
             for node in page.nodes[1:]:
                 if node.path in texts and node.path not in seen:
@@ -228,7 +253,7 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             node.path,
                             whole,
                             xxhash.xxh64_intdigest(style) >> 1,
-                            xxhash.xxh64_intdigest("\n".join(texts[node.path])) >> 1,
+                            texts[node.path],
                             chars[node.path],
                             links[node.path],
                             node.declared,

@@ -67,6 +67,20 @@ def test_branches_that_all_pages_share_are_removed(llm, monkeypatch, limit):
     assert tree[">div.text"].content == pytest.approx(1) and tree[">div.box0"].content == pytest.approx(0, abs=1e-9)
 
 
+def test_elements_at_any_depth(llm):
+    """What is no text below 60 elements, an article that begins there, signs with '>' in them, and a page of unclosed elements."""
+    deep = "<div>" * 60
+    pages = [
+        (deep + "<p>a<nav>n</nav><footer>f</footer><form>g</form>b", "a\nb"),
+        (deep + "<p>out</p><article><p>in</p></article>", "in"),
+        ("<div class='[&>p]:mt-4 [&>a]:x [&>b]:y'>" * 15 + "<p>a<nav>n</nav>", "a"),
+        ("<div><p>x" * 4000 + "<nav>n</nav>", "\n".join("x" * 4000)),
+    ]
+    rows = [(i, "http://h.example/", html) for i, (html, _) in enumerate(pages)]
+    got = {r.page_id: r.main_text for r in style_tree.extract(llm.createDataFrame(rows, "page_id long, url string, html string"), ["page_id"]).collect()}
+    assert [got[i] for i in range(len(pages))] == [text for _, text in pages]
+
+
 def test_copies_of_an_article_stay(llm):
     rows = [(i, f"http://h.example/{i}", f"<title>{i}</title><article class='post'><p>The same article.</p></article><p>{i}") for i in range(9)]
     pages = llm.createDataFrame(rows, "page_id long, url string, html string")
