@@ -10,9 +10,14 @@ classes and ids, from the body down) are one node of the host's style tree, whic
 The importance of a node is the mean of the two, times the share of text outside links. Branches of importance under ``LEAST`` are
 removed from every page of the host, if at least ``MIN_PAGES`` pages tell.
 
-What tags, roles, classes and ids declare comes before what is counted: menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and comments have importance 0; an article (or main part) has importance 1 with all that has no
-class or id, as equal articles on a host are copies, not templates. If a page has an article, only that is its main text.
+What tags and roles declare comes before what is counted: menus, headers, footers, asides, forms, scripts, styles and comments have
+importance 0; an article (or main part) has importance 1 with all that has no class or id, as equal articles on a host are copies,
+not templates. If a page has an article, only that is its main text.
+
+Words of classes and ids (sidebar, advert) only lower what is counted, to ``NAMED`` if the whole name is such a word, else to ``HINTED``
+of it; on hosts with fewer pages a whole name removes, part of one does not. They say nothing of an article, of an element that holds one, of
+headings, and of sections and headers in an article (sections by a class that is such a word, not by their ids). Such an element goes only
+with what holds it.
 
 Blocks are what lies between the begins and ends of block elements; their white space becomes one space, and they are
 joined by line ends. A line break element is white space.
@@ -39,6 +44,7 @@ from .common import added, written
 
 LEAST = 0.3
 MIN_PAGES = 5
+NAMED, HINTED = 0.5, 0.75
 BROADCAST_BYTES = 16 * 1024**2  # of hosts and paths to be removed
 SALTS = 64
 LONGEST = 240  # characters of a path; a longer one is told by its hash, and goes on from there, at any depth
@@ -51,7 +57,8 @@ BLOCKS = frozenset(
 )
 CONTAINERS = frozenset("article aside body center dialog div dl footer form header main menu nav ol section table ul".split())
 RAW = frozenset("script style textarea title iframe xmp".split())  # their content is no markup
-UNSEEN = frozenset("head noscript template svg math object canvas select button option audio video map datalist".split())
+UNSEEN = frozenset("head noscript template svg annotation annotation-xml object canvas select button option audio video map datalist".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEAD_PARTS = frozenset("base link meta noscript script style template title".split())
 ENDS = {  # an open element of the first kind ends where one of the second kind begins, unless the third lies between
@@ -86,6 +93,8 @@ class Node:
     aside: bool
     article: bool
     declared: bool  # its tags decide, not what is counted
+    hint: int = 0  # 2 if a class or the id is an aside word, 1 if one is part of it
+    holds: bool = False  # an article or main part
     first: int = 0  # its blocks, and those of all below it: from the first to before the last
     last: int = 0
     children: list[str] = field(default_factory=list)
@@ -97,13 +106,24 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # node, text, characters in links
 
 
-def _signs(attributes: str) -> tuple[str, str, set[str]]:
-    """What tells elements of one tag apart, the role, and the words of class and id."""
+def _signs(attributes: str) -> tuple[str, str, list[str], str]:
+    """What tells elements of one tag apart, the role, the classes and the id."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
     if not found:
-        return "", "", set()
+        return "", "", [], ""
     sign = "".join(f"{mark}{found[name]}" for name, mark in (("class", "."), ("id", "#")) if name in found)
-    return re.sub(r"\d+", "0", sign), found.get("role", "").lower(), set(_WORD.findall(sign.lower()))
+    return re.sub(r"\d+", "0", sign), found.get("role", "").lower(), found.get("class", "").lower().split(), found.get("id", "").lower()
+
+
+def _hint(tag: str, classes: list[str], name: str, in_article: bool) -> int:
+    """What the words of classes and id say: 2 a whole name, 1 part of one, 0 nothing."""
+    if tag in HEADINGS or in_article and tag == "header":
+        return 0
+    section = in_article and (tag == "section" or "section" in classes)
+    names = classes if section else [*classes, name]
+    if any(x in ASIDE_WORDS for x in names):
+        return 2
+    return int(not section and any(w in ASIDE_WORDS for x in names for w in _WORD.findall(x)))
 
 
 def read_page(text: str) -> Page:
@@ -206,21 +226,27 @@ def _open(page: Page, parent: int, tag: str, attributes: str) -> int:
     page.nodes[parent].children.append(tag)
     if tag in ("html", "body"):
         return parent
-    sign, role, words = _signs(attributes)
+    sign, role, classes, name = _signs(attributes)
     above = page.nodes[parent]
-    aside = tag in ASIDE_TAGS or role in ASIDE_ROLES or bool(words & ASIDE_WORDS) or (tag == "header" and not above.article)
-    if tag not in CONTAINERS and not aside:
-        return parent
     begins = tag in ("article", "main") or role in ("article", "main")
+    aside = tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not above.article)
+    hint = 0 if begins or aside else _hint(tag, classes, name, above.article)
+    if tag not in CONTAINERS and not aside and not hint:
+        return parent
+    if begins:
+        at = parent
+        while at >= 0 and not page.nodes[at].holds:
+            page.nodes[at].holds = True
+            at = page.nodes[at].parent
     declared = above.aside or aside or begins or (above.article and not sign)
-    page.nodes.append(Node(_step(above.path, tag, sign), parent, above.aside or aside, above.article or begins, declared))
+    page.nodes.append(Node(_step(above.path, tag, sign), parent, above.aside or aside, above.article or begins, declared, hint, begins))
     return len(page.nodes) - 1
 
 
 def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each page and path: style, text (as hashes), characters, those in links, and whether its tags decide."""
-    names = ["host", "path", "page", "style", "text", "chars", "links", "declared"]
-    types = [pa.string(), pa.string(), *[pa.int64()] * 5, pa.bool_()]
+    names = ["host", "path", "page", "style", "text", "chars", "links", "declared", "hint"]
+    types = [pa.string(), pa.string(), *[pa.int64()] * 5, pa.bool_(), pa.int32()]
     for batch in batches:
         rows: list[tuple] = []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
@@ -257,6 +283,7 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             chars[node.path],
                             links[node.path],
                             node.declared,
+                            node.hint,
                         )
                     )
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
@@ -267,15 +294,15 @@ def _host(url: str):
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """The style tree of each host of ``pages`` (url, html): host, path, pages, presentation, content, importance, declared."""
+    """The style tree of each host of ``pages`` (url, html): host, path, pages, presentation, content, importance, declared, hint."""
     rows = pages.select(_host("url").alias("host"), "html").mapInArrow(
-        _node_rows, "host string, path string, page long, style long, text long, chars long, links long, declared boolean"
+        _node_rows, "host string, path string, page long, style long, text long, chars long, links long, declared boolean, hint int"
     )
-    once = rows.groupBy("host", "path", "page").agg(*[F.min(c).alias(c) for c in ("style", "text", "chars", "links", "declared")])
+    once = rows.groupBy("host", "path", "page").agg(*[F.min(c).alias(c) for c in ("style", "text", "chars", "links", "declared", "hint")])
     # one row per style and one per text of a node, summed in one pass: an entropy needs only the counts
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("style", "text")]))
-    counts = once.select("host", "path", "chars", "links", "declared", kinds.alias("of")).groupBy("host", "path", "of.kind", "of.value").agg(
-        F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.max("declared").alias("declared")
+    counts = once.select("host", "path", "chars", "links", "declared", "hint", kinds.alias("of")).groupBy("host", "path", "of.kind", "of.value").agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("chars", "links")], *[F.max(c).alias(c) for c in ("declared", "hint")]
     )
     style, n = F.col("kind") == "style", F.col("n")
     nodes = counts.groupBy("host", "path").agg(
@@ -284,6 +311,7 @@ def importance(pages: DataFrame) -> DataFrame:
         F.avg(F.when(~style, F.log(n))).alias("texts"),
         (F.sum("links") / F.greatest(F.sum("chars"), F.lit(1))).alias("linked"),
         F.max("declared").alias("declared"),
+        F.max("hint").alias("hint"),
     )
     m = F.col("pages")
     several = m > 1
@@ -296,7 +324,8 @@ def _main_text(source: str | None, removed: frozenset[str]) -> str:
     page = read_page(source or "")
     drop = [False]
     for node in page.nodes[1:]:
-        drop.append(drop[node.parent] or node.aside or node.path in removed)
+        low = node.path in removed or (node.hint == 2 and f"+{node.path}" not in removed)
+        drop.append(drop[node.parent] or node.aside or (low and not node.holds))
     kept = [(node, block) for node, block, _ in page.blocks if not drop[node]]
     if any(node.article and not gone for node, gone in zip(page.nodes, drop, strict=True)):
         kept = [(node, block) for node, block in kept if page.nodes[node].article]
@@ -305,7 +334,10 @@ def _main_text(source: str | None, removed: frozenset[str]) -> str:
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each row of ``pages`` (url, html) and its ``main_text``."""
-    low = importance(pages).where(~F.col("declared") & (F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST))
+    tree = importance(pages).where(~F.col("declared") & (F.col("pages") >= MIN_PAGES))
+    lowered = F.col("importance") * F.when(F.col("hint") == 2, NAMED).when(F.col("hint") == 1, HINTED).otherwise(1.0)
+    # beside the branches to be removed, with a sign before them, those named like asides that the tree keeps
+    low = tree.where((lowered < LEAST) | (F.col("hint") == 2)).withColumn("path", F.when(lowered < LEAST, F.col("path")).otherwise(F.concat(F.lit("+"), "path")))
     low = written(low.groupBy("host").agg(F.collect_list("path").alias("__removed")).withColumnRenamed("host", "__host"), "low-branches")
     rows = pages.select(*keep, F.col("html").alias("__html"), _host("url").alias("__of"))
     size = low.agg(F.sum(F.length("__host") + F.length(F.concat_ws("", "__removed")) + 16 * F.size("__removed"))).first()[0] or 0

@@ -67,6 +67,34 @@ def test_branches_that_all_pages_share_are_removed(llm, monkeypatch, limit):
     assert tree[">div.text"].content == pytest.approx(1) and tree[">div.box0"].content == pytest.approx(0, abs=1e-9)
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article class='has-sidebar'><p>a</p></article>", "a"),
+        ("<article class='menu'><p>a</p></article>", "a"),
+        ("<div class='site no-banner'><article><p>a</p></article></div>", "a"),
+        ("<div class='sidebar'><div><main>m</main></div></div>", "m"),
+        ("<div class='layout has-sidebar'><p>a</p></div>", "a"),
+        ("<article><h2 id='social-media-in-schools'>S</h2><section id='related-work'>r</section><section id='notice'>n</section></article>", "S\nr\nn"),
+        ("<article><h2 class='notice'>S</h2><header class='banner'><h1>T</h1></header><div class='sidebar'>no</div></article>", "S\nT"),
+        ("<article><p>x <math><mi>y</mi><mo>=</mo><mn>2</mn><annotation>y=2</annotation></math></p></article>", "x y=2"),
+    ],
+)
+def test_names_do_not_remove_articles_headings_and_sections(html, text):
+    assert style_tree._main_text(html, frozenset()) == text
+
+
+def test_names_lower_what_the_tree_counts(llm):
+    """On a host with pages enough, one named like an aside stays if its texts and styles differ."""
+    page = "<body><div class='promo'>{0}</div><div class='ad'><p>advert {1}</p></div><p>text {1}</p></body>"
+    rows = [(i, f"http://h.example/{i}", page.format("<p>p<ul><li>l</ul>" * i + f"<table><tr><td>own {i}</table>" * (i % 3), i)) for i in range(1, 9)]
+    rows = [(i, u, h.replace("<p>p", f"<{'dl dl div ol section table ul menu'.split()[i - 1]}>p", 1)) for i, u, h in rows]
+    pages = llm.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.main_text for r in style_tree.extract(pages, ["page_id"]).collect()}
+    assert all(f"text {i}" in got[i] and "advert" not in got[i] for i in got)
+    assert any("p\nl" in got[i] for i in got)
+
+
 def test_elements_at_any_depth(llm):
     """What is no text below 60 elements, an article that begins there, signs with '>' in them, and a page of unclosed elements."""
     deep = "<div>" * 60
