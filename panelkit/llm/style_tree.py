@@ -8,7 +8,11 @@ classes and ids, from the body down) are one node of the host's style tree, whic
   one page counts 1 and text on all pages 0,
 - the share of text in links.
 The importance of a node is the mean of the two, times the share of text outside links. Branches of importance under ``LEAST`` are
-removed from every page of the host, if at least ``MIN_PAGES`` pages tell.
+removed from every page of the host. Fewer than ``MIN_PAGES`` pages tell less: what an importance lacks of 1 counts by log(pages) / log(``MIN_PAGES``).
+
+The blocks of a node are branches of their own: a text (of ``MIN_WORDS`` words, as shorter ones repeat by chance) has the content importance
+1 - log(n) / log(m), if n of the m articles with that node hold it (of the pages, outside articles; articles of the same text
+are one, as they are copies, not templates). If more than half of a page's text would go in this way, the page is a near copy and keeps it.
 
 What tags and roles declare comes before what is counted: menus, headers, footers, asides, forms, scripts, styles and comments have
 importance 0; an article (or main part) has importance 1 with all that has no class or id, as equal articles on a host are copies,
@@ -44,6 +48,7 @@ from .common import added, written
 
 LEAST = 0.3
 MIN_PAGES = 5
+MIN_WORDS = 4
 NAMED, HINTED = 0.5, 0.75
 BROADCAST_BYTES = 16 * 1024**2  # of hosts and paths to be removed
 SALTS = 64
@@ -289,6 +294,48 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
 
+def _key(path: str, block: str) -> int:
+    return xxhash.xxh64_intdigest(f"{path}\n{block}") >> 1
+
+
+def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each block that may be main text: where it lies, itself, and the article or page that holds it (as hashes)."""
+    for batch in batches:
+        rows: set[tuple] = set()
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            page = read_page(source or "")
+
+            def text_hash(first: int, last: int, page: Page = page) -> int:
+                return xxhash.xxh64_intdigest("\n".join(b for _, b, _ in page.blocks[first:last])) >> 1
+
+            units = [text_hash(0, len(page.blocks))]
+            for node in page.nodes[1:]:
+                begins = node.article and not page.nodes[node.parent].article
+                units.append(text_hash(node.first, node.last) if begins else units[node.parent])
+            for at, block, _ in page.blocks:
+                node = page.nodes[at]
+                if not node.aside and (node.article or not page.nodes[0].holds):
+                    key = _key(node.path, block) if len(block.split(None, MIN_WORDS - 1)) == MIN_WORDS else None
+                    rows.add((host, xxhash.xxh64_intdigest(node.path) >> 1, units[at], key))
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        types = [pa.string(), *[pa.int64()] * 3]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "at", "unit", "key"])
+
+
+def _weighed(importance, pages):
+    """An importance as far as so many pages tell it."""
+    return 1 - F.least(F.lit(1.0), F.log(pages) / F.log(F.lit(MIN_PAGES))) * (1 - importance)
+
+
+def repeated(pages: DataFrame) -> DataFrame:
+    """The blocks of each host of ``pages`` (url, html) whose importance is under ``LEAST``: host and key."""
+    rows = pages.select(_host("url").alias("host"), "html").mapInArrow(_text_rows, "host string, at long, unit long, key long").distinct()
+    units = rows.select("host", "at", "unit").distinct().groupBy("host", "at").agg(F.count("*").alias("m"))
+    texts = rows.where("key is not null").groupBy("host", "at", "key").agg(F.count("*").alias("n")).where("n > 1")
+    both = texts.join(units, ["host", "at"])
+    return both.where(_weighed(1 - F.log("n") / F.log("m"), F.col("m")) < LEAST).select("host", "key")
+
+
 def _host(url: str):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#\s]*)", 1)), F.lit(""))
 
@@ -329,15 +376,19 @@ def _main_text(source: str | None, removed: frozenset[str]) -> str:
     kept = [(node, block) for node, block, _ in page.blocks if not drop[node]]
     if any(node.article and not gone for node, gone in zip(page.nodes, drop, strict=True)):
         kept = [(node, block) for node, block in kept if page.nodes[node].article]
+    own = [(node, block) for node, block in kept if f"={_key(page.nodes[node].path, block)}" not in removed] if removed else kept
+    if 2 * sum(len(block) for _, block in own) >= sum(len(block) for _, block in kept):
+        kept = own
     return "\n".join(block for _, block in kept)
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each row of ``pages`` (url, html) and its ``main_text``."""
-    tree = importance(pages).where(~F.col("declared") & (F.col("pages") >= MIN_PAGES))
-    lowered = F.col("importance") * F.when(F.col("hint") == 2, NAMED).when(F.col("hint") == 1, HINTED).otherwise(1.0)
+    tree = importance(pages).where(~F.col("declared") & (F.col("pages") > 1))
+    lowered = _weighed(F.col("importance"), F.col("pages")) * F.when(F.col("hint") == 2, NAMED).when(F.col("hint") == 1, HINTED).otherwise(1.0)
     # beside the branches to be removed, with a sign before them, those named like asides that the tree keeps
-    low = tree.where((lowered < LEAST) | (F.col("hint") == 2)).withColumn("path", F.when(lowered < LEAST, F.col("path")).otherwise(F.concat(F.lit("+"), "path")))
+    low = tree.where((lowered < LEAST) | ((F.col("hint") == 2) & (F.col("pages") >= MIN_PAGES))).withColumn("path", F.when(lowered < LEAST, F.col("path")).otherwise(F.concat(F.lit("+"), "path")))
+    low = low.select("host", "path").union(repeated(pages).select("host", F.concat(F.lit("="), F.col("key").cast("string"))))
     low = written(low.groupBy("host").agg(F.collect_list("path").alias("__removed")).withColumnRenamed("host", "__host"), "low-branches")
     rows = pages.select(*keep, F.col("html").alias("__html"), _host("url").alias("__of"))
     size = low.agg(F.sum(F.length("__host") + F.length(F.concat_ws("", "__removed")) + 16 * F.size("__removed"))).first()[0] or 0

@@ -95,6 +95,24 @@ def test_names_lower_what_the_tree_counts(llm):
     assert any("p\nl" in got[i] for i in got)
 
 
+def test_blocks_that_repeat_are_removed(llm):
+    """A template paragraph in body, in an article; on few pages; not that of copies, of near copies, nor short ones."""
+    note = "<p>Please read our other pages too.</p>"
+
+    def host(name, pages, form):
+        return [(f"http://{name}/{i}", form.format(i=i, note=note, own=f"These are the words of page number {i} alone and of no other page.")) for i in range(pages)]
+
+    rows = host("body", 8, "<body><p>{own}</p>{note}<p>Short one</p>") + host("art", 8, "<article><p>{own}</p><div>{note}</div></article>")
+    rows += host("four", 4, "<p>{own}</p>{note}") + host("two", 2, "<p>{own}</p>{note}")
+    rows += host("copy", 6, "<article>{note}<p>always the same text</p></article><p>{i}") + host("near", 6, "<article>{note}<p>always the same text</p><p>{i}</p></article>")
+    pages = llm.createDataFrame(rows, "url string, html string")
+    got = {r.url: r.main_text for r in style_tree.extract(pages, ["url"]).collect()}
+    left = {u: t.count("Please read our") for u, t in got.items()}
+    assert all(n == (u.split("/")[2] in ("two", "copy", "near")) for u, n in left.items())
+    assert all("of page number" in t for u, t in got.items() if u.split("/")[2] in ("body", "art", "four", "two"))
+    assert all("Short one" in t for u, t in got.items() if "/body/" in u)
+
+
 def test_elements_at_any_depth(llm):
     """What is no text below 60 elements, an article that begins there, signs with '>' in them, and a page of unclosed elements."""
     deep = "<div>" * 60
