@@ -225,7 +225,7 @@ def test_n_grams_are_those_of_a_plain_count(llm):
     train = np.array([True, True, True, True, False])
     row = maxent._block(0, pa.array(range(5)), train, np.frombuffer(data, np.uint8), offsets)
     sliced = maxent._gram_slices(3)(iter([pa.RecordBatch.from_pylist([row])]))
-    own = [np.concatenate([maxent._from_planes(x.as_py()) for x in of.column("counts")]) for of in sliced]
+    own = [np.concatenate([maxent._from_small(x.as_py()) for x in of.column("counts")]) for of in sliced]
     words_n = np.frombuffer(row["counts"], "<u4").astype(np.int64)
     found = maxent._occurrences(row, words_n, own, 3)
     padded = [["^"] * 3 + words(t) + ["$"] * 3 for t in texts]
