@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 
 from panelkit.session import fresh_path
 
-from . import decontaminate, divergence_rules, id_files, language_profiles, maxent, packing, quality_model, style_tree, warc
+from . import (
+    collocations,
+    decontaminate,
+    divergence_rules,
+    id_files,
+    language_profiles,
+    maxent,
+    packing,
+    periodic_runs,
+    quality_model,
+    style_tree,
+    warc,
+)
 from .common import in_fold, ship, table, written
 from .near_dups import near_duplicates
 
@@ -169,3 +181,53 @@ def main_text(spark: SparkSession, folder: str) -> DataFrame:
 def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     held_out = in_fold(F.col("doc_id"), 5, 1)
     return maxent.score(table(spark, folder, "documents"), ~held_out).withColumn("held_out", held_out)
+
+
+@query(
+    "op12_phrase_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ),
+    cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    grams AS (
+        SELECT lang, unnest(w) AS p, 1 AS k FROM cut
+        UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 FROM cut
+        UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])), 3 FROM cut
+    ),
+    f AS MATERIALIZED (SELECT lang, p, k, count(*) AS n FROM grams GROUP BY ALL),
+    c AS (SELECT lang, p, k, n AS a, string_split(p, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+    cuts AS (
+        SELECT lang, p, k, a, w, 1 AS split, w[1] AS left_part, array_to_string(w[2:], ' ') AS right_part FROM c
+        UNION ALL SELECT lang, p, k, a, w, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE k = 3
+    ),
+    scores AS (
+        SELECT c.lang, c.p, c.k, c.a, c.split, x.n AS l, y.n AS r,
+            CAST(CAST(c.a AS HUGEINT) * c.a * 1000000 // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.left_part JOIN f y ON y.lang = c.lang AND y.p = c.right_part
+    ),
+    lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, split) AS place FROM scores),
+    longer AS (
+        SELECT lang, p, max(a) AS a FROM (
+            SELECT lang, w[1] || ' ' || w[2] AS p, a FROM c WHERE k = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE k = 3
+        ) GROUP BY ALL
+    ),
+    kept AS (
+        SELECT s.* FROM lowest s LEFT JOIN longer g ON g.lang = s.lang AND g.p = s.p
+        WHERE place = 1 AND (g.a IS NULL OR 100 * g.a < 50 * s.a)
+    ),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept),
+    totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang)
+    SELECT lang, CAST(rank AS BIGINT) AS rank, p AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op13_periodic_runs")
+def periodic(spark: SparkSession, folder: str) -> DataFrame:
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return periodic_runs.periodic_runs(table(spark, folder, "documents"), ["doc_id"], checksum)
