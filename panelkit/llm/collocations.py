@@ -38,7 +38,7 @@ COVERED = 50  # percent of a phrase's occurrences in a longer one, from which on
 TOP = 2000
 UNKNOWN = "und"
 SLICE = 1 << 20  # suffixes that a task sums up before it sends them
-TEXT_CHUNK = 8 * 1024**2
+TEXT_CHUNK = 4 * 1024**2
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -265,10 +265,12 @@ def _subtrees(shared):
     return run
 
 
-PHRASES = "lang string, one long, two long, three long, a long, left_1 long, left_2 long"
+PHRASES = "lang string, one long, two long, three long, a long, left_1 long, left_2 long, first_pair long, last_pair long"
 
+PHRASE_NAMES = [f.split()[0] for f in PHRASES.split(", ")]
 
-def _phrases(shared, hot: dict[int, int], least: int):
+
+def _phrases(shared, hot, least: int):
     """One group: its subtrees become one, whose nodes with enough leaves below are phrases."""
 
     def run(key: tuple, trees: pa.Table) -> pa.Table:
@@ -300,22 +302,14 @@ def _phrases(shared, hot: dict[int, int], least: int):
         rows = [np.concatenate(x) for x in (
             (one[short], one[long]), (two[short], two[long]), (np.zeros(len(short), np.uint64), three[long]),
             (pairs[short], a), (below[short], below[long]), (np.zeros(len(short), np.int64), pairs[long]),
+            (double[node[short]], double[node[long]]), (np.zeros(len(short), np.uint64), pair(two[long], three[long])),
         )]
         lang = pa.array([key[1].as_py()] * len(rows[0]), pa.string())
-        return pa.Table.from_arrays([lang, *[pa.array(x.view(np.int64)) for x in rows]], ["lang", "one", "two", "three", "a", "left_1", "left_2"])
+        return pa.Table.from_arrays([lang, *[pa.array(x.view(np.int64)) for x in rows]], PHRASE_NAMES)
 
     return run
 
 
-def _pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashes of a phrase's first two words, and of its last two if it has three."""
-    for batch in batches:
-        one, two, three = (batch.column(c).to_numpy().view(np.uint64) for c in ("one", "two", "three"))
-        first, last = pair(one, two), np.where(three != 0, pair(two, three), 0).astype(np.uint64)
-        made = [pa.array(x.view(np.int64)) for x in (first, last)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "first_pair", "last_pair"])
-
-
 def phrases(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """Counts of words (lang, hash, word, n), and of phrases of 2 and 3 words that occur ``least`` times or more.
 
@@ -325,20 +319,20 @@ def phrases(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[
     context = docs.sparkSession.sparkContext
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     counted = texts.mapInArrow(_word_counts, "lang string, hash long, word string, n long")
-    words = written(counted.groupBy("lang", "hash").agg(F.min("word").alias("word"), F.sum("n").alias("n")), "phrases-words")
+    words = written(counted.groupBy("lang", "hash", "word").agg(F.sum("n").alias("n")), "phrases-words")
     total = words.agg(F.sum("n")).first()[0] or 0
     known, pairs = _partition(texts, words, total, budget)
     hot = {r.hash & (2**64 - 1): r.n for r in words.where(F.col("n") > budget).select("hash", "n").collect()}
     if pairs is not None:
         hot |= {r.prefix & (2**64 - 1): r.n for r in pairs.where(F.col("n") > budget).select("prefix", "n").collect()}
-    shared, hot = context.broadcast(known), context.broadcast(hot)
+    shared, totals = context.broadcast(known), context.broadcast(hot)
     trees = texts.mapInArrow(_subtrees(shared), "group long, lang string, tree binary")
-    found = trees.groupBy("group", "lang").applyInArrow(_phrases(shared, hot, least), PHRASES)
+    found = trees.groupBy("group", "lang").applyInArrow(_phrases(shared, totals, least), PHRASES)
     if pairs is not None:  # pairs that lie in several groups
         wide = pairs.where((F.col("n") > budget) & (F.col("two") != 0)).join(words.select(F.col("hash").alias("one"), F.col("n").alias("left_1")), "one")
         zero = F.lit(0).cast("long")
-        found = found.union(wide.select("lang", "one", "two", zero.alias("three"), F.col("n").alias("a"), "left_1", zero.alias("left_2")))
-    return words, written(found.mapInArrow(_pairs_of, PHRASES + ", first_pair long, last_pair long"), "phrases")
+        found = found.union(wide.select("lang", "one", "two", zero.alias("three"), F.col("n").alias("a"), "left_1", zero.alias("left_2"), F.col("prefix").alias("first_pair"), zero.alias("last_pair")))
+    return words, written(found, "phrases")
 
 
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, covered: int = COVERED, budget: int = BUDGET) -> DataFrame:
