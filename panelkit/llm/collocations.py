@@ -335,6 +335,22 @@ def phrases(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[
     return words, written(found, "phrases")
 
 
+def _first(phrases: DataFrame, by: str, top: int) -> DataFrame:
+    """Each language's phrases down to the value of ``by`` that has the ``top``-th, all of that value included.
+
+    Only counts of values are ordered: scores are at most 1,000,001, and sixteenths of octaves of ``a`` a few hundred. ``octave`` compares phrases
+    of the lowest score that is left; ``before`` counts those above it.
+    """
+    if by == "octave":
+        lowest = phrases.groupBy("lang").agg(F.min("score").alias("lowest"))
+        octave = F.when(F.col("score") > F.col("lowest"), F.lit(1 << 20)).otherwise(F.floor(16 * F.log2(F.col("a"))).cast("int"))
+        phrases = phrases.drop("before").join(lowest, "lang").withColumn("octave", octave).drop("lowest")
+    counts = phrases.groupBy("lang", by).agg(F.count("*").alias("phrases"))
+    above = Window.partitionBy("lang").orderBy(F.desc(by)).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("phrases").over(above), F.lit(0))).where(F.col("before") < top).drop("phrases")
+    return phrases.join(counts, ["lang", by])
+
+
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, covered: int = COVERED, budget: int = BUDGET) -> DataFrame:
     """Each language's ``top`` phrases by score (docs: text, lang): lang, rank, phrase, a, l, r, n, score.
 
@@ -363,10 +379,8 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, covered: i
     longer = found.where("three <> 0").select(F.explode(F.array("first_pair", "last_pair")).alias("first_pair"), F.col("a").alias("longer"))
     longer = longer.groupBy("first_pair").agg(F.max("longer").alias("longer")).withColumn("three", F.lit(0).cast("long"))
     kept = scored.join(longer, ["first_pair", "three"], "left").where(F.coalesce(100 * F.col("longer") < covered * F.col("a"), F.lit(True)))
-    # ties with the last place stay until phrases have their texts
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    best = kept.withColumn("place", F.rank().over(order)).where(F.col("place") <= top).drop("longer", "place", "first_pair")
-    best = written(best, "phrases-best")
+    kept = written(kept.drop("longer", "first_pair"), "phrases-scored")
+    best = written(_first(_first(kept, "score", top), "octave", top).drop("octave", "before"), "phrases-best")
     text = words.where(F.col("n") >= least)
     for k in ("one", "two", "three"):
         best = best.join(text.select(F.col("hash").alias(k), F.col("word").alias(f"word_{k}")), k, "left")

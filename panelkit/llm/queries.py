@@ -16,6 +16,7 @@ from . import (
     divergence_rules,
     id_files,
     language_profiles,
+    licenses,
     maxent,
     packing,
     periodic_runs,
@@ -24,6 +25,7 @@ from . import (
     warc,
 )
 from .common import in_fold, ship, table, written
+from .license_texts import PHRASES, TEMPLATES
 from .near_dups import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +185,59 @@ def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return maxent.score(table(spark, folder, "documents"), ~held_out).withColumn("held_out", held_out)
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def license_sql() -> str:
+    """The search of ``licenses`` over all pairs of a block and a template."""
+    known = licenses.templates(TEMPLATES)
+    rows = ",\n        ".join(
+        f"({t.number}, {_text(t.label)}, {t.size}, {t.needed}, [{', '.join(map(_text, t.words))}])" for t in known
+    )
+    places = " UNION ALL ".join(
+        f"SELECT r, {_text(label)} AS label, unnest(list_filter(range(1, len(w) + 1), lambda i: "
+        + " AND ".join(f"w[i + {k}] = {_text(x)}" for k, x in enumerate(phrase.split(" ")))
+        + ")) - 1 AS spot FROM cut WHERE "
+        + " AND ".join(f"list_contains(w, {_text(x)})" for x in phrase.split(" "))
+        for phrase, label in PHRASES.items()
+    )
+    return f"""
+    WITH cut AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+        FROM documents
+    ),
+    templates(template, label, half, needed, own) AS (VALUES
+        {rows}
+    ),
+    places AS ({places}),
+    base AS (
+        SELECT r, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list(DISTINCT label) AS labels FROM places GROUP BY r
+    ),
+    blocks AS (
+        SELECT r, half, list_distinct(w[b * half + 1 : (b + 2) * half]) AS block FROM (
+            SELECT r, w, half, unnest(range(CAST(ceil(len(w) / half) AS BIGINT))) AS b FROM cut, (SELECT DISTINCT half FROM templates)
+        )
+    ),
+    met AS (
+        SELECT r, label, len(list_intersect(block, own)) / len(own) AS share FROM blocks JOIN templates USING (half)
+        WHERE len(list_intersect(block, own)) >= needed
+    ),
+    found AS (SELECT r, max(share) AS score, count(*) AS n_blocks, list(DISTINCT label) AS labels FROM met GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+        CAST(last_word AS BIGINT) AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+        array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') AS labels,
+        coalesce(score, 0) AS score, coalesce(n_blocks, 0) AS n_blocks
+    FROM cut LEFT JOIN base USING (r) LEFT JOIN found USING (r)
+    """
+
+
+@query("op11_license_scan", license_sql())
+def license_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query(
     "op12_phrase_collocations",
     r"""
