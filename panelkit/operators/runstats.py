@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtext import lower_label, normalize_variant, variant_of, variant_of_log
-from .quantiles import ROWS, moments, quantiles, value_counts, with_groups
+from .quantiles import quantiles
 
 TIME, MEMORY = "wall_time_sec", "max_rss_kb"
 QUARTILES = [0.25, 0.5, 0.75]
@@ -35,18 +35,6 @@ def suspect_runs(res: DataFrame, limit: float = 0.5) -> DataFrame:
     return res.filter(F.col(TIME) <= limit).select("framework", "workload", "runid", TIME, "logfile")
 
 
-def _of(measure: str, value) -> Column:
-    """The value in the row of one measure."""
-    return F.max(F.when(F.col("measure") == measure, value))
-
-
-def _quartiles(res: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    """Per group and measure the array ``q`` of the three quartiles, and the number ``n``."""
-    counts = value_counts(res, by, columns, with_rows=True)
-    number = counts.groupBy(*by, "measure").agg(F.sum("n").alias("n"))
-    return number.join(quantiles(counts, by, QUARTILES), [*by, "measure"])
-
-
 def run_summary(
     res: DataFrame, by: Sequence[str] = ("framework", "workload", "variant"), approx: bool = False
 ) -> DataFrame:
@@ -70,18 +58,22 @@ def run_summary(
             F.avg(MEMORY).alias("mean_rss_kb"),
         )
     else:
-        counts = value_counts(res, by, [TIME, MEMORY], with_rows=True)
-        q1, median, q3 = (F.col("q")[i] for i in range(3))
-        found = moments(counts, by).join(quantiles(counts, by, QUARTILES), [*by, "measure"])
-        summary = found.groupBy(*by).agg(
-            F.coalesce(_of(TIME, F.col("n")), F.lit(0)).alias("n"),
-            _of(TIME, median).alias("median_time"),
-            _of(TIME, F.col("mean")).alias("mean_time"),
-            _of(TIME, F.col("std")).alias("std_time"),
-            _of(TIME, q1).alias("q1_time"),
-            _of(TIME, q3).alias("q3_time"),
-            _of(MEMORY, median).alias("median_rss_kb"),
-            _of(MEMORY, F.col("mean")).alias("mean_rss_kb"),
+        also = [
+            F.avg(TIME).alias("mean_time"),
+            F.stddev_samp(TIME).alias("std_time"),
+            F.avg(MEMORY).alias("mean_rss_kb"),
+        ]
+        times, memory = F.col(f"q_{TIME}"), F.col(f"q_{MEMORY}")
+        summary = quantiles(res, by, [TIME, MEMORY], QUARTILES, also).select(
+            *by,
+            F.col(f"n_{TIME}").alias("n"),
+            times[1].alias("median_time"),
+            "mean_time",
+            "std_time",
+            times[0].alias("q1_time"),
+            times[2].alias("q3_time"),
+            memory[1].alias("median_rss_kb"),
+            "mean_rss_kb",
         )
     return summary.withColumn("iqr_time", F.col("q3_time") - F.col("q1_time"))
 
@@ -103,12 +95,9 @@ def workload_summary(res: DataFrame, approx: bool = False) -> DataFrame:
 def variant_medians(res: DataFrame) -> DataFrame:
     """Median time, median MB and number of runs per framework and log variant."""
     by, memory = ["framework", "variant"], "max_rss_mb"
-    found = _quartiles(with_log_variant(res), by, [TIME, memory])
-    median = F.col("q")[1]
-    return found.groupBy(*by).agg(
-        _of(TIME, median).alias("median_time"),
-        _of(memory, median).alias("median_rss_mb"),
-        _of(ROWS, F.col("n")).alias("n"),
+    found = quantiles(with_log_variant(res), by, [TIME, memory], [0.5], [F.count("*").alias("n")])
+    return found.select(
+        *by, F.col(f"q_{TIME}")[0].alias("median_time"), F.col(f"q_{memory}")[0].alias("median_rss_mb"), "n"
     )
 
 
@@ -116,39 +105,36 @@ def workload_medians(res: DataFrame) -> DataFrame:
     """Median time and memory per framework, workload and normalised variant."""
     by = ["framework", "workload", "variant"]
     named = with_variant(res).withColumn("variant", normalize_variant("variant"))
-    found = _quartiles(named, by, [TIME, MEMORY])
-    median = F.col("q")[1]
-    return found.groupBy(*by).agg(
-        _of(TIME, median).alias("median_time"), _of(MEMORY, median).alias("median_rss_kb")
+    found = quantiles(named, by, [TIME, MEMORY], [0.5])
+    return found.select(
+        *by, F.col(f"q_{TIME}")[0].alias("median_time"), F.col(f"q_{MEMORY}")[0].alias("median_rss_kb")
     )
 
 
 def box_stats(res: DataFrame, by: Sequence[str], c: str) -> DataFrame:
     """Quartiles and whiskers of a box plot: the whiskers end at the last value within 1.5 IQR.
 
-    A whisker never ends inside the box, also where no value lies between fence and quartile.
+    A whisker never ends inside the box, also where no value lies between fence and quartile. The fences are a table
+    of a row per group; the values inside them are one more aggregation of the same rows.
     """
-    counts = value_counts(res, by, [c])
-    boxes = quantiles(counts, by, QUARTILES).select(
-        *by,
-        "measure",
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q3"),
-    )
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
+    by = list(by)
+    q1, median, q3 = (F.col(f"q_{c}")[i] for i in range(3))
+    reach = (q3 - q1) * 1.5
+    boxes = quantiles(res, by, [c], QUARTILES).where(F.col(f"n_{c}") > 0)
+    boxes = boxes.select(*by, F.struct(q1.alias("q1"), median.alias("median"), q3.alias("q3"), (q1 - reach).alias("from"), (q3 + reach).alias("to")).alias("_box"))
+    value = F.col("_value")
+    inside = F.when(value.between(F.col("_box.from"), F.col("_box.to")), value)
     return (
-        with_groups(counts, boxes, [*by, "measure"])
-        .filter(inside)
-        .groupBy(*by, "q1", "median", "q3")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
+        res.select(*by, F.col(c).cast("double").alias("_value"))
+        .join(boxes, by)
+        .groupBy(*by)
+        .agg(F.any_value("_box").alias("_box"), F.min(inside).alias("low"), F.max(inside).alias("high"))
         .select(
             *by,
-            F.least("low", "q1").alias("whisker_low"),
-            "q1",
-            "median",
-            "q3",
-            F.greatest("high", "q3").alias("whisker_high"),
+            F.least("low", "_box.q1").alias("whisker_low"),
+            "_box.q1",
+            "_box.median",
+            "_box.q3",
+            F.greatest("high", "_box.q3").alias("whisker_high"),
         )
     )

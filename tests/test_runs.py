@@ -8,6 +8,8 @@ import pytest
 from conftest import as_dict, rows
 from test_functions import LOG
 
+from pyspark.sql import functions as F
+
 from panelkit.operators import quantiles as Q
 from panelkit.operators import runstats as R
 from panelkit.plans.runlog import run_log_job
@@ -66,10 +68,10 @@ def same(a, b):
     return (a is None or np.isnan(a)) and np.isnan(b) or a == pytest.approx(b)
 
 
-@pytest.mark.parametrize("small_group", [Q.SMALL_GROUP, 1])
-def test_run_summary(runs, monkeypatch, small_group):
-    """With SMALL_GROUP = 1 every group is cut into ranges."""
-    monkeypatch.setattr(Q, "SMALL_GROUP", small_group)
+@pytest.mark.parametrize("keep", [Q.KEEP, 1])
+def test_run_summary(runs, monkeypatch, keep):
+    """With KEEP = 1 brackets are narrowed until hardly a value lies inside."""
+    monkeypatch.setattr(Q, "KEEP", keep)
     df, frame = runs
     got = as_dict(
         R.run_summary(df, ("framework", "workload")).withColumnRenamed("framework", "f").selectExpr("f || workload AS k", "*"),
@@ -83,24 +85,50 @@ def test_run_summary(runs, monkeypatch, small_group):
         assert all(same(a, b) for a, b in zip(got[f + w], want)), (f, w, got[f + w], want)
 
 
-@pytest.mark.parametrize("step", [2, 3, 16])
-def test_quantiles_do_not_depend_on_the_cuts(spark, monkeypatch, step):
-    monkeypatch.setattr(Q, "SMALL_GROUP", 1)
-    monkeypatch.setattr(Q, "STEP", step)
-    monkeypatch.setattr(Q, "RANGES", step * step)
-    rng = random.Random(step)
+@pytest.mark.parametrize(("accuracy", "keep", "rungs"), [(2_000, 10_000, 256), (2_000, 1, 256), (20, 5, 16)])
+def test_quantiles_do_not_depend_on_the_sketch(spark, monkeypatch, accuracy, keep, rungs):
+    monkeypatch.setattr(Q, "ACCURACY", accuracy)
+    monkeypatch.setattr(Q, "KEEP", keep)
+    monkeypatch.setattr(Q, "RUNGS", rungs)
+    rng = random.Random(accuracy)
     values = {
         "hot": [rng.gauss(0, 1) for _ in range(4000)],
         "constant": [3.0] * 500,
         "outlier": [1e9] + [rng.choice([0.0, 1.0, 2.0]) for _ in range(99)],
+        "halves": [1.0] * 300 + [2.0] * 300,
         "two": [1.0, 2.0],
         "one": [5.0],
     }
-    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "g string, v double").repartition(6)
+    rows = [(k, v, -v) for k, vs in values.items() for v in vs] + [("one", None, None), ("none", None, 1.0), (None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double, w double").repartition(6)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = as_dict(Q.quantiles(Q.value_counts(df, ["g"], ["v"]), ["g"], probs), "g", "q")
+    got = as_dict(Q.quantiles(df, ["g"], ["v", "w"], probs), "g", "n_v", "q_v", "q_w")
+    assert set(got) == {*values, "none"} and got["none"][:2] == (0, [None] * len(probs))
     for k, vs in values.items():
-        assert got[k] == pytest.approx(list(np.quantile(vs, probs))), k
+        assert got[k][0] == len(vs), k
+        assert got[k][1] == pytest.approx(list(np.quantile(vs, probs))), k
+        assert got[k][2] == pytest.approx(list(np.quantile([-v for v in vs], probs))), k
+
+
+def test_quantiles_of_no_rows(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert Q.quantiles(df, ["g"], ["v"], [0.5]).collect() == []
+
+
+def test_what_is_shuffled_does_not_grow_with_the_values(spark, monkeypatch):
+    """A look leaves a row per group and value kept, and no more than KEEP are kept, whether there are 100 values or 40,000."""
+    monkeypatch.setattr(Q, "KEEP", 64)
+    sizes = []
+    for n in (100, 2_000, 40_000):
+        rows = spark.range(0, n, 1, 4).selectExpr("id % 2 AS g", "rand(7) AS v")
+        state = Q.settled(Q._brackets(rows, ["g"], ["v"], [0.5], []), "test")
+        counts = Q._counts(rows.join(state, "g"), ["g"], ["v"], [0.5])
+        assert "Window" not in counts._jdf.queryExecution().executedPlan().toString()
+        sizes.append(counts.count())
+        q = dict(Q.quantiles(rows, ["g"], ["v"], [0.5]).selectExpr("g", "q_v[0]").collect())
+        values = rows.toPandas()
+        assert q == pytest.approx(values.groupby("g").v.median().to_dict())
+    assert max(sizes) <= 2 * 65
 
 
 def test_variant_medians(runs):
