@@ -8,16 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..binding import Panel
 from ..constants import CODE_ALIASES
-from ..functions.values import clean_name, computed_once, relabel, strip_parens
+from ..functions.values import clean_name, relabel, strip_parens
+from ..session import settled
 from .totals import sums
 
 SAME_WORDS_SCORE = 95.0
 LIST_CHUNK = 1_000
+MORE_SEGMENTS = 12  # of a listed name, where its letters suffice for two each
+FEW_NAMES = 1_000
 
 
 def attach_values(dim: DataFrame, values: DataFrame, dim_name: str, value_name: str) -> DataFrame:
@@ -110,50 +113,78 @@ def _most_edits(key: Column, threshold: float) -> Column:
     return F.floor(F.length(key) * F.lit((100.0 - threshold) / threshold) + F.lit(1e-9)).cast("int")
 
 
-def _gram_length(threshold: float) -> int:
-    """Threes are far more selective, but an edit may spoil three of them."""
-    return 3 if threshold >= 80 else 2
+class _Segments:
+    """How names are cut, and where a cut of one may lie in another: SQL over lengths, the same for list and names.
 
-
-def _grams(key: Column, q: int) -> Column:
-    """All runs of q letters, numbered where one repeats."""
-    runs = F.transform(F.sequence(F.lit(1), F.length(key) - q + 1), lambda i: F.substring(key, i, F.lit(q)))
-
-    def numbered(all_runs: Column) -> Column:
-        def number(run: Column, i: Column) -> Column:
-            return F.concat(run, F.size(F.filter(F.slice(all_runs, 1, i), lambda x: x == run)).cast("string"))
-
-        return F.transform(all_runs, number)
-
-    return F.when(F.length(key) >= q, computed_once(runs, numbered)).otherwise(F.array().cast("array<string>"))
-
-
-def _open(key: Column, threshold: float) -> Column:
-    """Whether a partner within the threshold may exist that shares no run of q letters.
-
-    With d edits a name of L letters keeps at least L - q + 1 - q * d runs of its partner's, and d
-    grows with L, so only short names are open, or all at a low threshold.
+    A listed name of l letters is cut into even segments, one more than edits that a partner may be away, or more where they are longer than two
+    letters. Edits spoil a segment each at most, so of its rarest ``edits + 1`` segments one occurs in the partner, shifted by no more than the
+    edits left and right of it allow.
     """
-    reach, q = _most_edits(key, threshold), _gram_length(threshold)
-    lengths = F.sequence(F.length(key), F.length(key) + reach)
-    return F.exists(lengths, lambda n: (_edits(n, threshold) > 0) & (n - q + 1 - q * _edits(n, threshold) <= 0))
-
 
-def _rarest(df: DataFrame, kept: list[str], grams: Column, frequency: DataFrame, most: Column, limit: int | None = None) -> DataFrame:
-    """Adds ``part``, a row for each of the rarest ``most`` grams; null for names without any.
-
-    Two names within d edits share one of their q * d + 1 rarest grams, in whatever order all grams
-    are put, and rare ones bring few names together. Names whose grams would bring them together
-    with ``limit`` names or more get null too, and ``common`` says so.
-    """
-    exploded = df.select(*kept, most.alias("most"), F.explode_outer(grams).alias("gram")).join(frequency, "gram", "left")
-    ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")))
-    first = [F.first(c).alias(c) for c in [*kept[1:], "most"]]
-    grouped = exploded.groupBy(kept[0]).agg(*first, ranked.alias("ranked")).withColumn("rare", F.slice("ranked", F.lit(1), F.col("most")))
-    met = F.aggregate("rare", F.lit(0).cast("bigint"), lambda total, x: total + x["n"])
-    grouped = grouped.withColumn("common", met >= limit if limit is not None else F.lit(False))
-    parts = F.when(F.col("common"), F.array().cast("array<string>")).otherwise(F.col("rare")["gram"])
-    return grouped.select(*kept, "common", F.explode_outer(parts).alias("part"))
+    def __init__(self, threshold: float, most: int | None):
+        self.threshold, self.cap = threshold, f"{most}" if most else "2147483647"
+
+    def between(self, length: str) -> str:
+        """The most edits between names the longer of which has so many letters."""
+        return f"least({self.cap}, CAST(floor({length} * {(100.0 - self.threshold) / 100.0}D + 1e-9D) AS INT))"
+
+    def most(self, length: str) -> str:
+        """The most edits to a partner of any length."""
+        return f"least({self.cap}, CAST(floor({length} * {(100.0 - self.threshold) / self.threshold}D + 1e-9D) AS INT))"
+
+    def number(self, length: str) -> str:
+        return f"greatest({self.most(length)} + 1, least({MORE_SEGMENTS}, CAST({length} DIV 2 AS INT)))"
+
+    def cuts(self, length: str, number: str) -> str:
+        """Where the segments of a name so long begin, and their sizes: array of (i, start, size)."""
+        rest = f"({number} - {length} % {number})"  # from this one on, segments are one letter longer
+        start = f"CAST(i * ({length} DIV {number}) + greatest(0, i - {rest}) + 1 AS INT)"
+        size = f"CAST({length} DIV {number} + IF(i >= {rest}, 1, 0) AS INT)"
+        return f"transform(sequence(0, {number} - 1), i -> struct(i AS i, {start} AS start, {size} AS size))"
+
+    def of_listed(self, key: str) -> str:
+        """The segments of a listed name: array of (length, i, text)."""
+        n = f"length({key})"
+        return f"transform({self.cuts(n, f'({self.number(n)})')}, c -> struct({n} AS length, c.i AS i, substring({key}, c.start, c.size) AS text))"
+
+    def of_name(self, key: str) -> str:
+        """All runs of letters that may be a segment of a listed name within reach; ``lengths`` are those of the list."""
+        n, shift = f"length({key})", f"(length({key}) - y.l)"
+        lengths = f"filter(lengths, l -> l BETWEEN greatest(1, {n} - {self.between(n)}) AND {n} + {self.most(n)})"
+        lengths = f"transform({lengths}, l -> struct(l AS l, {self.number('l')} AS number, {self.between(f'greatest(l, {n})')} AS edits))"
+        lengths = f"filter({lengths}, y -> abs({shift}) <= y.edits)"
+        from_ = f"greatest(1, c.start - CAST(floor((y.edits - {shift}) / 2) AS INT))"
+        to = f"least({n} - c.size + 1, c.start + CAST(floor((y.edits + {shift}) / 2) AS INT))"
+        runs = f"transform(sequence({from_}, {to}), x -> struct(y.l AS length, c.i AS i, substring({key}, x, c.size) AS text))"
+        none = "CAST(array() AS array<struct<length:int,i:int,text:string>>)"
+        near = f"flatten(transform({self.cuts('y.l', 'y.number')}, c -> IF({from_} <= {to}, {runs}, {none})))"
+        return f"flatten(transform({lengths}, y -> {near}))"
+
+
+def _candidates(keys: DataFrame, listed: DataFrame, threshold: float, edits: int | None) -> DataFrame:
+    """Pairs (key, other, match) of a name's and a listed key that share one of the listed key's rarest segments near its place."""
+    cut = _Segments(threshold, edits)
+    choices = listed.groupBy(F.col("key").alias("other")).agg(F.min("match").alias("match"))
+    # a segment is known by its hash: another one with the same costs a comparison, no more
+    segments = choices.select("other", "match", F.explode(F.expr(f"transform({cut.of_listed('other')}, x -> xxhash64(x))")).alias("segment"))
+    frequency = segments.groupBy("segment").agg(F.count("*").alias("n"))
+    ranked = F.array_sort(F.collect_list(F.struct("n", "segment")))
+    needed = F.expr(cut.most("length(other)")) + 1
+    rarest = segments.join(frequency, "segment").groupBy("other", "match").agg(F.slice(ranked, F.lit(1), needed).alias("rarest"))
+    offered = rarest.select("other", "match", F.explode("rarest.segment").alias("segment"))
+    # as many lengths as the longest listed name has letters, at most
+    keys = keys.withColumn("lengths", listed.agg(F.collect_set(F.length("key"))).scalar())
+    wanted = keys.select("key", F.explode(F.expr(f"array_distinct(transform({cut.of_name('key')}, x -> xxhash64(x)))")).alias("segment"))
+    return wanted.join(offered, "segment").select("key", "other", "match")
+
+
+def _nearest_within(keys: DataFrame, listed: DataFrame, threshold: float, edits: int | None = None) -> DataFrame:
+    """The best partner of each key that shares a segment and is within the threshold, or so many edits: (key, found)."""
+    allowed = _Segments(threshold, edits).between("greatest(length(key), length(other))")
+    pairs = _candidates(keys, listed, threshold, edits).withColumn("apart", F.expr(f"levenshtein(key, other, {allowed})"))
+    near = pairs.where(F.col("apart") >= 0)  # -1 beyond what is allowed
+    found = _better(similarity(F.col("apart"), F.col("key"), F.col("other")), F.col("match"))
+    return near.select("key", found.alias("found")).groupBy("key").agg(F.min("found").alias("found"))
 
 
 def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -169,40 +200,6 @@ def _reachable(key: Column, threshold: float, edits: int) -> Column:
     return F.lit(100.0) * (1 - F.lit(float(edits)) / (F.length(key) + _most_edits(key, threshold)))
 
 
-def _near(names: DataFrame, listed: DataFrame, threshold: float, size: int, edits: int | None = None) -> DataFrame:
-    """Improves ``best`` of names that are not ``done`` or open, by an equi-join on their rarest runs of letters.
-
-    With ``edits`` only partners so many edits away are looked for, which needs fewer runs; names are ``done`` then if no
-    other partner can be better. Names whose runs are so common that they meet as many names as the
-    list has are left, and not ``done``. Rarity is that of the list, so the names are read once.
-    """
-    key, other, q = F.col("key"), F.col("other"), _gram_length(threshold)
-
-    def most(c: Column) -> Column:
-        reach = _most_edits(c, threshold)
-        return q * (F.least(reach, F.lit(edits)) if edits else reach) + 1
-
-    frequency = listed.select(F.explode(_grams(key, q)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    offered = listed.select("match", key.alias("other"))
-    offered = _rarest(offered, ["match", "other"], _grams(other, q), frequency, most(other))
-    offered = offered.filter(F.col("part").isNotNull()).drop("common")
-    wanted = ~F.col("done") & ~_open(key, threshold)
-    grams = F.when(wanted, _grams(key, q)).otherwise(F.array().cast("array<string>"))
-    spread = _rarest(names, names.columns, grams, frequency, most(key), size)
-    # names that are not searched get a part of their own, which spreads them over the tasks
-    spread = spread.withColumn("part", F.coalesce("part", F.concat(F.lit("-"), F.xxhash64("raw").cast("string"))))
-    allowed = _edits(F.greatest(F.length(key), F.length("other")), threshold)
-    allowed = F.least(allowed, F.lit(edits)) if edits else allowed
-    apart = F.levenshtein("key", "other")
-    near = (F.abs(F.length(key) - F.length("other")) <= allowed) & (apart <= allowed)
-    found = _better(similarity(apart, key, other), F.when(near, F.col("match")))
-    best = _best_per_name(spread.join(offered, "part", "left").withColumn("found", found), [*names.columns, "common"])
-    searched = wanted & ~F.col("common")
-    if edits:
-        searched = searched & (-F.col("best.cost") >= _reachable(key, threshold, edits + 1))
-    return best.withColumn("done", F.col("done") | F.coalesce(searched, F.lit(False))).drop("common")
-
-
 def _closest(names: DataFrame, listed: DataFrame, wanted: Column, size: int) -> DataFrame:
     """Improves ``best`` of the wanted names by scoring them against the whole list.
 
@@ -241,6 +238,13 @@ def _closest(names: DataFrame, listed: DataFrame, wanted: Column, size: int) ->
     return _best_per_name(exploded, names.columns)
 
 
+def _noted(names: DataFrame) -> tuple[DataFrame, int]:
+    """The names, written, and how many of them are open."""
+    noted = Observation()
+    names = settled(names.observe(noted, F.count_if(F.col("open")).alias("open")), "names")
+    return names, noted.get["open"] or 0
+
+
 def _keyed(df: DataFrame, text: Column) -> DataFrame:
     return df.withColumn("key", match_key(text)).withColumn("words", word_key(F.col("key")))
 
@@ -255,12 +259,9 @@ def fuzzy_match(
 ) -> DataFrame:
     """The best valid name of each distinct raw name: (raw, clean, match, score).
 
-    ``match`` and ``score`` are null where no valid name reaches the threshold. Equal names and
-    equal words are found by equi-joins; only what is left is compared letter by letter, with the
-    names that share a rare run of letters: first partners one edit away, then, for names without one,
-    the others. Only names so short, or a threshold so low, that near names need not share any, and
-    names of runs so common that they meet a whole list, are scored against the whole list. The steps follow each other, so
-    the input is read once.
+    ``match`` and ``score`` are null where no valid name reaches the threshold. Equal names and equal words are found by equi-joins. Names that
+    may have a better partner meet, again by an equi-join, the listed names that share a rare segment near the same place; only these
+    pairs are compared letter by letter. The distinct names are written once, and if none is open nothing more is done.
     """
     spelled = names.select(F.col(name).alias("raw")).na.drop().distinct()
     spelled = _keyed(spelled.withColumn("clean", clean_name("raw")), F.col("clean"))
@@ -279,12 +280,25 @@ def fuzzy_match(
         )
         .select("raw", "clean", "key", "words", "best")
     )
-    size = listed.count()  # a dimension, small beside the panel of the names
-    none_nearer = F.coalesce(-F.col("best.cost") >= _reachable(F.col("key"), threshold, 1), F.lit(False))
-    near = equal.withColumn("done", none_nearer | (_most_edits(F.col("key"), threshold) == 0))
-    near = _near(near, listed, threshold, size, edits=1)
-    near = _near(near, listed, threshold, size)
-    best = _closest(near, listed, ~F.col("done"), size)
+    most = _most_edits(F.col("key"), threshold)
+    open_ = (most > 0) & ~F.coalesce(-F.col("best.cost") >= _reachable(F.col("key"), threshold, 1), F.lit(False))
+    best, left = _noted(equal.withColumn("open", open_))
+    places = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = [None]
+    if left > FEW_NAMES:  # partners one edit away first: they are found with fewer segments, and most names need no others
+        steps = [1, None]
+    for edits in steps:
+        if not left:
+            break
+        # few bytes, but much work: dealt out by number, which AQE leaves as it is
+        keys = best.where("open").select("key").distinct().repartition(places)
+        found = _nearest_within(keys, listed, threshold, edits)
+        best = best.join(found, "key", "left").withColumn("best", F.least("best", "found")).drop("found")
+        beaten = F.coalesce(-F.col("best.cost") >= _reachable(F.col("key"), threshold, 2), F.lit(False))
+        still = F.col("open") & (most > 1) & ~beaten if edits else F.lit(False)
+        best = best.withColumn("open", still)
+        if edits:
+            best, left = _noted(best)
     reached = -F.col("best.cost") >= threshold - 1e-9
     return best.select(
         "raw",

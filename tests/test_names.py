@@ -87,6 +87,29 @@ def test_fuzzy_match_equals_brute_force(spark, threshold):
             assert got[name] == (None, None), name
 
 
+def test_comparisons_grow_with_the_names_that_are_near(spark, monkeypatch):
+    """Listed names that are not near any name bring no pairs, and no name is scored against the whole list."""
+    monkeypatch.setattr(N, "_closest", None)
+    draw = lambda rng, chars: "".join(rng.choice(chars) for _ in range(14))
+    rng = random.Random(1)
+    raw = [draw(rng, "bcdfghjklmn") for _ in range(100)]
+    near = [name[:5] + "x" + name[6:] for name in raw]
+    pairs = []
+    for others in (0, 2_000, 8_000):
+        far = [draw(rng, "PQRSTUVWYZ0123456789") for _ in range(others)]
+        valid = table(spark, near + far)
+        got = N.fuzzy_match(table(spark, raw), "name", valid, 90.0)
+        assert {r.raw: r.match for r in got.collect()} == dict(zip(raw, near, strict=True))
+        keys = table(spark, [key(x) for x in raw], "key")
+        pairs.append(N._candidates(keys, N._listed(valid, "name"), 90.0, None).count())
+    assert pairs[-1] <= 1.2 * pairs[0] < 0.25 * len(raw) * len(near)
+
+
+def test_nothing_is_searched_if_no_name_is_open(spark, monkeypatch):
+    monkeypatch.setattr(N, "_candidates", None)
+    assert rows(N.fuzzy_match(table(spark, ["ITALY"]), "name", table(spark, ["Italy", "Itali"])), "match") == [("Italy",)]
+
+
 def test_report_names_the_closest(spark):
     valid, raw = ["Italy", "Republic of Korea", "Kosovo"], ["Itali", "Korea_Republic_of", "KOSOVO", "Atlantis"]
     matches = N.fuzzy_match(table(spark, raw), "name", table(spark, valid))
