@@ -2,25 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import one_value
 
 
+POINTER = "current.txt"  # names the version of a stored result that readers see
+
+
 def load_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Replace the named table by the rows of ``df``, in ``path`` if given."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Replace the named table by the rows of ``df``, in ``path`` if given.
+
+    With a path the rows are a new version there, and the table's location is moved to it once they are all written.
+    """
+    spark = df.sparkSession
+    if path is None:
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        return spark.table(name)
+    location = _new_version(df, path)
+    spark.catalog.dropTempView(name)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, location, "parquet")
+    _point(spark, path, location)
+    return spark.table(name)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace a result stored as Parquet."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace a result stored as Parquet in a folder.
+
+    The rows become a new version beside the old one, and one small file, which a rename replaces, says which is read. A write that fails
+    leaves the old rows, and ``df`` may itself be derived from them. Older versions stay for readers that began before, until removed.
+    """
+    location = _new_version(df, path)
+    _point(df.sparkSession, path, location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last complete ``write_table``; a plain Parquet folder as it is."""
+    files, pointer = _files(spark, f"{path.rstrip('/')}/{POINTER}")
+    if not files.exists(pointer):
+        return spark.read.parquet(path)
+    return spark.read.parquet(spark.read.text(pointer.toString()).first()[0])
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path on it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _new_version(df: DataFrame, path: str) -> str:
+    location = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+    df.write.parquet(location)
+    return location
+
+
+def _point(spark: SparkSession, path: str, location: str) -> None:
+    """Name the version that is read: written beside the pointer, then renamed over it, which readers see whole or not at all."""
+    jvm = spark.sparkContext._jvm
+    files, fresh = _files(spark, f"{path.rstrip('/')}/{POINTER}-{uuid.uuid4().hex}")
+    out = files.create(fresh, True)
+    out.write(bytearray(location.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fresh, jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{POINTER}"), overwrite)
 
 
 def write_csv(df: DataFrame, path: str) -> DataFrame:
