@@ -55,7 +55,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         for batch in batches:
             texts, keys = batch.column("text"), batch.column("doc_id").to_pylist()
             for low, high in chunks(utf8(texts)[1]):
-                for key, x in zip(keys[low:high], encode(texts.slice(low, high - low).to_pylist()), strict=True):
+                for key, x in zip(keys[low:high], encode(texts.slice(low, high - low)), strict=True):
                     doc_ids.append(key)
                     ids.append(x + end)
                     held += len(x) // 4 + 1

@@ -141,7 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, with_ids: bool = False) -
             texts, keys = batch.column("text"), batch.column("doc_id").to_pylist()
             for low, high in chunks(utf8(texts)[1]):
                 full = []
-                for key, ids in zip(keys[low:high], encode(texts.slice(low, high - low).to_pylist()), strict=True):
+                for key, ids in zip(keys[low:high], encode(texts.slice(low, high - low)), strict=True):
                     full.extend(packer.add(key, ids + end))
                 if full:
                     yield rows(full)

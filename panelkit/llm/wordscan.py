@@ -15,8 +15,8 @@ BLOCK = 1 << 20  # bytes hashed at once
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _NEWLINE = np.zeros(256, bool)
 _NEWLINE[0x0A] = True
 
@@ -83,7 +83,7 @@ class Runs:
 def runs(data: np.ndarray, offsets: np.ndarray, folded: bool = False, lines: bool = False) -> Runs:
     """Words, or non-empty lines, of the rows that the offsets delimit."""
     first, last = int(offsets[0]), int(offsets[-1])
-    inside = ~(_NEWLINE if lines else _SPACE)[data[first:last]]
+    inside = ~(_NEWLINE if lines else SPACE)[data[first:last]]
     rows = len(offsets) - 1
     if last == first:
         none = np.zeros(0, np.int64)

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from panelkit.llm import wordscan
+from panelkit.llm import tokens, wordscan
 from panelkit.llm.common import chunks, utf8
 from panelkit.llm.simple8b import pack, unpack
 from panelkit.llm.tokens import encoder
@@ -60,3 +60,15 @@ def test_ids_are_those_of_the_library(file, text):
     path = public_tokenizers.path(file)
     ids = np.frombuffer(encoder(path).encode([text])[0], "<u4").tolist()
     assert ids == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_units_that_never_repeat_or_are_forgotten(file, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 500)
+    path = public_tokenizers.path(file)
+    library, own = Tokenizer.from_file(path), tokens.Encoder(path)
+    for part in range(3):
+        texts = [None, "", *("  ".join(f"w{part}x{i * 50 + k:x} Ab\n" for k in range(50)) for i in range(20)), "a b " * 3, " "]
+        column = pa.array(["before", *texts])[1:]
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(column)]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
