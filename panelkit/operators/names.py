@@ -1,7 +1,8 @@
 """Name matching: codes, corrections, fuzzy matches against a list of valid names.
 
 Scores run from 0 to 100. Names with the same letters and digits score 100, names with the same
-words in another order or number 95, others ``100 * (1 - edits / length of the longer name)``.
+words in another order or number 95, others ``100 * (1 - edits / length of the longer name)``. If asked for, names that have all words of
+the other score 90 at least.
 """
 
 from __future__ import annotations
@@ -18,7 +19,13 @@ from ..session import settled
 from .totals import sums
 
 SAME_WORDS_SCORE = 95.0
+SUBSET_SCORE = 90.0
 LIST_CHUNK = 1_000
+NEAR_SCORE = 80.0
+PIVOTS = 8
+NEXT_CELLS = 7
+FARTHEST = 64  # distances from a pivot from here on lie in one cell
+LETTER_KINDS = 8
 MORE_SEGMENTS = 12  # of a listed name, where its letters suffice for two each
 FEW_NAMES = 1_000
 
@@ -187,55 +194,136 @@ def _nearest_within(keys: DataFrame, listed: DataFrame, threshold: float, edits:
     return near.select("key", found.alias("found")).groupBy("key").agg(F.min("found").alias("found"))
 
 
-def _best_per_name(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per name again, with the better of what it had and what was found."""
-    return df.groupBy("raw").agg(
-        *[F.max(c).alias(c) for c in columns if c not in ("raw", "best")],
-        F.min(F.least("best", "found")).alias("best"),
-    )
-
-
 def _reachable(key: Column, threshold: float, edits: int) -> Column:
     """The highest score of a partner that is so many edits away."""
     return F.lit(100.0) * (1 - F.lit(float(edits)) / (F.length(key) + _most_edits(key, threshold)))
 
 
-def _closest(names: DataFrame, listed: DataFrame, wanted: Column, size: int) -> DataFrame:
-    """Improves ``best`` of the wanted names by scoring them against the whole list.
+def _letters(key: Column) -> Column:
+    """How many letters of each of ``LETTER_KINDS`` kinds a key has."""
+    kinds = F.transform(F.split(key, ""), lambda x: F.pmod(F.ascii(x), F.lit(LETTER_KINDS)))
+    return F.transform(F.sequence(F.lit(0), F.lit(LETTER_KINDS - 1)), lambda k: F.size(F.filter(kinds, lambda x: x == k)))
+
+
+def _cell_bound(cell: Column) -> Column:
+    """What the best name of a cell can be, as in ``best``: by the triangle inequality and by the lengths of its names."""
+    n, away, ring = F.col("n"), F.get("away", cell["pivot"]), cell["ring"]
+    apart = F.when(ring == FARTHEST, F.greatest(F.lit(0), ring - away)).otherwise(F.abs(away - ring))
+    edits = F.greatest(apart, n - cell["longest"], cell["shortest"] - n)
+    return F.struct((F.lit(-100.0) * (1 - edits / F.greatest(n, cell["longest"]))).alias("cost"), cell["match"].alias("match"))
+
+
+def _visit(keys: DataFrame, cells: Column, pieces: DataFrame, salts: int, places: int) -> DataFrame:
+    """Improves ``best`` of each key by the names of the cells it asks for.
 
-    The list is cut into chunks of bounded size; a name meets each chunk as one array and keeps
-    only the best of it, so no pairs are written out. Names and chunks are dealt over all shuffle
-    partitions by number, which AQE leaves as they are: it would merge them, as their bytes are
-    few while their work is not.
+    A cell is visited piece by piece. In a piece a name is compared only if the numbers of letters of each kind allow it to be better than what was
+    found so far; ``compared`` counts these.
     """
-    spark = names.sparkSession
-    places = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(1, -(-size // LIST_CHUNK))
-    salts = max(1, -(-4 * places // chunks))
+
+    def step(found: Column, choice: Column) -> Column:
+        over = F.aggregate(F.zip_with("letters", choice["letters"], lambda a, b: F.greatest(a - b, F.lit(0))), F.lit(0), lambda x, y: x + y)
+        longer = F.greatest(F.col("n"), choice["n"])
+        least = over + F.greatest(F.lit(0), choice["n"] - F.col("n"))
+        hope = F.struct((F.lit(-100.0) * (1 - least / longer)).alias("cost"), choice["match"].alias("match"))
+        apart = F.levenshtein(F.col("key"), choice["key"])
+        own = F.struct((F.lit(-100.0) * (1 - apart / longer)).alias("cost"), choice["match"].alias("match"))
+        better = F.least(found["best"], own)
+        return F.when(hope < found["best"], F.struct(better.alias("best"), (found["compared"] + 1).alias("compared"))).otherwise(found)
+
+    on = ["pivot", "ring", "piece", "salt"]
+    asked = (
+        keys.select("key", "n", "letters", "best", F.explode(cells).alias("cell"))
+        .select("*", "cell.pivot", "cell.ring", F.explode(F.sequence(F.lit(0), F.col("cell.pieces") - 1)).alias("piece"))
+        .drop("cell")
+        .withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int"))
+        .repartition(places, *on)  # few bytes, but much work: dealt out by number, which AQE leaves as it is
+        .join(pieces, on)
+    )
+    start = F.struct(F.col("best"), F.lit(0).cast("long").alias("compared"))
+    found = asked.select("key", F.aggregate("choices", start, step).alias("found")).groupBy("key").agg(
+        F.min("found.best").alias("found"), F.sum("found.compared").alias("more")
+    )
+    return keys.join(found, "key", "left").select(
+        *[c for c in keys.columns if c not in ("best", "compared")],
+        F.least("best", "found").alias("best"),
+        (F.col("compared") + F.coalesce("more", F.lit(0))).alias("compared"),
+    )
+
+
+def _closest(keys: DataFrame, listed: DataFrame, size: int) -> DataFrame:
+    """The best of all listed names for each of the distinct ``keys`` (key, best so far or null): (key, best, compared).
+
+    A metric index: ``PIVOTS`` names are drawn from the list, and each listed name lies in the cell of its nearest pivot and its distance from it. A key
+    visits the cells by rising bound: the first, then the next ``NEXT_CELLS``, then every other one that could still hold a better name, or an
+    equal one that comes first. There are at most ``PIVOTS * (FARTHEST + 1)`` cells whatever the list; a large cell is cut into pieces of about
+    ``LIST_CHUNK`` names. A list of one piece is one cell.
+    """
+    places = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, -(-4 * places * LIST_CHUNK // max(size, LIST_CHUNK)))
+    many = size > LIST_CHUNK
+    drawn = listed.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(PIVOTS if many else 0)
+    pivots = F.coalesce(drawn.agg(F.collect_list("key")).scalar(), F.array().cast("array<string>"))
+    away = F.transform("pivots", lambda p: F.levenshtein(F.col("key"), p))
+
+    def placed(df: DataFrame) -> DataFrame:
+        own = df.withColumn("pivots", pivots).withColumns({"n": F.length("key"), "letters": _letters(F.col("key")), "away": away})
+        return own.drop("pivots")
+
+    nearest = F.array_min("away")
+    spot = {"pivot": F.lit(0), "ring": F.lit(FARTHEST)}
+    if many:
+        spot = {"pivot": F.array_position("away", nearest).cast("int") - 1, "ring": F.least(nearest, F.lit(FARTHEST))}
+    index = settled(placed(listed).withColumns(spot).select("match", "key", "n", "letters", *spot), "listed-names")
+    cells = index.groupBy(*spot).agg(
+        F.min("match").alias("match"),
+        F.min("n").alias("shortest"),
+        F.max("n").alias("longest"),
+        F.ceil(F.count("*") / LIST_CHUNK).cast("int").alias("pieces"),
+    )
     pieces = (
-        listed.withColumn("chunk", F.pmod(F.xxhash64("match"), F.lit(chunks)))
-        .groupBy("chunk")
-        .agg(F.collect_list(F.struct("match", "key", "words")).alias("choices"))
+        index.join(cells.select(*spot, "pieces"), list(spot))
+        .withColumn("piece", F.pmod(F.xxhash64("match"), F.col("pieces")).cast("int"))
+        .groupBy(*spot, "piece")
+        .agg(F.collect_list(F.struct("match", "key", "n", "letters")).alias("choices"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-
-    def cost(choice: Column) -> Column:
-        own, other = F.col("key"), choice["key"]
-        score = similarity(F.levenshtein(own, other), own, other)
-        same_words = F.when(F.col("words") == choice["words"], SAME_WORDS_SCORE).otherwise(0.0)
-        return _better(F.greatest(score, same_words), choice["match"])
-
-    # unwanted names get a number that no chunk has, which spreads them over the tasks
-    every_chunk = F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")
-    no_chunk = F.array(-1 - F.pmod(F.xxhash64("raw"), F.lit(LIST_CHUNK)))
-    exploded = (
-        names.withColumn("chunk", F.explode(F.when(wanted, every_chunk).otherwise(no_chunk)))
-        .withColumn("salt", F.pmod(F.xxhash64("raw", "key"), F.lit(salts)).cast("int"))
-        .repartition(places, "chunk", "salt")
-        .join(pieces, ["chunk", "salt"], "left")
-        .withColumn("found", F.array_min(F.transform("choices", cost)))
+    worst = F.struct(F.lit(1.0).alias("cost"), F.lit("").alias("match"))  # than any name
+    keys = placed(keys.select("key", F.coalesce("best", worst).alias("best"), F.lit(0).cast("long").alias("compared")))
+    every = cells.agg(F.collect_list(F.struct(*cells.columns))).scalar()
+    hopeful = F.filter(
+        F.transform("cells", lambda c: F.struct(_cell_bound(c).alias("bound"), *[c[x].alias(x) for x in (*spot, "pieces")])),
+        lambda c: c["bound"] < F.col("best"),
     )
-    return _best_per_name(exploded, names.columns)
+    steps: list[tuple[int, int | None]] = [(1, 1), (2, NEXT_CELLS), (2 + NEXT_CELLS, None)] if many else [(1, None)]
+    keys = keys.withColumn("cells", every).withColumn("cells", F.array_sort(hopeful))
+    for first, count in steps:
+        here = F.slice("cells", F.lit(first), F.lit(count) if count else F.greatest(F.lit(0), F.size("cells") - first + 1))
+        keys = _visit(keys, F.filter(here, lambda c: c["bound"] < F.col("best")), pieces, salts, places)
+        if count:
+            keys = settled(keys, "nearest-names")
+    return keys.select("key", F.when(F.col("best.cost") <= 0, F.col("best")).alias("best"), "compared")
+
+
+def _word_subsets(keys: DataFrame, listed: DataFrame, score: float) -> DataFrame:
+    """The first listed name of which all words are in a key, or that has all words of it: (key, within).
+
+    A containment join over an inverted index of words: the shorter name asks for, or offers, the one of its words that is rarest in the list.
+    """
+    own = F.split("words", " ").alias("own")
+    known = listed.select("match", own).where(F.array_join("own", "") != "")
+    asked = keys.select("key", own).where(F.array_join("own", "") != "")
+    by_word = known.select("match", "own", F.explode("own").alias("word"))
+    frequency = by_word.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = F.min(F.struct("n", "word"))
+    asked_words = asked.select("key", "own", F.explode("own").alias("word"))
+    # words of the key in the listed name: all must occur in the list
+    short = asked_words.join(frequency, "word", "left").groupBy("key", "own").agg(rarest.alias("rarest"), F.count_if(F.col("n").isNull()).alias("new"))
+    short = short.where("new = 0").select("key", "own", F.col("rarest.word").alias("word"))
+    inside = short.join(by_word.select("match", F.col("own").alias("other"), "word"), "word").where(F.size(F.array_except("own", "other")) == 0)
+    offered = by_word.join(frequency, "word").groupBy("match", "own").agg(rarest.alias("rarest")).select("match", F.col("own").alias("other"), F.col("rarest.word").alias("word"))
+    around = asked_words.join(offered, "word").where(F.size(F.array_except("other", "own")) == 0)
+    pairs = inside.select("key", "match").unionByName(around.select("key", "match"))
+    return pairs.groupBy("key").agg(F.min(_better(F.lit(score), F.col("match"))).alias("within"))
 
 
 def _noted(names: DataFrame) -> tuple[DataFrame, int]:
@@ -255,10 +343,18 @@ def _listed(valid: DataFrame, name: str) -> DataFrame:
 
 
 def fuzzy_match(
-    names: DataFrame, name: str, valid: DataFrame, threshold: float = 95.0, valid_name: str = "name"
+    names: DataFrame,
+    name: str,
+    valid: DataFrame,
+    threshold: float = 95.0,
+    valid_name: str = "name",
+    subset_score: float | None = None,
 ) -> DataFrame:
     """The best valid name of each distinct raw name: (raw, clean, match, score).
 
+    With a ``subset_score`` (``SUBSET_SCORE`` is the usual one) a valid name scores at least so much if all words of one name are among those of the
+    other, so ``Tanzania`` finds ``United Republic of Tanzania``; of several the first by the alphabet counts.
+
     ``match`` and ``score`` are null where no valid name reaches the threshold. Equal names and equal words are found by equi-joins. Names that
     may have a better partner meet, again by an equi-join, the listed names that share a rare segment near the same place; only these
     pairs are compared letter by letter. The distinct names are written once, and if none is open nothing more is done.
@@ -280,6 +376,9 @@ def fuzzy_match(
         )
         .select("raw", "clean", "key", "words", "best")
     )
+    if subset_score is not None:
+        within = _word_subsets(spelled.select("key", "words").distinct(), listed, subset_score)
+        equal = equal.join(within, "key", "left").withColumn("best", F.least("best", "within")).drop("within")
     most = _most_edits(F.col("key"), threshold)
     open_ = (most > 0) & ~F.coalesce(-F.col("best.cost") >= _reachable(F.col("key"), threshold, 1), F.lit(False))
     best, left = _noted(equal.withColumn("open", open_))
@@ -308,13 +407,31 @@ def fuzzy_match(
     )
 
 
+def _nearest(keys: DataFrame, listed: DataFrame) -> DataFrame:
+    """The best listed name, however far, of each of the distinct ``keys`` (key, words): (key, best).
+
+    In a long list, partners from a score of ``NEAR_SCORE`` on are found by segments, and only names without one go to the index.
+    """
+    size = listed.count()
+    same_words = listed.groupBy("words").agg(F.min("match").alias("words_match"))
+    best = keys.join(same_words, "words", "left").select("key", _better(F.lit(SAME_WORDS_SCORE), F.col("words_match")).alias("best"))
+    if size <= LIST_CHUNK:
+        return _closest(best, listed, size).select("key", "best")
+    best = settled(best, "names")
+    places = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = _nearest_within(best.select("key").repartition(places), listed, NEAR_SCORE)
+    best = settled(best.join(near, "key", "left").select("key", F.least("best", "found").alias("best")), "names")
+    done = F.coalesce(-F.col("best.cost") >= NEAR_SCORE, F.lit(False))
+    return best.where(done).unionByName(_closest(best.where(~done), listed, size).select("key", "best"))
+
+
 def unmatched_report(matches: DataFrame, valid: DataFrame, valid_name: str = "name") -> DataFrame:
     """The names a ``fuzzy_match`` left unmatched, each with its closest valid name and score."""
     left = matches.filter(F.col("match").isNull()).select("raw", "clean")
     listed = _listed(valid, valid_name)
-    unknown = F.lit(None).cast("struct<cost:double,match:string>")
-    closest = _closest(_keyed(left, F.col("clean")).withColumn("best", unknown), listed, F.lit(True), listed.count())
-    return closest.select(
+    left = _keyed(left, F.col("clean"))
+    closest = _nearest(left.select("key", "words").distinct(), listed)
+    return left.join(closest, "key", "left").select(
         "raw", "clean", F.col("best.match").alias("closest"), (-F.col("best.cost")).alias("score")
     )
 

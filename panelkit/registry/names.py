@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import clean_name
 from ..operators.names import (
+    SUBSET_SCORE,
     apply_fixes,
     attach_values,
     daily_names,
@@ -160,6 +161,23 @@ def j3_long_85(spark, folder):
     return _long_list(spark, folder, 85.0)
 
 
+PART_NAMES = (
+    "SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN p_brand || ' ' || p_name WHEN 1 THEN split_part(p_name, ' ', 2)"
+    " ELSE p_type || '_' || p_name END AS raw FROM part"
+)
+
+
+@query("j3_fuzzy_match_word_subset", "WITH " + matches(PART_NAMES, SUBSET_SCORE, "p_name", "part", SUBSET_SCORE) + BEST)
+def j3_subset(spark, folder):
+    part = table(spark, folder, "part")
+    raw = (
+        F.when(F.col("p_partkey") % 3 == 0, F.concat("p_brand", F.lit(" "), "p_name"))
+        .when(F.col("p_partkey") % 3 == 1, F.get(F.split("p_name", " "), F.lit(1)))
+        .otherwise(F.concat("p_type", F.lit("_"), "p_name"))
+    )
+    return fuzzy_match(part.select(raw.alias("raw")), "raw", part, SUBSET_SCORE, "p_name", SUBSET_SCORE)
+
+
 @query(
     "a18_daily_raw_names",
     PANEL + f"SELECT CAST(date AS VARCHAR) AS date, spelled, {CASES}, count(*) AS rows FROM panel GROUP BY panel.date, spelled",

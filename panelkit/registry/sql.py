@@ -46,8 +46,12 @@ def key(c: str) -> str:
     return f"trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]', ' ', 'g'))"
 
 
+def word_list(k: str) -> str:
+    return f"list_filter(string_split({k}, ' '), lambda w: w <> '')"
+
+
 def words(k: str) -> str:
-    return f"array_to_string(list_sort(list_distinct(list_filter(string_split({k}, ' '), lambda w: w <> ''))), ' ')"
+    return f"array_to_string(list_sort(list_distinct({word_list(k)})), ' ')"
 
 
 NATION_CODES = f"""
@@ -59,8 +63,10 @@ codes AS (
 """
 
 
-def matches(names: str, threshold: float, base: str = "n_name", table: str = "nation") -> str:
+def matches(names: str, threshold: float, base: str = "n_name", table: str = "nation", subset: float = 0) -> str:
     """CTEs that score each distinct ``raw`` of ``names`` against all valid names, by brute force."""
+    one, other = word_list("key"), word_list("other")
+    within = f"len({one}) > 0 AND (list_has_all({one}, {other}) OR list_has_all({other}, {one}))"
     return f"""
 spelled_names AS (
   SELECT raw, {clean('raw')} AS clean, {key(clean('raw'))} AS key FROM ({names}) WHERE raw IS NOT NULL
@@ -70,6 +76,7 @@ spelled_names AS (
   SELECT raw, clean, match,
          greatest(CASE WHEN key = other THEN CAST(100 AS DOUBLE) ELSE 0 END,
                   CASE WHEN {words('key')} = {words('other')} THEN CAST(95 AS DOUBLE) ELSE 0 END,
+                  CASE WHEN {within} THEN CAST({subset} AS DOUBLE) ELSE 0 END,
                   CAST(100 AS DOUBLE) * (1 - CAST(levenshtein(key, other) AS DOUBLE) / greatest(length(key), length(other)))) AS score
   FROM spelled_names CROSS JOIN listed
 ), best AS (

@@ -188,3 +188,60 @@ def test_coverage_counts_rows_not_groups(spark):
     df = spark.createDataFrame([("a", 3), (None, 1)], "match string, rows bigint")
     assert rows(N.coverage(df)) == [(50.0,)] and rows(N.coverage(df, rows="rows")) == [(75.0,)]
     assert rows(N.coverage(df.withColumn("match", F.lit("x")))) == [(100.0,)]
+
+
+def drawn_names(rng, n, words):
+    return sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 4))) + rng.choice(["", " ii", " 7"]) for _ in range(n)})
+
+
+@pytest.mark.parametrize("chunk", [1_000, 12])
+def test_the_report_equals_brute_force(spark, monkeypatch, chunk):
+    """By one cell and by many, with ties, names far longer than cells tell apart, and names without letters."""
+    monkeypatch.setattr(N, "LIST_CHUNK", chunk)
+    rng = random.Random(chunk)
+    words = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    valid = drawn_names(rng, 150, words) + ["ab ba", "ba ab", "x" * 70, "x" * 90 + "y"]
+    raw = [spoil(rng, rng.choice(valid)) for _ in range(80)] + ["b a", "***", "x" * 80, "zzzz", "ab_ba_ab"]
+    left = spark.createDataFrame([(r, r.replace("_", " ").strip()) for r in sorted(set(raw))], "raw string, clean string")
+    report = N.unmatched_report(left.withColumn("match", F.lit(None).cast("string")), table(spark, valid))
+    got = as_dict(report, "raw", "closest", "score")
+    assert set(got) == set(raw)
+    for name, (closest, found) in got.items():
+        cost, match = best(name, valid)
+        assert (closest, found) == (match, pytest.approx(-cost)), name
+
+
+def test_few_listed_names_are_compared(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(400)]
+    valid = drawn_names(rng, 5_200, words)[:5_000]
+    raw = sorted({spoil(rng, spoil(rng, rng.choice(valid))) for _ in range(3_000)})
+    listed = N._listed(table(spark, valid), "name").cache()
+    keys = N._keyed(table(spark, raw), F.col("name")).select("key", "words").distinct()
+    pairs = N._candidates(keys.select("key"), listed, N.NEAR_SCORE, None).count()
+    near = N._nearest_within(keys.select("key"), listed, N.NEAR_SCORE).select("key")
+    unknown = F.lit(None).cast("struct<cost:double,match:string>")
+    closest = N._closest(keys.select("key", unknown.alias("best")).join(near, "key", "left_anti"), listed, len(valid))
+    compared, lost = closest.agg(F.sum("compared"), F.count_if(F.col("best").isNull())).first()
+    assert lost == 0 and pairs + compared < 0.25 * keys.count() * len(valid), (pairs, compared)
+
+
+def test_words_of_one_name_among_those_of_the_other(spark):
+    valid = ["United Republic of Tanzania", "Republic of Korea", "Guinea", "Equatorial Guinea", "Kosovo", "---"]
+    raw = ["Tanzania", "Korea", "Guinea_Bissau", "KOSOVO", "Republic", "of of", "Atlantis Republic", "***", "Equatorial"]
+
+    def brute(name):
+        def own(v):
+            a, b = set(key(name).split()), set(key(v).split())
+            return max(score(name, v) if key(name) else 0.0, N.SUBSET_SCORE if a and b and (a <= b or b <= a) else 0.0)
+
+        return min((-own(v), v) for v in valid if key(v))
+
+    got = as_dict(N.fuzzy_match(table(spark, raw), "name", table(spark, valid), 90.0, subset_score=N.SUBSET_SCORE), "raw", "match", "score")
+    for name in raw:
+        cost, match = brute(name)
+        assert got[name] == ((match, pytest.approx(-cost)) if -cost >= 90 else (None, None)), name
+    assert got["Tanzania"][0] == "United Republic of Tanzania" and got["Republic"][0] == "Republic of Korea"
+    assert rows(N.fuzzy_match(table(spark, ["Tanzania"]), "name", table(spark, valid), 90.0), "match") == [(None,)]
+    same = N.fuzzy_match(table(spark, raw), "name", table(spark, valid).limit(0), 90.0, subset_score=N.SUBSET_SCORE)
+    assert same.where("match is null").count() == len(raw)
