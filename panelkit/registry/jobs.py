@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from ..plans.dashboard import dashboard, map_frames
 from ..plans.matched import matched_map
 from ..plans.reports import monthly_job, ratio_job, top_countries_job
+from ..plans.rollup import rollup
 from ..plans.runlog import run_log_job
 from ..session import fresh_path
 from ..sources.warehouse import (
     messy_observations,
     observation_csv,
     observations,
+    once,
     run_log_files,
     spelling_fixes,
     subarea_table,
@@ -97,9 +99,15 @@ def _dashboard_sql(condition: str) -> str:
     UNION ALL SELECT 'series', CAST(date AS VARCHAR), {CASES.split(' AS total')[0]} FROM chosen GROUP BY date"""
 
 
+def _sums(spark, folder):
+    """The panel's rollup, which all choices of this application share while the tables' files stay as they are."""
+    home = once(spark, folder, "rollup", lambda: fresh_path(spark, "rollups"))
+    return rollup(spark, home, [folder], lambda _: observations(spark, folder))
+
+
 def _dashboard(spark, folder, area):
     tables = dashboard(
-        observations(spark, folder), territory_dimension(spark, folder), area=area, subareas=subarea_table(spark, folder)
+        _sums(spark, folder), territory_dimension(spark, folder), area=area, subareas=subarea_table(spark, folder)
     )
     total = "total_cases"
     return _long(

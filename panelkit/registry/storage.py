@@ -16,6 +16,7 @@ from ..sources.tables import (
     summarize_result,
     write_csv,
     write_json,
+    write_one_csv,
     write_table,
     write_tsv,
 )
@@ -118,6 +119,17 @@ def k1(spark, folder):
     return write_csv(trend(p, "month", p.entity), fresh_path(spark, "csv"))
 
 
+@query(
+    "k1_write_one_csv",
+    PANEL + f"""
+    SELECT entity, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, {SUMS}
+    FROM panel GROUP BY 1, 2, 3""",
+)
+def k1_one(spark, folder):
+    p = observations(spark, folder)
+    return write_one_csv(trend(p, "month", p.entity), f"{fresh_path(spark, 'csv')}.csv", ["year", "month", p.entity])
+
+
 @query(
     "k2_replace_table",
     PANEL + f"""

@@ -27,6 +27,7 @@ SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
 
@@ -34,7 +35,7 @@ SCHEMAS = {
 _done: dict[tuple[Any, ...], Any] = {}
 
 
-def _once(spark: SparkSession, folder: str, kind: str, make: Callable[[], Any]) -> Any:
+def once(spark: SparkSession, folder: str, kind: str, make: Callable[[], Any]) -> Any:
     """What ``make`` gives, made once per application, table folder and state of its files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     state = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
@@ -133,7 +134,7 @@ def observation_csv(spark: SparkSession, folder: str) -> str:
         observation_text(spark, folder).write.option("header", True).option("escape", '"').csv(path)
         return path
 
-    return _once(spark, folder, "observations", write)
+    return once(spark, folder, "observations", write)
 
 
 def territory_dimension(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,7 +234,7 @@ def run_log_files(spark: SparkSession, folder: str) -> str:
         logs.select(name.alias("log"), text.alias("value")).write.partitionBy("log").text(path)
         return path + "/*.time.txt"
 
-    return _once(spark, folder, "runlogs", write)
+    return once(spark, folder, "runlogs", write)
 
 
 def run_result_csv(spark: SparkSession, folder: str) -> str:
@@ -243,4 +244,4 @@ def run_result_csv(spark: SparkSession, folder: str) -> str:
         run_results(spark, folder).write.option("header", True).csv(path)
         return path
 
-    return _once(spark, folder, "runresults", write)
+    return once(spark, folder, "runresults", write)
