@@ -62,7 +62,10 @@ def _scan(docs: DataFrame, windows: DataFrame) -> DataFrame:
     known = windows.select(F.col("head").alias("known_head"), "length", "hash")
     if shape.n <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
-    found = F.slice("words", F.col("at") + 1, F.col("length"))
+        found = F.slice("words", F.col("at") + 1, F.col("length"))
+    else:  # only the words that a window may have are shuffled, not the text's
+        spread = spread.withColumn("words", F.slice("words", F.col("at") + 1, F.lit(WINDOW)))
+        found = F.slice("words", F.lit(1), F.col("length"))
     matched = spread.join(known, (F.col("head") == F.col("known_head")) & (F.xxhash64(found) == F.col("hash")), "left")
     begins = (F.coalesce("at", F.lit(0)) == 0) & (F.col("kind") == 0)
     return matched.where(begins | F.col("hash").isNotNull()).select(

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -293,3 +294,14 @@ def test_queries_against_their_sql(llm):
     con = connect(SF)
     for name, sql in ORACLE.items():
         assert compare(llm, con, SF, QUERIES[name], sql) is None, name
+
+
+def test_a_very_long_text_beyond_the_broadcast(llm, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", -1)
+    words = [f"w{i}" for i in range(200_000)]
+    items = [("a", " ".join(words[500:530])), ("b", "nowhere to be found"), ("c", " ".join(words[-3:]))]
+    benchmark = llm.createDataFrame(items, "item_id string, text string")
+    docs = llm.createDataFrame([(1, " ".join(words)), (2, None)], "doc_id long, text string")
+    start = time.monotonic()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert got == {1: (200_000, 33, 2), 2: (0, 0, 0)} and time.monotonic() - start < 60
