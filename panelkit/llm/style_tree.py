@@ -18,10 +18,13 @@ What tags and roles declare comes before what is counted: menus, headers, footer
 importance 0; an article (or main part) has importance 1 with all that has no class or id, as equal articles on a host are copies,
 not templates. If a page has an article, only that is its main text.
 
-Words of classes and ids (sidebar, advert) only lower what is counted, to ``NAMED`` if the whole name is such a word, else to ``HINTED``
-of it; on hosts with fewer pages a whole name removes, part of one does not. They say nothing of an article, of an element that holds one, of
-headings, and of sections and headers in an article (sections by a class that is such a word, not by their ids). Such an element goes only
-with what holds it.
+Words of classes and ids (sidebar, advert) lower what is counted. A name is an aside name if its head is such a word (cookie-banner, adslot, but not
+has-sidebar or menu-open); it lowers to ``NAMED``, a name with such a word elsewhere to ``HINTED``. On hosts with fewer pages an aside name also removes,
+unless its element holds an article or most of the page's text. Names say nothing of an article, of headings, and of headers in an article; there, a
+section goes by its class only, and lists and paragraphs need the tree's word.
+
+Reader comments differ from page to page, so no tree finds them: an element goes if its name or item type says so, unless it holds all articles of
+the page, and so do articles in an article that has a text of its own. What is hidden, by attribute or own style, goes too.
 
 Blocks are what lies between the begins and ends of block elements; their white space becomes one space, and they are
 joined by line ends. A line break element is white space.
@@ -46,6 +49,7 @@ from pyspark.sql import functions as F
 
 from .common import added, written
 
+PART, WHOLE, COMMENTS, INNER = 1, 2, 3, 4  # hints: an aside word in a name, an aside name, one of reader comments, an article in an article
 LEAST = 0.3
 MIN_PAGES = 5
 MIN_WORDS = 4
@@ -82,13 +86,22 @@ ASIDE_WORDS = frozenset(
     "breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share "
     "sharing social related recommended comment comments reply replies disqus pagination pager toolbar copyright disclaimer".split()
 )
+COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
+HOLDER_WORDS = frozenset(  # what a name says of the box and not of its content
+    "list area box slot wrap wrapper container section block unit thread widget panel inner outer region zone module group row col column "
+    "item items posts articles stories links buttons icons body content".split()
+)
+QUALIFIERS = frozenset("has no not with without is hide show toggle".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"\b(class|id|role|style|itemtype|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+|\d+")
+_HIDDEN = re.compile(r"(?:^|[\s\"'])hidden(?=[\s=/]|$)", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 
 
 @dataclass
@@ -98,8 +111,9 @@ class Node:
     aside: bool
     article: bool
     declared: bool  # its tags decide, not what is counted
-    hint: int = 0  # 2 if a class or the id is an aside word, 1 if one is part of it
-    holds: bool = False  # an article or main part
+    hint: int = 0  # what its names say, see the constants
+    holds: int = 0  # how many articles or main parts begin here or below
+    within: bool = False  # an article
     first: int = 0  # its blocks, and those of all below it: from the first to before the last
     last: int = 0
     children: list[str] = field(default_factory=list)
@@ -111,23 +125,45 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # node, text, characters in links
 
 
-def _signs(attributes: str) -> tuple[str, str, list[str], str]:
-    """What tells elements of one tag apart, the role, the classes and the id."""
+def _signs(attributes: str) -> tuple[str, str, list[str], str, bool, bool]:
+    """What tells elements of one tag apart, the role, the classes and the id; whether it is a comment by type, and whether it is not shown."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
+    unseen = bool(_NOT_SHOWN.search(found.get("style", ""))) or ("hidden" in attributes.lower() and bool(_HIDDEN.search(_QUOTED.sub("''", attributes))))
     if not found:
-        return "", "", [], ""
+        return "", "", [], "", False, unseen
     sign = "".join(f"{mark}{found[name]}" for name, mark in (("class", "."), ("id", "#")) if name in found)
-    return re.sub(r"\d+", "0", sign), found.get("role", "").lower(), found.get("class", "").lower().split(), found.get("id", "").lower()
+    comment = found.get("itemtype", "").lower().rstrip("/").endswith(("/comment", "/usercomments")) or found.get("itemprop", "").lower() == "comment"
+    return re.sub(r"\d+", "0", sign), found.get("role", "").lower(), found.get("class", "").lower().split(), found.get("id", "").lower(), comment, unseen
+
+
+def _head(name: str) -> str:
+    """The word of a class or id that says what lies there: the last but for words of boxes, which may be written together with it.
+
+    A name that says what its element has, or how it is, has none.
+    """
+    words = [w for w in _WORD.findall(name) if not w.isdigit()]
+    if not words or words[0] in QUALIFIERS:
+        return ""
+    while len(words) > 1 and words[-1] in HOLDER_WORDS:
+        words.pop()
+    last = words[-1]
+    if last not in ASIDE_WORDS:
+        return next((last[: -len(h)] for h in HOLDER_WORDS if last.endswith(h) and last[: -len(h)] in ASIDE_WORDS), last)
+    return last
 
 
 def _hint(tag: str, classes: list[str], name: str, in_article: bool) -> int:
-    """What the words of classes and id say: 2 a whole name, 1 part of one, 0 nothing."""
+    """What the words of classes and id say."""
     if tag in HEADINGS or in_article and tag == "header":
         return 0
+    heads = [_head(x) for x in (*classes, name)]
+    if any(h in COMMENT_WORDS for h in heads):
+        return COMMENTS
     section = in_article and (tag == "section" or "section" in classes)
     names = classes if section else [*classes, name]
-    if any(x in ASIDE_WORDS for x in names):
-        return 2
+    if any(x in ASIDE_WORDS for x in names) or any(h in ASIDE_WORDS for h in heads[: len(names)]):
+        # in an article, only boxes go by their names alone
+        return PART if in_article and tag not in ("div", "section") else WHOLE
     return int(not section and any(w in ASIDE_WORDS for x in names for w in _WORD.findall(x)))
 
 
@@ -231,95 +267,99 @@ def _open(page: Page, parent: int, tag: str, attributes: str) -> int:
     page.nodes[parent].children.append(tag)
     if tag in ("html", "body"):
         return parent
-    sign, role, classes, name = _signs(attributes)
+    sign, role, classes, name, comment, unseen = _signs(attributes)
     above = page.nodes[parent]
-    begins = tag in ("article", "main") or role in ("article", "main")
-    aside = tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not above.article)
-    hint = 0 if begins or aside else _hint(tag, classes, name, above.article)
+    article = tag == "article" or role == "article"
+    begins = article or tag == "main" or role == "main"
+    aside = unseen or tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not above.article)
+    hint = COMMENTS if comment else 0 if aside else _hint(tag, classes, name, above.article)
+    if begins and hint != COMMENTS:
+        hint = INNER if article and above.within else 0
     if tag not in CONTAINERS and not aside and not hint:
         return parent
-    if begins:
+    if begins and not hint:
         at = parent
-        while at >= 0 and not page.nodes[at].holds:
-            page.nodes[at].holds = True
+        while at >= 0:
+            page.nodes[at].holds += 1
             at = page.nodes[at].parent
+    begins = begins and not hint
     declared = above.aside or aside or begins or (above.article and not sign)
-    page.nodes.append(Node(_step(above.path, tag, sign), parent, above.aside or aside, above.article or begins, declared, hint, begins))
+    within = above.within or article
+    page.nodes.append(Node(_step(above.path, tag, sign), parent, above.aside or aside, above.article or begins, declared, hint, int(begins), within))
     return len(page.nodes) - 1
 
 
-def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page and path: style, text (as hashes), characters, those in links, and whether its tags decide."""
-    names = ["host", "path", "page", "style", "text", "chars", "links", "declared", "hint"]
-    types = [pa.string(), pa.string(), *[pa.int64()] * 5, pa.bool_(), pa.int32()]
-    for batch in batches:
-        rows: list[tuple] = []
-        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            page = read_page(source or "")
-            whole = xxhash.xxh64_intdigest("\n".join(b for _, b, _ in page.blocks)) >> 1
-            # sums over the blocks so far, so that what lies below an element is a difference, however deep it is
-            sums, powers, chars_to, links_to = [0], [1], [0], [0]
-            for _, block, linked in page.blocks:
-                sums.append((sums[-1] * _BASE + xxhash.xxh64_intdigest(block)) % _MODULUS)
-                powers.append(powers[-1] * _BASE % _MODULUS)
-                chars_to.append(chars_to[-1] + len(block))
-                links_to.append(links_to[-1] + linked)
-            texts: dict[str, int] = defaultdict(int)
-            chars: dict[str, int] = defaultdict(int)
-            links: dict[str, int] = defaultdict(int)
-            for node in page.nodes[1:]:
-                first, last, path = node.first, node.last, node.path
-                if last > first:
-                    texts[path] = (texts[path] * powers[last - first] + sums[last] - sums[first] * powers[last - first]) % _MODULUS
-                    chars[path] += chars_to[last] - chars_to[first]
-                    links[path] += links_to[last] - links_to[first]
-            seen = set()
-            for node in page.nodes[1:]:
-                if node.path in texts and node.path not in seen:
-                    seen.add(node.path)
-                    style = " ".join(t for i, t in enumerate(node.children) if not i or node.children[i - 1] != t)
-                    rows.append(
-                        (
-                            host,
-                            node.path,
-                            whole,
-                            xxhash.xxh64_intdigest(style) >> 1,
-                            texts[node.path],
-                            chars[node.path],
-                            links[node.path],
-                            node.declared,
-                            node.hint,
-                        )
-                    )
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+PARSED = (
+    "host string, path string, page long, style long, text long, chars long, links long, declared boolean, hint int, at long, unit long, key long"
+)
 
 
 def _key(path: str, block: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{block}") >> 1
 
 
-def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _node_rows(page: Page, whole: int) -> Iterator[tuple]:
+    """For each path of a page: style, text (as hashes), characters, those in links, and whether its tags decide."""
+    # sums over the blocks so far, so that what lies below an element is a difference, however deep it is
+    sums, powers, chars_to, links_to = [0], [1], [0], [0]
+    for _, block, linked in page.blocks:
+        sums.append((sums[-1] * _BASE + xxhash.xxh64_intdigest(block)) % _MODULUS)
+        powers.append(powers[-1] * _BASE % _MODULUS)
+        chars_to.append(chars_to[-1] + len(block))
+        links_to.append(links_to[-1] + linked)
+    texts: dict[str, int] = defaultdict(int)
+    chars: dict[str, int] = defaultdict(int)
+    links: dict[str, int] = defaultdict(int)
+    for node in page.nodes[1:]:
+        first, last, path = node.first, node.last, node.path
+        if last > first:
+            texts[path] = (texts[path] * powers[last - first] + sums[last] - sums[first] * powers[last - first]) % _MODULUS
+            chars[path] += chars_to[last] - chars_to[first]
+            links[path] += links_to[last] - links_to[first]
+    seen = set()
+    for node in page.nodes[1:]:
+        if node.path in texts and node.path not in seen:
+            seen.add(node.path)
+            style = xxhash.xxh64_intdigest(" ".join(t for i, t in enumerate(node.children) if not i or node.children[i - 1] != t)) >> 1
+            yield node.path, whole, style, texts[node.path], chars[node.path], links[node.path], node.declared, node.hint, None, None, None
+
+
+def _text_rows(page: Page, whole: int) -> Iterator[tuple]:
     """For each block that may be main text: where it lies, itself, and the article or page that holds it (as hashes)."""
-    for batch in batches:
-        rows: set[tuple] = set()
-        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            page = read_page(source or "")
-
-            def text_hash(first: int, last: int, page: Page = page) -> int:
-                return xxhash.xxh64_intdigest("\n".join(b for _, b, _ in page.blocks[first:last])) >> 1
-
-            units = [text_hash(0, len(page.blocks))]
-            for node in page.nodes[1:]:
-                begins = node.article and not page.nodes[node.parent].article
-                units.append(text_hash(node.first, node.last) if begins else units[node.parent])
-            for at, block, _ in page.blocks:
-                node = page.nodes[at]
-                if not node.aside and (node.article or not page.nodes[0].holds):
-                    key = _key(node.path, block) if len(block.split(None, MIN_WORDS - 1)) == MIN_WORDS else None
-                    rows.add((host, xxhash.xxh64_intdigest(node.path) >> 1, units[at], key))
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        types = [pa.string(), *[pa.int64()] * 3]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "at", "unit", "key"])
+    units = [whole]
+    for node in page.nodes[1:]:
+        begins = node.article and not page.nodes[node.parent].article
+        units.append(_blocks_hash(page, node.first, node.last) if begins else units[node.parent])
+    for at, block, _ in page.blocks:
+        node = page.nodes[at]
+        if not node.aside and (node.article or not page.nodes[0].holds):
+            key = _key(node.path, block) if len(block.split(None, MIN_WORDS - 1)) == MIN_WORDS else None
+            yield *[None] * 8, xxhash.xxh64_intdigest(node.path) >> 1, units[at], key
+
+
+def _blocks_hash(page: Page, first: int, last: int) -> int:
+    return xxhash.xxh64_intdigest("\n".join(b for _, b, _ in page.blocks[first:last])) >> 1
+
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    """What the tree needs of ``pages`` (url, html), from one reading of each: a row per page and path, and one per place, unit and text of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("host", pa.string()), ("path", pa.string()), *[(c, pa.int64()) for c in ("page", "style", "text", "chars", "links")]])
+        schema = schema.append(pa.field("declared", pa.bool_())).append(pa.field("hint", pa.int32()))
+        for c in ("at", "unit", "key"):
+            schema = schema.append(pa.field(c, pa.int64()))
+        for batch in batches:
+            rows: dict[tuple, None] = {}
+            for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                page = read_page(source or "")
+                whole = _blocks_hash(page, 0, len(page.blocks))
+                for found in (_node_rows(page, whole), _text_rows(page, whole)):
+                    rows.update(((host, *row), None) for row in found)
+            columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return written(pages.select(_host("url").alias("host"), "html").mapInArrow(run, PARSED), "page-parts")
 
 
 def _weighed(importance, pages):
@@ -327,9 +367,9 @@ def _weighed(importance, pages):
     return 1 - F.least(F.lit(1.0), F.log(pages) / F.log(F.lit(MIN_PAGES))) * (1 - importance)
 
 
-def repeated(pages: DataFrame) -> DataFrame:
-    """The blocks of each host of ``pages`` (url, html) whose importance is under ``LEAST``: host and key."""
-    rows = pages.select(_host("url").alias("host"), "html").mapInArrow(_text_rows, "host string, at long, unit long, key long").distinct()
+def _repeated(parsed: DataFrame) -> DataFrame:
+    """The blocks of each host whose importance is under ``LEAST``: host and key."""
+    rows = parsed.where("at is not null").select("host", "at", "unit", "key").distinct()
     units = rows.select("host", "at", "unit").distinct().groupBy("host", "at").agg(F.count("*").alias("m"))
     texts = rows.where("key is not null").groupBy("host", "at", "key").agg(F.count("*").alias("n")).where("n > 1")
     both = texts.join(units, ["host", "at"])
@@ -342,10 +382,11 @@ def _host(url: str):
 
 def importance(pages: DataFrame) -> DataFrame:
     """The style tree of each host of ``pages`` (url, html): host, path, pages, presentation, content, importance, declared, hint."""
-    rows = pages.select(_host("url").alias("host"), "html").mapInArrow(
-        _node_rows, "host string, path string, page long, style long, text long, chars long, links long, declared boolean, hint int"
-    )
-    once = rows.groupBy("host", "path", "page").agg(*[F.min(c).alias(c) for c in ("style", "text", "chars", "links", "declared", "hint")])
+    return _tree(_parsed(pages))
+
+
+def _tree(parsed: DataFrame) -> DataFrame:
+    once = parsed.where("path is not null").groupBy("host", "path", "page").agg(*[F.min(c).alias(c) for c in ("style", "text", "chars", "links", "declared", "hint")])
     # one row per style and one per text of a node, summed in one pass: an entropy needs only the counts
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("style", "text")]))
     counts = once.select("host", "path", "chars", "links", "declared", "hint", kinds.alias("of")).groupBy("host", "path", "of.kind", "of.value").agg(
@@ -369,10 +410,24 @@ def importance(pages: DataFrame) -> DataFrame:
 
 def _main_text(source: str | None, removed: frozenset[str]) -> str:
     page = read_page(source or "")
+    to = [0]
+    for _, block, _ in page.blocks:
+        to.append(to[-1] + len(block))
+    inner = [n for n in page.nodes if n.hint == INNER and page.nodes[n.parent].hint != INNER]
+    inside = sum(to[n.last] - to[n.first] for n in inner)
+    # articles in an article are comments on it if it has a text of its own
+    outer = sum(to[n.last] - to[n.first] for n in page.nodes if n.article and not page.nodes[n.parent].article) - inside
     drop = [False]
     for node in page.nodes[1:]:
-        low = node.path in removed or (node.hint == 2 and f"+{node.path}" not in removed)
-        drop.append(drop[node.parent] or node.aside or (low and not node.holds))
+        own = to[node.last] - to[node.first]
+        low = node.path in removed and not node.holds
+        if node.hint == WHOLE:
+            low |= f"+{node.path}" not in removed and not node.holds and 2 * own <= to[-1]
+        elif node.hint == COMMENTS:
+            low |= not node.holds or node.holds < page.nodes[0].holds
+        elif node.hint == INNER:
+            low |= 10 * outer > inside
+        drop.append(drop[node.parent] or node.aside or low)
     kept = [(node, block) for node, block, _ in page.blocks if not drop[node]]
     if any(node.article and not gone for node, gone in zip(page.nodes, drop, strict=True)):
         kept = [(node, block) for node, block in kept if page.nodes[node].article]
@@ -384,11 +439,13 @@ def _main_text(source: str | None, removed: frozenset[str]) -> str:
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each row of ``pages`` (url, html) and its ``main_text``."""
-    tree = importance(pages).where(~F.col("declared") & (F.col("pages") > 1))
-    lowered = _weighed(F.col("importance"), F.col("pages")) * F.when(F.col("hint") == 2, NAMED).when(F.col("hint") == 1, HINTED).otherwise(1.0)
+    parsed = _parsed(pages)
+    tree = _tree(parsed).where(~F.col("declared") & (F.col("pages") > 1))
+    named = F.when(F.col("hint").isin(WHOLE, COMMENTS), NAMED).when(F.col("hint") == PART, HINTED).otherwise(1.0)
+    lowered = _weighed(F.col("importance"), F.col("pages")) * named
     # beside the branches to be removed, with a sign before them, those named like asides that the tree keeps
-    low = tree.where((lowered < LEAST) | ((F.col("hint") == 2) & (F.col("pages") >= MIN_PAGES))).withColumn("path", F.when(lowered < LEAST, F.col("path")).otherwise(F.concat(F.lit("+"), "path")))
-    low = low.select("host", "path").union(repeated(pages).select("host", F.concat(F.lit("="), F.col("key").cast("string"))))
+    low = tree.where((lowered < LEAST) | ((F.col("hint") == WHOLE) & (F.col("pages") >= MIN_PAGES))).withColumn("path", F.when(lowered < LEAST, F.col("path")).otherwise(F.concat(F.lit("+"), "path")))
+    low = low.select("host", "path").union(_repeated(parsed).select("host", F.concat(F.lit("="), F.col("key").cast("string"))))
     low = written(low.groupBy("host").agg(F.collect_list("path").alias("__removed")).withColumnRenamed("host", "__host"), "low-branches")
     rows = pages.select(*keep, F.col("html").alias("__html"), _host("url").alias("__of"))
     size = low.agg(F.sum(F.length("__host") + F.length(F.concat_ws("", "__removed")) + 16 * F.size("__removed"))).first()[0] or 0

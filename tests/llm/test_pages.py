@@ -84,6 +84,52 @@ def test_names_do_not_remove_articles_headings_and_sections(html, text):
     assert style_tree._main_text(html, frozenset()) == text
 
 
+@pytest.mark.parametrize(
+    "aside",
+    [
+        "<div class='cookie-banner'>x</div>", "<div class='comment-list'>x</div>", "<div id='comments-area'>x</div>", "<div class='left-sidebar'>x</div>",
+        "<ol class='commentlist'><li>x</ol>", "<div class='ad-slot'>x</div>", "<div class='site-footer'>x</div>", "<div class='top-nav'>x</div>",
+        "<div class='comment-thread'>x</div>", "<div class='newsletter-box'>x</div>", "<section id='comments'><p>x</section>", "<article class='comment'>x</article>",
+        "<p hidden>x</p>", "<div style='color:red; display: none'>x</div>", "<article><p>x</p></article>", "<div itemprop='comment'><p>x</div>",
+        "<div id='comments'><article><p>x</article><article>x x x x x x x x x x x x x x x x x x</article></div>",
+        "<div itemscope itemtype='https://schema.org/Comment'>x</div>", "<div class='related-posts'>x</div>", "<div class='adslot'>x</div>",
+    ],
+)
+def test_asides_and_reader_comments_go_by_their_names(aside):
+    """In an article, in a page without one, and beside an article."""
+    main = "<p>The words of the page itself.</p>"
+    assert style_tree._main_text(f"<article>{main}{aside}</article>", frozenset()) == "The words of the page itself."
+    assert style_tree._main_text(f"<body><article>{main}</article>{aside.replace('<article>', '<article class=comment>')}", frozenset()) == "The words of the page itself."
+    if "<article" not in aside:
+        assert style_tree._main_text(f"<body>{main}{aside}", frozenset()) == "The words of the page itself."
+
+
+@pytest.mark.parametrize(
+    "kept",
+    [
+        "<div class='no-banner'>x</div>", "<div class='menu-open'>x</div>", "<ul class='menu'><li>x</ul>", "<p class='notice'>x</p>", "<div class='with-nav'>x</div>",
+        "<section id='related-work'>x</section>", "<p class='hidden-gem' title='not hidden'>x</p>", "<section id='comments-on-the-law'>x</section>",
+        "<div class='checklist'>x</div>", "<div class='shareholder'>x</div>", "<div class='cookie-recipe'>x</div>", "<div data-x=' hidden '>x</div>",
+    ],
+)
+def test_other_names_in_an_article_stay(kept):
+    assert style_tree._main_text(f"<article><p>The words.</p>{kept}</article>", frozenset()) == "The words.\nx"
+
+
+def test_what_holds_most_of_a_page_stays():
+    long = "<p>" + "words of the page " * 9 + "</p>"
+    text = ("words of the page " * 9).strip()
+    assert style_tree._main_text(f"<p>T</p><div class='layout-sidebar'>{long}</div>", frozenset()) == "T\n" + text
+    assert style_tree._main_text(f"<article><article>{long}</article><article>{long}</article></article>", frozenset()) == f"{text}\n{text}"
+    assert style_tree._main_text(f"<div class='comments'><article>{long}</article></div>", frozenset()) == text
+
+
+def test_pages_are_read_once_for_the_tree_and_once_for_the_result(llm):
+    pages = table(llm, SF, "pages")
+    plan = style_tree.extract(pages, ["page_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_names_lower_what_the_tree_counts(llm):
     """On a host with pages enough, one named like an aside stays if its texts and styles differ."""
     page = "<body><div class='promo'>{0}</div><div class='ad'><p>advert {1}</p></div><p>text {1}</p></body>"
