@@ -272,13 +272,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = members.where((F.col("node") != F.col("leader")) & _close(percent, "n", "own", "leader_n", "leader_own"))
     stars = stars.select(F.col("leader").alias("x"), F.col("node").alias("y")).distinct()
     stars = written(_compared(_similar(stars, live, percent), texts, percent), "star-pairs")
-    links = stars.where("linked").select("a", "b")
+    nodes = classes.select("mark_a", "mark_b", "n", "node")
+    # an id with several texts is one node: it links their classes
+    own = sets.where("n > 0 and doc_id is not null").select("doc_id", "mark_a", "mark_b", "n")
+    mark = F.struct("mark_a", "mark_b", "n")
+    several = own.groupBy("doc_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most")).where("least != most").select("doc_id")
+    ties = own.join(several, "doc_id", "left_semi").join(nodes, ["mark_a", "mark_b", "n"]).where("doc_id != node")
+    links = written(stars.where("linked").select("a", "b").union(ties.select("doc_id", "node")), "first-links")
     found = written(components(links), "components")
 
     # members whose component is not that of their bucket's leader, against all others of yet another
     led = members.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
     led = led.join(found.toDF("leader", "component"), "leader", "left").withColumn("lead", F.coalesce("component", "leader"))
-    to_leader = stars.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("common", "lack_1", "lack_2")])
+    # of an id with several texts it is not known whose figures these are
+    figures = [F.when(F.count("*") == 1, F.first(c)).alias(c) for c in ("common", "lack_1", "lack_2")]
+    to_leader = stars.groupBy("a", "b").agg(*figures)
     led = led.join(to_leader.withColumnsRenamed({"a": "leader", "b": "node"}), ["leader", "node"], "left").where("node != leader")
     apart = ["node", "part", "n", "own", "common", "lack_1", "lack_2"]
     strays = led.where("part != lead").select("bucket", *[F.col(c).alias(f"{c}_x") for c in apart])
@@ -294,7 +302,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if more.take(1):
         found = written(components(links.union(more)), "components")
 
-    nodes = classes.select("mark_a", "mark_b", "n", "node")
     rows = sets.drop("bands", "kept").join(nodes, ["mark_a", "mark_b", "n"], "left").join(found, "node", "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "node"))

@@ -84,6 +84,35 @@ def test_near_duplicates_of_edited_copies(llm):
     check_near(llm, [texts[i] for i in rng.permutation(len(texts))])
 
 
+def test_near_duplicates_of_ids_with_several_texts(llm):
+    """An id is linked if one of its texts is, in families whose members are near each other but not all near one of them."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for family in range(12):
+        base = [f"f{family}w{i}" for i in range(100)]
+        for k in range(20):
+            copy = list(base)
+            for at in rng.integers(0, 100, rng.integers(0, 5)):
+                copy[at] = f"x{family}{rng.integers(0, 6)}"
+            rows.append((int(rng.integers(0, 120)), " ".join(copy)))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    sets = [shingles(t) for _, t in rows]
+    part = {i: i for i, _ in rows}
+
+    def find(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for (a, _), x in zip(rows, sets, strict=True):
+        for (b, _), y in zip(rows, sets, strict=True):
+            if 100 * len(x & y) >= 85 * len(x | y):
+                one, two = sorted((find(a), find(b)))
+                part[two] = one
+    got = near_dups.near_duplicates(docs).collect()
+    assert len(got) == len(rows) and all(r.component_id == find(r.doc_id) for r in got)
+
+
 def test_near_duplicates_from_another_similarity_on(llm):
     """Texts of similarity 0.80 to 0.85 (96 shingles each, 5 of them around each changed word)."""
     base = [f"w{i}" for i in range(100)]
