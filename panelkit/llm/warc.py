@@ -9,8 +9,8 @@ they lie on any file system Spark knows, and a lost task leaves no half archive.
 capture left behind and emits one nested row for it, with a single small shuffle and states of fixed size.
 
 Defined cases: null html is an empty payload, a null id or address is left out of the headers (null when read); line ends in addresses are
-dropped; of equal payloads (``REVISIT_BYTES`` or more), the smallest id is the response, and repeated rows of one id
-go by the order they are read; a record whose capture is missing makes a row with a null response; of several
+dropped; of equal payloads (``REVISIT_BYTES`` or more), the smallest id is the response, of several rows with that id one of the
+same address and payload; a record whose capture is missing makes a row with a null response; of several
 records of one kind the first by record id counts; empty tables give empty results; other columns are ignored.
 """
 
@@ -24,15 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import written
+
 REVISIT_BYTES = 100
 FILE_CAPTURES = 2_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _id(kind: str, number: Column) -> Column:
-    """A record id made of the kind and number of a capture."""
-    h = F.md5(F.concat_ws("/", F.lit(kind), number.cast("string")))
+def _id(kind: str, capture: Column, copy: Column) -> Column:
+    """A record id made of the kind and the capture, which of equal rows is one copy."""
+    h = F.md5(F.concat_ws("/", F.lit(kind), capture, copy.cast("string")))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -55,19 +57,25 @@ def _record(kind: Column, own_id: Column, block: Column, headers: list[tuple[str
 def write(pages: DataFrame, path: str) -> None:
     """Archive ``pages`` (page_id, url, html) under ``path``."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).select(
-        "*",
-        F.monotonically_increasing_id().alias("number"),
-        F.octet_length("payload").alias("bytes"),
-        F.sha2(F.col("payload").cast("binary"), 256).alias("digest"),
+        "*", F.octet_length("payload").alias("bytes"), F.sha2(F.col("payload").cast("binary"), 256).alias("digest")
     )
-    shared = rows.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest").agg(
-        F.min(F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "number")).alias("first"), F.count("*").alias("n")
+    # a capture is known by what it holds, so that it is the same however often and wherever the pages are read
+    rows = rows.withColumn("capture", F.md5(F.to_json(F.struct("page_id", "url", "digest"))))
+    light = rows.groupBy("capture", "digest", "bytes", "page_id").agg(F.count("*").alias("copies"))
+    shared = light.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest").agg(
+        F.min(F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "capture")).alias("first"), F.sum("copies").alias("n")
     )
-    first = shared.where("n > 1").select("digest", F.col("first.number").alias("first"))
-    rows = rows.join(first, "digest", "left").withColumn("again", F.coalesce(F.col("first") != F.col("number"), F.lit(False)))
+    first = shared.where("n > 1").select("digest", F.col("first.capture").alias("first"))
+    marks = light.join(first, "digest", "left").where("first is not null or copies > 1").select("capture", "first", "copies")
+    rows = rows.join(written(marks, "shared-payloads"), "capture", "left")  # by capture: no key is hot
+    several = F.coalesce(F.col("copies") > 1, F.lit(False))
+    copies = rows.where(several).groupBy("capture").agg(*[F.first(c).alias(c) for c in rows.columns if c != "capture"])
+    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
+    rows = rows.where(~several).withColumn("copy", F.lit(0)).unionByName(copies)
+    rows = rows.withColumn("again", F.coalesce((F.col("first") != F.col("capture")) | (F.col("copy") > 0), F.lit(False)) & F.col("first").isNotNull())
 
     uri = F.regexp_replace("url", "[\r\n]", "")
-    response = _id("response", F.col("number"))
+    response = _id("response", F.col("capture"), F.col("copy"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n")
     )
@@ -75,7 +83,7 @@ def write(pages: DataFrame, path: str) -> None:
     fields = F.concat_ws("\r\n", F.concat(F.lit("page-id: "), F.col("page_id").cast("string")), F.lit(""))
     asked = _record(
         F.lit("request"),
-        _id("request", F.col("number")),
+        _id("request", F.col("capture"), F.col("copy")),
         get,
         [("WARC-Target-URI", uri), ("WARC-Concurrent-To", response), ("Content-Type", F.lit("application/http; msgtype=request"))],
     )
@@ -87,13 +95,13 @@ def write(pages: DataFrame, path: str) -> None:
             ("WARC-Target-URI", uri),
             ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
             ("WARC-Profile", F.when(F.col("again"), PROFILE)),
-            ("WARC-Refers-To", F.when(F.col("again"), _id("response", F.col("first")))),
+            ("WARC-Refers-To", F.when(F.col("again"), _id("response", F.col("first"), F.lit(0)))),
             ("Content-Type", F.lit("application/http; msgtype=response")),
         ],
     )
     about = _record(
         F.lit("metadata"),
-        _id("metadata", F.col("number")),
+        _id("metadata", F.col("capture"), F.col("copy")),
         fields,
         [("WARC-Target-URI", uri), ("WARC-Concurrent-To", response), ("Content-Type", F.lit("application/warc-fields"))],
     )

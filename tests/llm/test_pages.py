@@ -5,6 +5,7 @@ import re
 from html import unescape
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelkit.llm import style_tree, warc
 from panelkit.llm.common import table
@@ -204,6 +205,33 @@ def test_archives_give_back_odd_pages(llm, tmp_path):
         assert c.response.uri is None or "\n" not in c.response.uri
 
 
+def test_revisits_name_a_response_however_the_pages_are_dealt(llm, tmp_path):
+    """The pages are shuffled anew each time they are read, and rows repeat."""
+    rows = [(i % 40, f"http://h/{i % 7}", f"page {i % 5} " + "x" * 200) for i in range(200)] + [(i, None, "few") for i in (1, 1, 2)]
+    pages = llm.createDataFrame(rows, "page_id long, url string, html string").repartition(5, F.rand())
+    warc.write(pages, str(tmp_path / "w"))
+    captures = warc.assemble(warc.read(llm, str(tmp_path / "w"), with_payload=True)).collect()
+    assert len(captures) == len(rows) and all(c.n_records == 3 for c in captures)
+    responses = {c.capture_id: c for c in captures if c.response.type == "response"}
+    big = [c for c in responses.values() if c.response.payload_bytes >= 100]
+    assert len(big) == 5 and len(responses) == 8 and {int(c.metadata.fields["page-id"]) for c in big} == {0, 1, 2, 3, 4}
+    for c in captures:
+        if c.response.type == "revisit":
+            assert "sha256:" + responses[c.response.refers_to].response.payload_digest == c.response.declared_digest
+
+
+def test_payloads_are_not_shuffled_by_digest(llm, tmp_path):
+    seen = []
+    write = warc.written
+    pages = table(llm, SF, "pages")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(warc, "written", lambda df, name: seen.append(df) or write(df, name))
+        warc.write(pages, str(tmp_path / "w"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.split("== Initial Plan")[0].split("\n") if "Exchange" in x]
+    assert lines and not any("payload" in x or "html" in x for x in lines)
+
+
 def test_transactions_are_assembled_either_way(llm, tmp_path):
     def record(kind, own, to=None, block=b"", more=()):
         lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {own}", *([f"WARC-Concurrent-To: {to}"] if to else []), *more]
