@@ -245,3 +245,19 @@ def test_words_of_one_name_among_those_of_the_other(spark):
     assert rows(N.fuzzy_match(table(spark, ["Tanzania"]), "name", table(spark, valid), 90.0), "match") == [(None,)]
     same = N.fuzzy_match(table(spark, raw), "name", table(spark, valid).limit(0), 90.0, subset_score=N.SUBSET_SCORE)
     assert same.where("match is null").count() == len(raw)
+
+
+def test_like_numbered_names_meet_few_listed_ones(spark):
+    """Names that differ in a digit share every pair of letters with many, but a variant with few; so do names around the longest written out."""
+    valid = [f"Customer#{i:09d}" for i in range(0, 30_000, 10)]
+    raw = [name[:3] + name[4:] for name in valid[::30]]
+    keys = table(spark, [key(x) for x in raw], "key")
+    assert N._candidates(keys, N._listed(table(spark, valid), "name"), 90.0, 1).distinct().count() <= 12 * len(raw)
+
+    long = N.VARIANT_LETTERS
+    valid = sorted({"x" * (long + k) + f"{i:04d}" for k in range(-6, 0) for i in range(40)})
+    raw = sorted({spoil(random.Random(i), name) for i, name in enumerate(valid)})
+    want = {(key(x), key(y)) for x in raw for y in valid if edits(key(x), key(y)) <= 1}
+    keys = table(spark, sorted({key(x) for x in raw}), "key")
+    got = N._candidates(keys, N._listed(table(spark, valid), "name"), 85.0, 1)
+    assert want <= {(r.key, r.other) for r in got.collect()}
