@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -56,14 +57,31 @@ def whole_rows(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *columns)
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None, codec: str | None = None) -> DataFrame:
     """Write to the shared folder and read again: computed once, and nothing to recompute after a loss."""
     path = fresh_path(df.sparkSession, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    if codec:
+        writer = writer.option("compression", codec)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is run inside drops its shuffled data when it ends. For results that are written or collected once; none may be run again outside."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the n + 1 offsets into them, without a copy. Null counts as empty."""
     if column.null_count:

@@ -11,8 +11,8 @@ tokens, unseen ones included (one per tail class).
 N-grams of word ids, as many as the training texts have, then move this share for every token, in head and tail: for each of the histories
 ``FAMILIES`` (three back, two back, the last, the last two), in this order,
     P(token | history) = (n(history, token) + m * P before(token | history)) / (n(history) + m),
-where P before is what the family before it says, so the sum over all tokens stays one. The four m are chosen on ``SAMPLE``
-blocks, where no token counts for itself.
+where P before is what the family before it says, so the sum over all tokens stays one. Each training block
+has four m that make it likeliest if none of its tokens counts for itself; the model's are the means of their logarithms over all training tokens.
 
 1. Texts become blocks of token numbers, each with a dictionary of its own: one pass, no shuffle.
 2. Dictionaries are cut by hash into shards, as many as their total size asks for; a shard sums the counts of its tokens over all
@@ -20,8 +20,9 @@ blocks, where no token counts for itself.
 3. Weights start from the classes' counts. In each of ``ROUNDS`` rounds, tasks go once over a share of the training blocks (every token
    in exactly one round) by gradient steps from the common weights; Spark averages what they reach.
 4. Each block's n-grams are cut by hash into shards like its dictionary, summed there, and the sums come back. An n-gram is 40 bits of
-   hash in a shard of about ``SHARD_GRAMS``, so about one in a million shares a count, however large the corpus.
-5. Blocks meet their counts and are scored in numpy, ``BATCH`` tokens at once.
+   hash in a shard of about ``SHARD_GRAMS``, so about one in a million shares a count, however large the corpus. Families go one after the
+   other, and what one has shuffled is dropped before the next.
+5. Blocks meet their counts twice, in numpy, ``BATCH`` tokens at once: once for the m of each, once for the scores.
 
 Defined cases: null and empty texts are the end alone; repeated rows count and are scored each; with no training text all counts are 0 and
 the model is uniform over classes; ties of frequency go to the smaller hash; an empty table gives an empty result; other columns are ignored.
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,9 +41,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, utf8, written
+from .common import chunks, shuffles_dropped, utf8, written
 from .wordscan import mix, runs
 
+CODEC = "zstd"  # counts and numbers of tokens need few of their bits
 BLOCK_BYTES = 4 * 1024**2
 SHARD_TOKENS = 500_000  # dictionary entries of a shard, about
 SHARD_GRAMS = 1_000_000  # n-grams of a family in a shard, at most about
@@ -57,8 +60,7 @@ FEATURES = 1 + 3 * SYMBOLS + HASHED
 ROUNDS = 3
 BATCH = 8192
 RATE = 0.1
-SAMPLE = 6
-STRENGTHS = 4.0 ** np.arange(-2, 13)  # what m is chosen from
+STRENGTH_BASE, STRENGTH_POWERS = 4.0, np.arange(-2, 13)  # what m is chosen from
 END = mix(np.array([0x656E64], np.uint64))[0]
 BEFORE = mix(np.array([0x737461], np.uint64))[0]  # stands before a text
 FAMILIES = ((3,), (2,), (1,), (1, 2))  # how far back the words of a history lie
@@ -174,7 +176,7 @@ def _count_shard(rows: pa.Table) -> pa.Table:
         {
             "shard": rows.column("shard"),
             "block": rows.column("block"),
-            "totals": pa.array([total[back[a:b]].astype("<i8").tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
+            "totals": pa.array([_small(total[back[a:b]]) for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
             "top": pa.array(
                 [[{"hash": int(known[i].view(np.int64)), "n": int(total[i]), "tail": int(tail[i])} for i in order]] + [None] * (n - 1),
                 pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64()), ("tail", pa.int32())])),
@@ -403,8 +405,8 @@ def _from_small(data: bytes) -> np.ndarray:
     return _from_bytes(data[1:], data[0]).astype(np.int64)
 
 
-def _grams(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each family: hash of history and token of each token of a block, and the text of each.
+def _grams(row: dict, families: range) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each of the families: hash of history and token of each token of a block, and the text of each.
 
     Ends are repeated after a text, as far as a history reaches back, so that every word is a history of each distance once: n(history) is
     the count of its word, or for two words that of their pair. What follows the first end comes last, text by text.
@@ -419,10 +421,11 @@ def _grams(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     first = at[np.concatenate(([0], ends[:-1]))] if len(ends) else last
     for k in (1, 2, 3):
         padded[first - k] = BEFORE
-    for number, back in enumerate(FAMILIES, 1):
+    for family in families:
+        back = FAMILIES[family]
         more = [last + j for j in range(1, back[0])]
         place = np.concatenate((at, *more))
-        key = np.full(len(place), np.uint64(number))
+        key = np.full(len(place), np.uint64(family + 1))
         for k in back:
             key = mix(key + padded[place - k])
         yield mix(key + padded[place]), np.concatenate((text, *[np.arange(len(ends), dtype=np.int32)] * len(more)))
@@ -433,13 +436,16 @@ def _in_shards(hashes: np.ndarray, shards: int) -> np.ndarray:
     return _shard_of(hashes, shards).astype(np.uint64) << np.uint64(GRAM_BITS) | hashes & np.uint64((1 << GRAM_BITS) - 1)
 
 
-def _gram_slices(shards: int):
+_EVERY = range(len(FAMILIES))
+
+
+def _gram_slices(shards: int, families: range = _EVERY):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 train = np.array(row["train"], bool)
-                for family, (keys, texts) in enumerate(_grams(row)):
+                for family, (keys, texts) in zip(families, _grams(row, families), strict=True):
                     both = _in_shards(keys, shards) << np.uint64(1) | train[texts]
                     both.sort()
                     own = both >> np.uint64(1)
@@ -482,7 +488,7 @@ def _occurrences(row: dict, totals: np.ndarray, gram_totals: list[np.ndarray], s
     """How often the training texts have each token of a block after each of its histories, and these histories."""
     ids, ends = _from_planes(row["ids"]), np.array(row["ends"], np.int64)
     grams = []
-    for (keys, _), known in zip(_grams(row), gram_totals, strict=True):
+    for (keys, _), known in zip(_grams(row, _EVERY), gram_totals, strict=True):
         every = _in_shards(keys, shards)
         order = np.argsort(every)
         every = every[order]
@@ -512,16 +518,16 @@ def _moved(p: np.ndarray, found: tuple[np.ndarray, np.ndarray], strength: float)
 
 
 def _strengths(row: dict, totals: np.ndarray, gram_totals: list[np.ndarray], shards: int, words: Vocabulary, weights: Weights) -> pa.Table:
-    """The training tokens of a block, and the strength for each family that makes them likeliest if none counts for itself."""
+    """The number of training tokens of a block, and the power for each family that makes them likeliest if none counts for itself."""
     own = np.flatnonzero(np.repeat(np.array(row["train"], bool), np.diff([0, *row["ends"]])))
     p = np.exp(_token_logs(row, np.maximum(totals - 1, 0), words, weights)[own])
     best = []
     for n, history in _occurrences(row, totals, gram_totals, shards):
         found = np.maximum(n[own] - 1, 0), np.maximum(history[own] - 1, 0)
-        logs = [np.log(_moved(p, found, m)).sum() for m in STRENGTHS]
-        best.append(float(STRENGTHS[int(np.argmax(logs))]))
-        p = _moved(p, found, best[-1])
-    return pa.table({"tokens": [len(own)], "strengths": [best]})
+        logs = [np.log(_moved(p, found, STRENGTH_BASE**k)).sum() for k in STRENGTH_POWERS]
+        best.append(int(STRENGTH_POWERS[int(np.argmax(logs))]))
+        p = _moved(p, found, STRENGTH_BASE ** best[-1])
+    return pa.table({"tokens": [len(own)], "powers": [best]})
 
 
 # 5. scores
@@ -571,30 +577,34 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_tokens, n_known, train_tokens, base_score and score, learning from the rows where ``train``."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    blocks = written(rows.mapInArrow(_block_rows, BLOCKS), "token-blocks")
+    blocks = written(rows.mapInArrow(_block_rows, BLOCKS), "token-blocks", codec=CODEC)
     sizes = blocks.agg(F.sum("size").alias("entries"), F.sum(F.element_at("ends", -1).cast("long")).alias("tokens")).first()
     shards = -(-(sizes.entries or 0) // SHARD_TOKENS) or 1
-    slices = blocks.select("block", "hashes", "counts", "tails").mapInArrow(
-        _slices(shards), "shard int, block long, hashes binary, counts binary, tails binary"
-    )
-    counts = written(slices.groupBy("shard").applyInArrow(_count_shard, COUNTS), "token-counts")
     gram_shards = -(-(sizes.tokens or 0) // SHARD_GRAMS) or 1
-    slices = blocks.select("block", "train", "ends", "ids", "hashes").mapInArrow(
-        _gram_slices(gram_shards), "shard int, block long, grams binary, counts binary"
-    )
-    gram_counts = written(slices.groupBy("shard").applyInArrow(_count_grams, "shard int, block long, totals binary"), "gram-counts")
+    gram_counts = []
+    with shuffles_dropped(spark):
+        slices = blocks.select("block", "hashes", "counts", "tails").mapInArrow(
+            _slices(shards), "shard int, block long, hashes binary, counts binary, tails binary"
+        )
+        counts = written(slices.groupBy("shard").applyInArrow(_count_shard, COUNTS), "token-counts", codec=CODEC)
+        for family in _EVERY:
+            slices = blocks.select("block", "train", "ends", "ids", "hashes").mapInArrow(
+                _gram_slices(gram_shards, range(family, family + 1)), "shard int, block long, grams binary, counts binary"
+            )
+            summed = slices.groupBy("shard").applyInArrow(_count_grams, "shard int, block long, totals binary")
+            gram_counts.append(written(summed, "gram-counts", codec=CODEC))
     words = _vocabulary(counts)
     weights = _train(blocks, words)
     shared = spark.sparkContext.broadcast((gram_shards, words, weights))
-    kinds = [df.select("block", "shard", "totals", F.lit(kind).alias("kind")) for kind, df in (("word", counts), ("gram", gram_counts))]
-    both = kinds[0].union(kinds[1])
+    kinds = [df.select("block", "shard", "totals", F.lit(kind).alias("kind")) for kind, df in (("word", counts), *(("gram", x) for x in gram_counts))]
+    both = reduce(DataFrame.union, kinds)
 
     def parts(block: pa.Table, counted: pa.Table) -> tuple:
         found = sorted(zip(*(counted.column(c).to_pylist() for c in ("kind", "shard", "totals")), strict=True), key=lambda x: x[:2])
-        totals = np.frombuffer(b"".join(x for kind, _, x in found if kind == "word"), "<i8")
+        totals = np.concatenate([_from_small(x) for kind, _, x in found if kind == "word"])
         grams = [
             np.concatenate([_from_small(x) for kind, shard, x in found if kind == "gram" and shard // gram_shards == family])
-            for family in range(len(FAMILIES))
+            for family in _EVERY
         ]
         return block.to_pylist()[0], totals, grams, *shared.value
 
@@ -602,12 +612,14 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
         return _strengths(*parts(block, counted))
 
     own = blocks.select("block", "doc_ids", "train", "ends", "ids", "hashes", "tails")
-    some = F.col("block").isin([r.block for r in blocks.select("block").orderBy(F.xxhash64("block")).limit(SAMPLE).collect()])
-    fits = own.where(some).groupBy("block").cogroup(both.where(some).groupBy("block")).applyInArrow(fit, "tokens long, strengths array<double>")
-    fits = [r for r in fits.collect() if r.tokens] if words.n else []
     strengths = np.ones(len(FAMILIES))
-    if fits:
-        strengths = np.exp(np.average([np.log(r.strengths) for r in fits], axis=0, weights=[r.tokens for r in fits]))
+    if words.n:
+        fits = own.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(fit, "tokens long, powers array<long>")
+        # whole numbers, so their sums do not depend on the order of blocks
+        sums = [F.sum(F.col("tokens") * F.get("powers", F.lit(family))).alias(f"powers_{family}") for family in _EVERY]
+        with shuffles_dropped(spark):
+            total = fits.agg(F.sum("tokens").alias("tokens"), *sums).first()
+        strengths = STRENGTH_BASE ** np.array([total[f"powers_{family}"] / total["tokens"] for family in _EVERY])
 
     def run(block: pa.Table, counted: pa.Table) -> pa.Table:
         return _score_block(*parts(block, counted), strengths)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelkit.llm import decontaminate, maxent, near_dups, quality_model
@@ -245,6 +246,19 @@ def test_rare_words_tell_what_follows_them(llm, monkeypatch):
     assert got[0].score > got[1].score + 1 and got[2].score > got[3].score + 1
 
 
+def test_strengths_come_from_all_blocks(llm, monkeypatch, tmp_path):
+    real = maxent._strengths
+
+    def noted(row, *rest):
+        (tmp_path / str(row["block"])).touch()
+        return real(row, *rest)
+
+    monkeypatch.setattr(maxent, "_strengths", noted)
+    docs = llm.createDataFrame([(i, f"a{i} b c") for i in range(40)], "doc_id long, text string").repartition(20)
+    assert maxent.score(docs, docs.doc_id >= 0).count() == 40
+    assert len(list(tmp_path.iterdir())) == docs.select(F.spark_partition_id()).distinct().count() > 6
+
+
 def test_n_grams_are_those_of_a_plain_count(llm):
     """And the share of all tokens after a history is one, whatever the family."""
     texts = ["x y x y z", "y", "", "x y z z", "z x y"]
