@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -82,6 +84,20 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def released(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A step over batches that gives what it has freed back to the system when its task ends, as the Python process lives on."""
+
+    @wraps(step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim:
+            trim(0)
+
+    return run
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the n + 1 offsets into them, without a copy. Null counts as empty."""
     if column.null_count:

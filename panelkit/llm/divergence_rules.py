@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import added, chunks, utf8
+from .common import added, chunks, released, utf8
 from .wordscan import keyed, row_sums, runs, windows
 
+TEXT_CHUNK = 512 * 1024  # bytes of text measured at once: histograms, words and lines of it take some 50 MB
 WORD_BINS = 1 << 14
 COMMON = 64  # common words of a language; all others are one more bin
 MIN_CLASS_WORDS = 40
@@ -66,12 +67,13 @@ def _histograms(data: np.ndarray, offsets: np.ndarray, words) -> tuple[np.ndarra
     return counts.reshape(rows, CLASSES + 1)[:, :CLASSES], (words.hash & np.uint64(WORD_BINS - 1)).astype(np.int64)
 
 
+@released
 def _reference_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         langs = np.array(batch.column("lang").to_pylist(), object)
-        for low, high in chunks(offsets):
+        for low, high in chunks(offsets, TEXT_CHUNK):
             part = offsets[low : high + 1]
             words = runs(data, part, folded=True)
             classes, bins = _histograms(data, part, words)
@@ -175,7 +177,7 @@ MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 def _measure(text: pa.Array, refs) -> dict[str, np.ndarray]:
     data, offsets = utf8(text)
     parts = []
-    for low, high in chunks(offsets):
+    for low, high in chunks(offsets, TEXT_CHUNK):
         part = offsets[low : high + 1]
         words, folded = runs(data, part), runs(data, part, folded=True)
         classes, bins = _histograms(data, part, folded)
@@ -203,6 +205,7 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(references(docs))
     text = docs.select(*keep, F.col("text").alias("__text"), F.col("lang").alias("__lang"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:

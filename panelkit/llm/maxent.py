@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, shuffles_dropped, utf8, written
+from .common import chunks, released, shuffles_dropped, utf8, written
 from .wordscan import mix, runs
 
 CODEC = "zstd"  # counts and numbers of tokens need few of their bits
@@ -114,6 +114,7 @@ def _block(number: int, doc_ids: pa.Array, train: np.ndarray, data: np.ndarray,
     }
 
 
+@released
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     schema = pa.schema(
@@ -338,6 +339,7 @@ def _train(blocks: DataFrame, words: Vocabulary) -> Weights:
     for k in range(ROUNDS):
         start = spark.sparkContext.broadcast(weights)
 
+        @released
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = tuple(w.astype(np.float64) for w in start.value)
             seen = tuple(np.zeros_like(w) for w in own)
@@ -440,6 +442,7 @@ _EVERY = range(len(FAMILIES))
 
 
 def _gram_slices(shards: int, families: range = _EVERY):
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, utf8
+from .common import chunks, released, utf8
 from .tokens import encoder
 
 WINDOW = 4096
@@ -116,6 +116,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, with_ids: bool = False) -
     ``sequence_id`` is unique; its upper half is the task.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()

@@ -1,9 +1,11 @@
 """Quality rules, quality classifier and language profiles."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,18 @@ def test_measures_are_those_of_a_plain_count(llm, documents):
         assert not (r.base_failed and r.kept)
 
 
+def test_measures_take_the_memory_of_a_small_chunk():
+    texts = pa.array([f"some words of text {i} " * 50 for i in range(4_000)])
+    same = {"en": (np.ones(divergence_rules.CLASSES) / divergence_rules.CLASSES, np.arange(64), np.ones(65) / 65)}
+    divergence_rules._measure(texts[:1], same)  # tables that stay
+    tracemalloc.start()
+    found = divergence_rules._measure(texts, same)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found["n_words"].tolist() == [250] * 4_000
+    assert peak < 48 * 1024**2
+
+
 def test_rules_keep_good_documents_and_reject_bad_ones(llm):
     judged = divergence_rules.judge(table(llm, "/root/testdata/sf0.01", "documents"), ["doc_id"])
     good = judged.join(table(llm, "/root/testdata/sf0.01", "labels"), "doc_id").where("not base_failed").collect()
