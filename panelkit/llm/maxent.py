@@ -18,7 +18,7 @@ has four m that make it likeliest if none of its tokens counts for itself; the m
 2. Dictionaries are cut by hash into shards, as many as their total size asks for; a shard sums the counts of its tokens over all
    training texts and sends each block its own back. No task sees the whole vocabulary, nor does the driver.
 3. Weights start from the classes' counts. In each of ``ROUNDS`` rounds, tasks go once over a share of the training blocks (every token
-   in exactly one round) by gradient steps from the common weights; Spark averages what they reach.
+   in exactly one round) by gradient steps from the common weights, in single precision; Spark averages what they reach.
 4. Each block's n-grams are cut by hash into shards like its dictionary, summed there, and the sums come back. An n-gram is 40 bits of
    hash in a shard of about ``SHARD_GRAMS``, so about one in a million shares a count, however large the corpus. Families go one after the
    other, and what one has shuffled is dropped before the next.
@@ -59,6 +59,7 @@ HASHED = 1 << 12
 FEATURES = 1 + 3 * SYMBOLS + HASHED
 ROUNDS = 3
 BATCH = 8192
+SCORED = 2048  # tokens whose factors for all classes are held at once, in a processor's cache
 RATE = 0.1
 STRENGTH_BASE, STRENGTH_POWERS = 4.0, np.arange(-2, 13)  # what m is chosen from
 END = mix(np.array([0x656E64], np.uint64))[0]
@@ -69,6 +70,43 @@ Weights = tuple[np.ndarray, np.ndarray]  # classes x features; words of a class
 _WORD_COLUMNS = (SYMBOLS + 1) * (HEAD // WORDS)
 
 
+def _ordered(keys: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The places of unsigned keys under 2**bits in ascending order, equal ones by place, and the keys in it.
+
+    Key and place are sorted as one number, which is far faster than sorting places. Where both need more than 64 bits, the lowest of the key are
+    left out; for the few arrays with keys that only these tell apart, places are sorted.
+    """
+    places = max(len(keys) - 1, 1).bit_length()
+    over = max(bits + places - 64, 0)
+    both = keys >> np.uint64(over) if over else keys.copy()
+    both <<= np.uint64(places)
+    both |= np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    both &= np.uint64((1 << places) - 1)
+    order = both.view(np.int64)
+    ordered = keys[order]
+    if over and (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    return order, ordered
+
+
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    """True where a value differs from the one before it, and at the first."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return new
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct 64-bit keys in ascending order, the first place of each, and of each place its number."""
+    order, ordered = _ordered(keys)
+    new = _changes(ordered)
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], back
+
+
 # 1. blocks
 
 
@@ -78,7 +116,12 @@ def _planes(numbers: np.ndarray) -> bytes:
 
 
 def _from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    numbers = planes[0].astype(np.int64)
+    for k in (1, 2, 3):
+        if planes[k].any():
+            numbers |= planes[k].astype(np.int64) << (8 * k)
+    return numbers
 
 
 BLOCKS = "block long, doc_ids array<long>, train array<boolean>, ends array<int>, size int, ids binary, hashes binary, counts binary, tails binary"
@@ -98,7 +141,7 @@ def _block(number: int, doc_ids: pa.Array, train: np.ndarray, data: np.ndarray,
         beyond = np.bitwise_or.reduceat(data[words.start[0] : words.end[-1]], words.start - words.start[0]) >> 7
         folded = [np.where((x >= 65) & (x <= 90), x + 32, x) for x in (last, before)]
         tail[at] = (folded[0] * 31 + folded[1] * 7) % (TAILS // 2) + (TAILS // 2) * beyond
-    known, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
+    known, first, ids = _distinct(hashes)
     of_row = np.repeat(np.arange(rows), n + 1)
     counts = np.bincount(ids[train[of_row]], minlength=len(known))
     return {
@@ -166,7 +209,7 @@ def _count_shard(rows: pa.Table) -> pa.Table:
     parts = [np.frombuffer(x.as_py(), "<u8") for x in rows.column("hashes")]
     counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in rows.column("counts")]).astype(np.int64)
     tails = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("tails")])
-    known, first, back = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+    known, first, back = _distinct(np.concatenate(parts))
     total = np.bincount(back, weights=counts, minlength=len(known)).astype(np.int64)
     tail = tails[first]
     order = np.lexsort((known, -total))[: HEAD + 1]
@@ -284,11 +327,57 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=0))
 
 
+def _by_history(s: Sequence) -> np.ndarray:
+    """The places of tokens in order of the features of the last two, which many of them share."""
+    one, two, _, pair = (f.astype(np.uint64) for f in s.features)
+    size = np.uint64(FEATURES)
+    return _ordered((one * size + two) * size + pair, (FEATURES**3).bit_length())[0]
+
+
+@dataclass
+class Factors:
+    """Two factors for each token, whose product, divided by its sum, is the share of each class after the token's history.
+
+    One is for the features of the last two tokens, made once for a run of tokens where these are equal, one for the token before them, made
+    once for each such feature. So exponentials are of these and not of all tokens.
+    """
+
+    near: np.ndarray  # runs x classes
+    first: np.ndarray  # of each run
+    far: np.ndarray
+    third: np.ndarray  # row of far of each token
+
+
+def _factors(s: Sequence, by_class: np.ndarray) -> Factors:
+    one, two, three, pair = s.features
+    w = by_class.T
+    first = np.flatnonzero(_changes(one) | _changes(two) | _changes(pair))
+    used = np.zeros(len(w), bool)
+    used[three] = True
+    near = w[one[first]]
+    for f in (two[first], pair[first], [0]):
+        near += w[f]
+    far = w[used]
+    for x in (near, far):
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+    return Factors(near, first, far, (np.cumsum(used) - 1)[three])
+
+
+def _class_shares(s: Sequence, by_class: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of each class after each token's history, and the first of each run of tokens with equal last two."""
+    f = _factors(s, by_class)
+    shares = np.repeat(f.near, np.diff(f.first, append=len(s.kind)), axis=0)
+    shares *= f.far[f.third]
+    total = shares @ np.ones(shares.shape[1], shares.dtype)
+    shares /= np.maximum(total, np.finfo(shares.dtype).tiny)[:, None]
+    return shares, f.first
+
+
 def _class_logs(s: Sequence, by_class: np.ndarray) -> np.ndarray:
-    total = np.repeat(by_class[:, :1], len(s.kind), axis=1)
-    for f in s.features:
-        total += by_class.take(f, axis=1)
-    return _log_softmax(total)
+    """Logarithms of these shares, classes x tokens."""
+    with np.errstate(divide="ignore"):  # places without a token
+        return np.log(_class_shares(s, by_class)[0].T)
 
 
 def _word_columns(s: Sequence) -> tuple[np.ndarray, np.ndarray]:
@@ -297,33 +386,74 @@ def _word_columns(s: Sequence) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_logs(s: Sequence, by_word: np.ndarray) -> np.ndarray:
     a, b = _word_columns(s)
-    return _log_softmax(by_word.take(a, axis=1) + by_word.take(b, axis=1))
-
-
-def _sums(columns: list[np.ndarray], rest: np.ndarray, size: int) -> np.ndarray:
-    """For each row of ``rest``: its values summed by column."""
-    every = np.concatenate(columns)
-    return np.array([np.bincount(every, np.tile(r, len(columns)), size) for r in rest])
+    return _log_softmax((by_word.T[a] + by_word.T[b]).T)
+
+
+def _every_word(by_word: np.ndarray) -> np.ndarray:
+    """``_word_logs`` of each head class (rows) and symbol before (rows of these), one after the other."""
+    kinds = np.arange(HEAD // WORDS)
+    last = np.repeat(np.arange(SYMBOLS), len(kinds))
+    nothing = np.zeros(len(last), np.int64)
+    return _word_logs(Sequence(np.tile(kinds, SYMBOLS), nothing, [], last), by_word).T.copy()
+
+
+def _run_sums(rest: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows. Most are short, and ``reduceat`` takes its time for each."""
+    size = np.diff(first, append=len(rest))
+    sums = rest[first]
+    two, longer = np.flatnonzero(size == 2), np.flatnonzero(size > 2)
+    sums[two] += rest[first[two] + 1]
+    if len(longer):
+        starts = np.cumsum(size[longer]) - size[longer]
+        sums[longer] = np.add.reduceat(rest[np.repeat(size > 2, size)], starts, axis=0)
+    return sums
+
+
+def _sums(column: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct columns, and the sums of the rows of ``rest`` that have them."""
+    order = np.argsort(column.astype(np.uint16), kind="stable")
+    column = column[order]
+    first = np.flatnonzero(_changes(column))
+    return column[first], _run_sums(rest[order], first)
+
+
+def _class_gradients(s: Sequence, by_class: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of the class weights that the tokens have, each once, and their gradients as rows."""
+    s = s.part(_by_history(s))
+    one, two, three, pair = s.features
+    rest, first = _class_shares(s, by_class)
+    rest[np.arange(len(s.kind)), s.kind] -= 1
+    near = _run_sums(rest, first)
+    sums = [_sums(one[first], near), _sums(two[first], near), _sums(three, rest), _sums(pair[first], near)]
+    columns, rows = zip((np.zeros(1, np.int64), near.sum(axis=0, keepdims=True)), *sums, strict=True)
+    return np.concatenate(columns), np.concatenate(rows)
+
+
+def _word_gradients(s: Sequence, by_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of the word weights; all tokens are in head classes."""
+    last, first, at = np.unique(_word_columns(s)[1], return_index=True, return_inverse=True)
+    alike = s.part(first)
+    rest = np.exp(_word_logs(alike, by_word)).T * np.bincount(at)[:, None].astype(by_word.dtype)
+    rest -= np.bincount(at * WORDS + s.word, minlength=rest.size).reshape(rest.shape).astype(by_word.dtype)
+    kinds, sums = _sums(alike.kind, rest)
+    return np.concatenate((kinds, last)), np.concatenate((sums, rest))
 
 
 def _descend(s: Sequence, weights: Weights, seen: Weights) -> None:
     """Gradient steps over a block, in place; ``seen`` holds the squares of the gradients so far."""
     for low in range(0, len(s.kind), BATCH):
         part = s.part(slice(low, low + BATCH))
-        n = len(part.kind)
-        rest = np.exp(_class_logs(part, weights[0]))
-        rest[part.kind, np.arange(n)] -= 1
-        gradients = [_sums([np.zeros(n, np.int64), *part.features], rest, FEATURES)]
+        gradients = [_class_gradients(part, weights[0])]
         heads = np.flatnonzero(part.kind < HEAD // WORDS)
         if len(heads):
-            part = part.part(heads)
-            rest = np.exp(_word_logs(part, weights[1]))
-            rest[part.word, np.arange(len(heads))] -= 1
-            gradients.append(_sums(list(_word_columns(part)), rest, _WORD_COLUMNS))
-        for w, g2, g in zip(weights, seen, gradients, strict=False):
-            g /= n
-            g2 += g * g
-            w -= RATE * g / (np.sqrt(g2) + 1e-4)
+            gradients.append(_word_gradients(part.part(heads), weights[1]))
+        for w, g2, (columns, g) in zip(weights, seen, gradients, strict=False):  # other columns have gradient 0, which moves nothing
+            g /= g.dtype.type(len(part.kind))
+            squares = g2.T[columns] + g * g
+            g2.T[columns] = squares
+            g *= RATE
+            g /= np.sqrt(squares) + g.dtype.type(1e-4)
+            w.T[columns] -= g
 
 
 _CHUNKS = 16  # the weights travel in so many parts
@@ -341,7 +471,7 @@ def _train(blocks: DataFrame, words: Vocabulary) -> Weights:
 
         @released
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = tuple(w.astype(np.float64) for w in start.value)
+            own = tuple(w.astype(np.float32, order="F") for w in start.value)  # a column's weights side by side
             seen = tuple(np.zeros_like(w) for w in own)
             tokens = 0
             for batch in batches:
@@ -426,7 +556,7 @@ def _grams(row: dict, families: range) -> Iterator[tuple[np.ndarray, np.ndarray]
     for family in families:
         back = FAMILIES[family]
         more = [last + j for j in range(1, back[0])]
-        place = np.concatenate((at, *more))
+        place = np.concatenate((at, *more)) if more else at
         key = np.full(len(place), np.uint64(family + 1))
         for k in back:
             key = mix(key + padded[place - k])
@@ -474,9 +604,8 @@ def _count_grams(rows: pa.Table) -> pa.Table:
     parts = [_from_bytes(x.as_py(), GRAM_BITS // 8) for x in rows.column("grams")]
     counts = np.concatenate([_from_small(x.as_py()) for x in rows.column("counts")])
     every = np.concatenate(parts)
-    order = np.argsort(every)
-    every = every[order]
-    first = np.concatenate(([True], every[1:] != every[:-1]))
+    order, ordered = _ordered(every, GRAM_BITS)
+    first = _changes(ordered)
     total = np.empty(len(every), np.int64)
     total[order] = np.add.reduceat(counts[order], np.flatnonzero(first))[np.cumsum(first) - 1]
     edges = np.cumsum([0, *map(len, parts)])
@@ -493,10 +622,9 @@ def _occurrences(row: dict, totals: np.ndarray, gram_totals: list[np.ndarray], s
     grams = []
     for (keys, _), known in zip(_grams(row, _EVERY), gram_totals, strict=True):
         every = _in_shards(keys, shards)
-        order = np.argsort(every)
-        every = every[order]
+        order, ordered = _ordered(every, GRAM_BITS + (shards - 1).bit_length())
         counts = np.empty(len(every), np.int64)
-        counts[order] = known[np.cumsum(np.concatenate(([0], every[1:] != every[:-1])))]
+        counts[order] = known[np.cumsum(_changes(ordered)) - 1]
         grams.append(counts[: len(ids)])
     texts = int(totals[np.searchsorted(np.frombuffer(row["hashes"], "<u8"), END)])  # of the training
     starts = np.concatenate(([0], ends[:-1]))
@@ -520,15 +648,36 @@ def _moved(p: np.ndarray, found: tuple[np.ndarray, np.ndarray], strength: float)
     return (found[0] + strength * p) / (found[1] + strength)
 
 
+def _likelihoods(p: np.ndarray, n: np.ndarray, history: np.ndarray) -> list[float]:
+    """The sum of log ``_moved`` for each power, but for what is the same for all of them.
+
+    What stands below depends on few different histories, and what stands above on the power only where n is not 0. There it is 1 at least, so
+    eight of these are multiplied before a logarithm is taken.
+    """
+    seen = np.flatnonzero(n)
+    p, above = p[seen], n[seen].astype(np.float64)
+    some = history[history > 0]
+    sizes, often = np.unique(some, return_counts=True)
+    logs = []
+    for m in STRENGTH_BASE**STRENGTH_POWERS:
+        log = (len(some) - len(seen)) * np.log(m) - (often * np.log(sizes + m)).sum()
+        for low in range(0, len(seen), 8 * BATCH):
+            x = p[low : low + 8 * BATCH] * m
+            x += above[low : low + 8 * BATCH]
+            cut = len(x) // 8 * 8
+            log += np.log(x[:cut].reshape(8, -1).prod(axis=0)).sum() + np.log(x[cut:]).sum()
+        logs.append(log)
+    return logs
+
+
 def _strengths(row: dict, totals: np.ndarray, gram_totals: list[np.ndarray], shards: int, words: Vocabulary, weights: Weights) -> pa.Table:
     """The number of training tokens of a block, and the power for each family that makes them likeliest if none counts for itself."""
     own = np.flatnonzero(np.repeat(np.array(row["train"], bool), np.diff([0, *row["ends"]])))
-    p = np.exp(_token_logs(row, np.maximum(totals - 1, 0), words, weights)[own])
+    p = np.exp(_token_logs(row, np.maximum(totals - 1, 0), words, weights, own))
     best = []
     for n, history in _occurrences(row, totals, gram_totals, shards):
         found = np.maximum(n[own] - 1, 0), np.maximum(history[own] - 1, 0)
-        logs = [np.log(_moved(p, found, STRENGTH_BASE**k)).sum() for k in STRENGTH_POWERS]
-        best.append(int(STRENGTH_POWERS[int(np.argmax(logs))]))
+        best.append(int(STRENGTH_POWERS[int(np.argmax(_likelihoods(p, *found)))]))
         p = _moved(p, found, STRENGTH_BASE ** best[-1])
     return pa.table({"tokens": [len(own)], "powers": [best]})
 
@@ -538,23 +687,27 @@ def _strengths(row: dict, totals: np.ndarray, gram_totals: list[np.ndarray], sha
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _token_logs(row: dict, totals: np.ndarray, words: Vocabulary, weights: Weights) -> np.ndarray:
-    """What the softmax says of each token of a block."""
+def _token_logs(row: dict, totals: np.ndarray, words: Vocabulary, weights: Weights, places: np.ndarray | None = None) -> np.ndarray:
+    """What the softmax says of each token of a block, or of those at some places."""
     s, _ = _sequence(row, words)
     ids = _from_planes(row["ids"])
+    if places is not None:
+        s, ids = s.part(places), ids[places]
     tails = np.frombuffer(row["tails"], np.uint8).astype(np.int64)
     inside = np.log((totals + 0.5) / (words.tail_n + 0.5 * (words.tail_v + 1))[tails])  # of the tail class
+    heads = s.kind < HEAD // WORDS
     logs = np.empty(len(ids))
-    for low in range(0, len(ids), BATCH):
-        at = slice(low, low + BATCH)
-        part = s.part(at)
-        own = _class_logs(part, weights[0])[part.kind, np.arange(len(part.kind))].astype(np.float64)
-        heads = part.kind < HEAD // WORDS
-        own[~heads] += inside[ids[at][~heads]]
-        if heads.any():
-            part = part.part(heads)
-            own[heads] += _word_logs(part, weights[1])[part.word, np.arange(len(part.kind))]
-        logs[at] = own
+    logs[~heads] = inside[ids[~heads]]
+    logs[heads] = _every_word(weights[1])[HEAD // WORDS * s.last[heads] + s.kind[heads], s.word[heads]]
+    order = _by_history(s)
+    s = s.part(order)
+    f = _factors(s, np.asfortranarray(weights[0], np.float64))
+    run = np.repeat(np.arange(len(f.first)), np.diff(f.first, append=len(ids)))
+    total = np.empty(len(ids))
+    for low in range(0, len(ids), SCORED):
+        at = slice(low, low + SCORED)
+        total[at] = np.einsum("ij,ij->i", f.near[run[at]], f.far[f.third[at]])
+    logs[order] += np.log(f.near[run, s.kind] * f.far[f.third, s.kind] / total)
     return logs
 
 

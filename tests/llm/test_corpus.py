@@ -295,6 +295,102 @@ def test_the_model_is_a_distribution(llm):
     assert np.exp(maxent._word_logs(s, by_word)).sum(axis=0) == pytest.approx(np.ones(5), rel=1e-5)
 
 
+def model_block():
+    """A block of texts of 300 words, and a model whose weights have been moved."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, rng.integers(0, 60)) % 300) for _ in range(700)]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    row = maxent._block(0, pa.array(range(700)), rng.random(700) < 0.8, data, offsets)
+    totals = np.frombuffer(row["counts"], "<u4").astype(np.int64)
+    hashes = np.frombuffer(row["hashes"], "<u8")
+    best = np.lexsort((hashes, -totals))[:200]
+    words = maxent.Vocabulary(hashes[best], totals[best], np.full(maxent.TAILS, 7), np.full(maxent.TAILS, 3), 0, 0)
+    weights = maxent._first_weights(words)
+    for w, size in zip(weights, (1, maxent.HEAD // maxent.WORDS), strict=True):
+        w[:, size:] = rng.normal(size=w[:, size:].shape)
+    return row, totals, words, weights
+
+
+def plain_log_softmax(x):
+    x = x - x.max(axis=0)
+    return x - np.log(np.exp(x).sum(axis=0))
+
+
+def plain_logs(s, weights):
+    by_class, by_word = (w.astype(np.float64) for w in weights)
+    a, b = maxent._word_columns(s)
+    heads = s.kind < maxent.HEAD // maxent.WORDS
+    words = by_word[:, a[heads]] + by_word[:, b[heads]]
+    return plain_log_softmax(by_class[:, :1] + sum(by_class[:, f] for f in s.features)), plain_log_softmax(words), heads
+
+
+def test_logs_of_tokens_are_those_of_the_softmax_by_few_exponentials(monkeypatch):
+    row, totals, words, weights = model_block()
+    s, _ = maxent._sequence(row, words)
+    tails = np.frombuffer(row["tails"], np.uint8)[maxent._from_planes(row["ids"])]
+    by_class, by_word, heads = plain_logs(s, weights)
+    expected = by_class[s.kind, np.arange(len(s.kind))]
+    expected[heads] += by_word[s.word[heads], np.arange(heads.sum())]
+    inside = np.log((totals[maxent._from_planes(row["ids"])] + 0.5) / (words.tail_n + 0.5 * (words.tail_v + 1))[tails])
+    expected[~heads] += inside[~heads]
+    real, made = np.exp, []
+
+    def counted(x, *rest, **named):
+        made.append(np.size(x))
+        return real(x, *rest, **named)
+
+    monkeypatch.setattr(np, "exp", counted)
+    got = maxent._token_logs(row, totals, words, weights)
+    assert got == pytest.approx(expected, rel=1e-5)
+    assert sum(made) < maxent.CLASSES * len(got) / 2  # of all classes of all tokens
+    for some in (np.arange(5, len(got), 7), np.zeros(0, np.int64)):
+        assert maxent._token_logs(row, totals, words, weights, some) == pytest.approx(expected[some], rel=1e-5)
+
+
+def test_gradient_steps_are_the_plain_ones():
+    row, _, words, weights = model_block()
+    s = maxent._sequence(row, words)[0].part(slice(0, maxent.BATCH))
+    n = len(s.kind)
+    by_class, by_word, heads = plain_logs(s, weights)
+    plain = [np.zeros(w.shape) for w in weights]
+    rest, inner = np.exp(by_class), np.exp(by_word)
+    rest[s.kind, np.arange(n)] -= 1
+    inner[s.word[heads], np.arange(heads.sum())] -= 1
+    for f in (np.zeros(n, np.int64), *s.features):
+        np.add.at(plain[0].T, f, rest.T / n)
+    for f in maxent._word_columns(s):
+        np.add.at(plain[1].T, f[heads], inner.T / n)
+    for kind, close in ((np.float64, 1e-9), (np.float32, 1e-4)):
+        own = tuple(w.astype(kind, order="F") for w in weights)
+        seen = tuple(np.zeros_like(w) for w in own)
+        maxent._descend(s, own, seen)
+        for w, start, g2, g in zip(own, weights, seen, plain, strict=True):
+            assert np.abs(w - (start - maxent.RATE * g / (np.abs(g) + 1e-4))).max() < close
+            assert np.abs(g2 - g * g).max() < close
+
+
+def test_strengths_are_likeliest_by_the_plain_sum():
+    rng = np.random.default_rng(4)
+    p, history = rng.random(5_003) ** 6, rng.integers(0, 40, 5_003)
+    assert maxent._likelihoods(p[:0], history[:0], history[:0]) == [0] * len(maxent.STRENGTH_POWERS)
+    for n in (np.minimum(rng.integers(0, 9, 5_003), history), np.zeros(5_003, np.int64)):
+        plain = np.array([np.log(maxent._moved(p, (n, history), maxent.STRENGTH_BASE**k)).sum() for k in maxent.STRENGTH_POWERS])
+        got = np.array(maxent._likelihoods(p, n, history))
+        assert got - got[0] == pytest.approx(plain - plain[0], rel=1e-9, abs=1e-6)
+
+
+def test_order_of_keys_that_only_their_lowest_bits_tell_apart():
+    rng = np.random.default_rng(6)
+    high = rng.integers(0, 1 << 64, 50, dtype=np.uint64) << np.uint64(8)
+    for keys in (rng.choice(high, 4_000) | rng.integers(0, 256, 4_000, dtype=np.uint64), rng.choice(high, 4_000), high[:1], high[:0]):
+        order, ordered = maxent._ordered(keys)
+        assert order.tolist() == np.argsort(keys, kind="stable").tolist() and (keys[order] == ordered).all()
+        for got, expected in zip(maxent._distinct(keys), np.unique(keys, return_index=True, return_inverse=True), strict=True):
+            assert (got == expected).all()
+
+
 def test_pipeline_against_its_operators(llm):
     docs = table(llm, SF, "documents")
     for name, stage in corpus_pipeline.STAGES[:-1]:
